@@ -1,0 +1 @@
+"""All dataflows are batch jobs: a late period is handled by re-running it, which is idempotent."""
