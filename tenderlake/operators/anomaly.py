@@ -197,8 +197,12 @@ class IsolationForest:
         mean = total / len(self.roots)
         return 2.0 ** -(mean / self.scale if self.scale else np.ones(len(x)))
 
-    def score(self, matrix: DataFrame, name: str = "score") -> DataFrame:
-        """Adds the score of every row, higher meaning more atypical; one narrow Arrow pass."""
+    def score(self, matrix: DataFrame, name: str = "score", inputs: list[str] | None = None) -> DataFrame:
+        """Adds the score of every row, higher meaning more atypical; one narrow Arrow pass.
+
+        ``inputs`` names the columns that hold the features, when they are called otherwise.
+        """
+        inputs = inputs or self.features
         forest = matrix.sparkSession.sparkContext.broadcast(self)
         schema = T.StructType([*matrix.schema.fields, T.StructField(name, T.DoubleType())])
 
@@ -206,7 +210,7 @@ class IsolationForest:
             model = forest.value
             for batch in batches:
                 x = np.column_stack(
-                    [batch.column(f).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in model.features]
+                    [batch.column(f).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in inputs]
                 )
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(model._score(x))], names=[*batch.schema.names, name]

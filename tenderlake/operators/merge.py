@@ -7,6 +7,8 @@ batch and updated columns from the last; the stored table takes part as the earl
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,30 +155,21 @@ def accounting(read: DataFrame, inserted: DataFrame) -> DataFrame:
     )
 
 
-def inserted_counts(notices: DataFrame, children: list[DataFrame]) -> DataFrame:
+def inserted_counts(notices: DataFrame, children: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Per batch: distinct notices, and child rows whose notice is loaded by that batch.
 
-    All inputs are batches with ``_seq``; ``notices`` may include the stored table.
+    ``children`` pairs each child batch with its folded notices (key and ``_since``).
     """
     period = F.col(SEQ).cast("string").alias("period")
-    keyed = notices.groupBy(*KEY).agg(F.min(SEQ).alias("_since"))
-    parts = [
-        notices.filter(F.col(SEQ) > STORED)
-        .groupBy(SEQ)
-        .agg(F.count_distinct(F.struct(*KEY)).alias("rows"))
-        .select(period, "rows")
-    ]
-    for batch in children:
+    parts = [notices.groupBy(SEQ).agg(F.count_distinct(F.struct(*KEY)).alias("rows")).select(period, "rows")]
+    for batch, known in children:
         # Counted per notice before the join, so a notice with very many rows is one row here.
         sizes = batch.groupBy(*KEY, SEQ).agg(F.count(F.lit(1)).alias("_rows"))
         parts.append(
-            sizes.join(keyed, KEY)
+            sizes.join(known.select(*KEY, "_since"), KEY)
             .filter(F.col(SEQ) >= F.col("_since"))
             .groupBy(SEQ)
             .agg(F.sum("_rows").alias("rows"))
             .select(period, "rows")
         )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
