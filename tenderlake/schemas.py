@@ -81,8 +81,23 @@ def _silver(headers: dict[str, str]) -> T.StructType:
 SILVER = {table: _silver(headers) for table, headers in TABLE_HEADERS.items()}
 
 
+_NAMED = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "money": MONEY,
+    "total": TOTAL,
+    "score": T.DecimalType(12, 6),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Columns as "name type, ..."; unlike a DDL parse this needs no session."""
+    pairs = (column.split() for column in spec.split(","))
+    return T.StructType([T.StructField(name, _NAMED[kind]) for name, kind in pairs])
 
 
 # Serving tables. Facts carry the natural key instead of a generated id.
@@ -93,11 +108,11 @@ SERVING = {
     "supplier": _struct("supplier_id string, name string"),
     "notice": _struct(
         "notice_no string, unit_id string, modality_id int, process_no string, subject string, "
-        "status string, opening_date date, result_date date, value decimal(18,4), period string"
+        "status string, opening_date date, result_date date, value money, period string"
     ),
     "item": _struct(
         "notice_no string, unit_id string, modality_id int, item_code string, description string, "
-        "quantity decimal(18,4), unit_value decimal(18,4), winner_id string, period string"
+        "quantity money, unit_value money, winner_id string, period string"
     ),
     "bid": _struct(
         "notice_no string, unit_id string, modality_id int, item_code string, bidder_id string, "
@@ -114,10 +129,10 @@ SERVING = {
     ),
     "forecast": _struct(
         "run_id string, run_type string, series_key string, target_period string, target string, "
-        "predicted decimal(38,4), lower decimal(38,4), upper decimal(38,4)"
+        "predicted total, lower total, upper total"
     ),
     "notice_score": _struct(
-        "run_id string, notice_no string, unit_id string, modality_id int, score decimal(12,6), "
+        "run_id string, notice_no string, unit_id string, modality_id int, score score, "
         "rank bigint, features string, period string"
     ),
 }
