@@ -26,7 +26,7 @@ from tenderlake.operators.metrics import error_metrics
 from tenderlake.operators.perturb import perturb
 from tenderlake.operators.quality import integrity_report
 from tenderlake.operators.ranking import keep_last, latest, number_rows
-from tenderlake.plans.ingest import archives_as_silver, ingest_report
+from tenderlake.plans.ingest import unpacked_as_silver, ingest_report
 from tenderlake.plans.score import explanation, rank_scores, score_matrix
 from tenderlake.plans.train import backtest, training_points
 from tenderlake.schemas import KEY, SERVING
@@ -94,8 +94,11 @@ def run_period_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("next_periods")
 def run_next_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = samples.notices(spark, sf_dir).groupBy("unit_id").agg(F.max("period").alias("last"), F.min("period").alias("first"))
-    ahead = last.select("unit_id", "last", F.size(P.span(F.col("first"), F.col("last"))).alias("months"), F.explode(F.sequence(F.lit(1), F.lit(HORIZON))).alias("step"))
+    known = samples.notices(spark, sf_dir).groupBy("unit_id").agg(
+        F.max("period").alias("last"), F.min("period").alias("first")
+    )
+    known = known.select("unit_id", "last", F.size(P.span(F.col("first"), F.col("last"))).alias("months"))
+    ahead = known.select("*", F.explode(F.sequence(F.lit(1), F.lit(HORIZON))).alias("step"))
     return ahead.select("unit_id", "months", "step", P.shift(F.col("last"), F.col("step")).alias("period"))
 
 
@@ -196,12 +199,12 @@ def run_agency_hhi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("item_ratio_max")
 def run_item_ratio_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.item_features(samples.items(spark, sf_dir), CUT).select(*KEY, r("item_ratio_max"))
+    return X.item_features(samples.items(spark, sf_dir), CUT, materialize).select(*KEY, r("item_ratio_max"))
 
 
 @query("implausible_flag")
 def run_implausible_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.item_features(samples.items(spark, sf_dir), CUT).select(*KEY, "has_implausible_item")
+    return X.item_features(samples.items(spark, sf_dir), CUT, materialize).select(*KEY, "has_implausible_item")
 
 
 @query("no_winner_flag")
@@ -476,7 +479,7 @@ def run_archive_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("archive_ingest")
 def run_archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items and bids read back from archives: amounts and winners per period."""
-    silver = archives_as_silver(bundles.archives(spark, sf_dir))
+    silver = unpacked_as_silver(materialize(unpack(bundles.archives(spark, sf_dir)), partition_by="table"))
     amounts = silver["item"].groupBy("period").agg(
         F.count(F.lit(1)).alias("items"), F.sum(F.col("quantity") * F.col("unit_value")).cast("double").alias("amount")
     )

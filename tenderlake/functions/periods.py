@@ -16,12 +16,18 @@ def is_period(c: Column) -> Column:
 
 
 def first_day(period: Column) -> Column:
-    return F.to_date(period, "yyyyMM")
+    return F.make_date(F.substring(period, 1, 4).cast("int"), month(period).cast("int"), F.lit(1))
 
 
 def shift(period: Column, months: Column | int) -> Column:
-    """The period ``months`` later (earlier when negative)."""
-    return F.date_format(F.add_months(first_day(period), months), "yyyyMM")
+    """The period ``months`` later (earlier when negative), in integer arithmetic."""
+    at = index(period) + months
+    year = F.floor(at / 12).cast("int")
+    return F.lpad((year * 100 + at - year * 12 + 1).cast("string"), 6, "0")
+
+
+def from_date(day: Column) -> Column:
+    return F.date_format(day, "yyyyMM")
 
 
 def index(period: Column) -> Column:
@@ -34,12 +40,10 @@ def month(period: Column) -> Column:
 
 
 def span(start: Column, end: Column) -> Column:
-    """Array of every period from ``start`` to ``end``, both included; inverted bounds fail."""
+    """Array with the first day of every period from ``start`` to ``end``; inverted bounds fail."""
     inverted = F.raise_error(F.concat_ws(" ", F.lit("inverted period range:"), start, end))
     months = F.sequence(first_day(start), first_day(end), F.expr("interval 1 month"))
-    return F.when(start > end, inverted.cast("array<string>")).otherwise(
-        F.transform(months, lambda d: F.date_format(d, "yyyyMM"))
-    )
+    return F.when(start > end, inverted.cast("array<date>")).otherwise(months)
 
 
 def parse(period: str) -> str:

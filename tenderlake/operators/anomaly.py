@@ -30,9 +30,7 @@ def robust_stats(matrix: DataFrame, features: list[str]) -> DataFrame:
     long = matrix.select(*[F.col(c).cast("double") for c in features]).unpivot(
         [], features, "feature", "_value"
     )
-    quartiles = exact_quantiles(
-        long, ["feature"], "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, few_groups=True
-    )
+    quartiles = exact_quantiles(long, ["feature"], "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     spread = F.col("q3") - F.col("q1")
     return quartiles.select("feature", "median", F.when(spread == 0, 1.0).otherwise(spread).alias("iqr"))
 
@@ -115,6 +113,21 @@ def _hashed(seed: int, *cols: Column) -> Column:
     return F.xxhash64(F.lit(seed), *cols) / F.lit(2.0**64) + F.lit(0.5)
 
 
+def _scores(x: np.ndarray, arrays: tuple[np.ndarray, ...], levels: int, scale: float) -> np.ndarray:
+    """Rows walk down one tree at a time, all rows together."""
+    feature, threshold, left, right, depth, roots = arrays
+    rows = np.arange(len(x))
+    total = np.zeros(len(x))
+    for root in roots:
+        at = np.full(len(x), root)
+        for _ in range(levels):
+            goes_left = x[rows, feature[at]] <= threshold[at]
+            at = np.where(goes_left, left[at], right[at])
+        total += depth[at]
+    mean = total / len(roots)
+    return 2.0 ** -(mean / scale if scale else np.ones(len(x)))
+
+
 @dataclass(frozen=True)
 class IsolationForest:
     """Node arrays of all trees: at most trees x (2 x subsample - 1) rows, whatever the data size."""
@@ -185,35 +198,25 @@ class IsolationForest:
             scale=float(average_path(min(n, subsample))),
         )
 
-    def _score(self, x: np.ndarray) -> np.ndarray:
-        rows = np.arange(len(x))
-        total = np.zeros(len(x))
-        for root in self.roots:
-            at = np.full(len(x), root)
-            for _ in range(self.levels):
-                goes_left = x[rows, self.feature[at]] <= self.threshold[at]
-                at = np.where(goes_left, self.left[at], self.right[at])
-            total += self.depth[at]
-        mean = total / len(self.roots)
-        return 2.0 ** -(mean / self.scale if self.scale else np.ones(len(x)))
-
     def score(self, matrix: DataFrame, name: str = "score", inputs: list[str] | None = None) -> DataFrame:
         """Adds the score of every row, higher meaning more atypical; one narrow Arrow pass.
 
         ``inputs`` names the columns that hold the features, when they are called otherwise.
         """
         inputs = inputs or self.features
-        forest = matrix.sparkSession.sparkContext.broadcast(self)
+        # Plain arrays, so that workers can read them without this package.
+        arrays = (self.feature, self.threshold, self.left, self.right, self.depth, self.roots)
+        forest = matrix.sparkSession.sparkContext.broadcast(arrays)
+        levels, scale = self.levels, self.scale
         schema = T.StructType([*matrix.schema.fields, T.StructField(name, T.DoubleType())])
 
         def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = forest.value
             for batch in batches:
                 x = np.column_stack(
                     [batch.column(f).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in inputs]
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(model._score(x))], names=[*batch.schema.names, name]
+                    [*batch.columns, pa.array(_scores(x, forest.value, levels, scale))], names=[*batch.schema.names, name]
                 )
 
         return matrix.mapInArrow(score_batches, schema)

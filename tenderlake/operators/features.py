@@ -128,9 +128,10 @@ def mark_plausible(items: DataFrame, cut: float = PLAUSIBILITY_CUT) -> DataFrame
     return items.withColumn("plausible", is_plausible(F.col("quantity"), F.col("unit_value"), cut))
 
 
-def item_features(items: DataFrame, cut: float = PLAUSIBILITY_CUT) -> DataFrame:
+def item_features(items: DataFrame, cut: float = PLAUSIBILITY_CUT, stage: Stage = lambda df: df) -> DataFrame:
     """Per notice: largest price ratio among plausible items, and whether any is implausible."""
     marked = mark_plausible(items.select(*KEY, "item_code", "quantity", "unit_value"), cut)
+    marked = stage(marked.drop("quantity"))
     typical = exact_median(
         marked.filter("plausible and unit_value > 0"), ["item_code"], "unit_value", "_typical"
     )
@@ -167,7 +168,7 @@ def feature_matrix(
 ) -> DataFrame:
     """One row per notice: the natural key, its period and the eight attributes.
 
-    ``stage`` is applied to the two intermediates that are read several times; a job passes
+    ``stage`` is applied to the intermediates that are read several times; a job passes
     ``materialize`` so that they are computed once.
     """
     base = stage(notice_base(notices))
@@ -176,7 +177,7 @@ def feature_matrix(
     # Joins on the natural key first: they share one partitioning. The sides after that are
     # group statistics, which the adaptive planner broadcasts only when they are small.
     bidders = participation(pairs)
-    rows = base.join(bidders, KEY, "left").join(item_features(items, cut), KEY, "left")
+    rows = base.join(bidders, KEY, "left").join(item_features(items, cut, stage), KEY, "left")
     rows = rows.join(record.select("agency_id", "winner_id", "winner_win_rate"), ["agency_id", "winner_id"], "left")
     rows = bidders_ratio(rows, bidders.join(base.select(*KEY), KEY))
     rows = value_ratio(rows, base, min_group)

@@ -1,18 +1,24 @@
 """Exact grouped quantiles that stay distributed however large one group is.
 
 Spark's own ``percentile`` keeps every distinct value of a group in the memory of one task.
-Here a bounded sketch (``percentile_approx``) first brackets each wanted rank; the second
-pass counts what lies outside the brackets inside the map-side aggregation and moves only the
-few values within them, from which the exact order statistics are read.
+Here ordinary groups are sorted side by side, which spills; the few groups above a row limit go
+another way. For those a bounded sketch (``percentile_approx``) brackets each wanted rank, and a
+second pass counts what lies outside the brackets inside the map-side aggregation and moves only
+the few values within them, from which the exact order statistics are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Groups with more rows than this are bracketed. There are at most rows / LARGE_GROUP of them,
+# which bounds what is broadcast.
+LARGE_GROUP = 1_000_000
+
 # Sketch accuracy: rank error is at most rows / ACCURACY, so a bracket holds about
 # 6 / ACCURACY of its group.
 ACCURACY = 20_000
@@ -26,37 +32,83 @@ def exact_quantiles(
     value: str,
     outputs: dict[str, float],
     extras: dict[str, Extra] | None = None,
-    few_groups: bool = False,
+    large_group: int = LARGE_GROUP,
 ) -> DataFrame:
     """One row per group: each ``outputs`` name holds the linear-interpolated quantile.
 
-    ``extras`` maps a name to (first aggregate, merging aggregate) computed in the same pass.
-    ``few_groups`` states that the number of groups is bounded by the domain (such as the
-    features of a matrix), which allows the brackets to be broadcast.
+    ``extras`` maps a name to (aggregate over rows, aggregate merging two of those), computed in
+    the same pass. Null values do not count; a null key is a group.
     """
     extras = extras or {}
-    probs = sorted(set(outputs.values()))
+    rows = df.withColumn("_v", F.col(value).cast("double"))
+    large = rows.groupBy(*keys).agg(F.count("_v").alias("_n")).filter(F.col("_n") > large_group)
+    small = _sorted_groups(_match(rows, large, keys, "left_anti"), keys, outputs, extras)
+    # With no large group the adaptive planner sees an empty broadcast and drops this branch.
+    bracketed = _bracketed_groups(rows, large, keys, outputs, extras)
+    return small.unionByName(bracketed)
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str, **kwargs) -> DataFrame:
+    return exact_quantiles(df, keys, value, {name: 0.5}, **kwargs)
+
+
+def _match(rows: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Joins rows with a bounded list of groups; null keys match."""
+    listed = F.broadcast(groups.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return rows.join(listed, same, how).drop(*[f"_k_{k}" for k in keys])
+
+
+def _sorted_groups(rows: DataFrame, keys: list[str], outputs: dict[str, float], extras: dict[str, Extra]) -> DataFrame:
+    """Groups of bounded size: one shuffle and one sort."""
+    group = Window.partitionBy(*keys)
+    ranked = rows.withColumns(
+        {
+            "_rank": F.row_number().over(group.orderBy(F.col("_v").asc_nulls_last())) - 1,
+            "_n": F.count("_v").over(group),
+        }
+    )
+    n = F.col("_n")
+    picked = []
+    for i, p in enumerate(outputs.values()):
+        position = (n - 1) * F.lit(p)
+        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            picked.append(F.max(F.when(F.col("_rank") == rank, F.col("_v"))).alias(f"_{side}{i}"))
+    merged = ranked.groupBy(*keys).agg(
+        F.max("_n").alias("_n"), *picked, *[first.alias(name) for name, (first, _) in extras.items()]
+    )
+    return merged.select(*keys, *_weighted(outputs), *extras)
+
+
+def _weighted(outputs: dict[str, float]) -> list[Column]:
+    columns = []
+    for i, (name, p) in enumerate(outputs.items()):
+        position = (F.col("_n") - 1) * F.lit(p)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        columns.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
+    return columns
+
+
+def _bracketed_groups(
+    rows: DataFrame, large: DataFrame, keys: list[str], outputs: dict[str, float], extras: dict[str, Extra]
+) -> DataFrame:
+    """Groups of any size: sketch, count around the brackets, rank the values within them."""
+    probs = list(outputs.values())
     margin = 2.0 / ACCURACY
     marks = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
-
-    rows = df.withColumn("_group", F.struct(*keys)).withColumn("_v", F.col(value).cast("double"))
-    brackets = rows.groupBy("_group").agg(
-        F.percentile_approx("_v", marks, ACCURACY).alias("_marks"),
-        F.count("_v").alias("_n"),
+    sketched = _match(rows, large.drop("_n"), keys, "inner")
+    brackets = sketched.groupBy(*keys).agg(
+        F.percentile_approx("_v", marks, ACCURACY).alias("_marks"), F.count("_v").alias("_n")
     )
-    joined = rows.join(F.broadcast(brackets) if few_groups else brackets, "_group")
+    joined = _match(rows, brackets, keys, "inner")
 
     v = F.col("_v")
-    lows = [F.get("_marks", F.lit(2 * i)) for i in range(len(probs))]
-    highs = [F.get("_marks", F.lit(2 * i + 1)) for i in range(len(probs))]
-    inside = F.lit(False)
-    gap = F.lit(0)
-    for low, high in zip(lows, highs, strict=True):
+    inside, gap = F.lit(False), F.lit(0)
+    for i in range(len(probs)):
+        low, high = F.get("_marks", F.lit(2 * i)), F.get("_marks", F.lit(2 * i + 1))
         inside = inside | v.between(low, high)
         gap = gap + F.when(v > high, 1).otherwise(0)
 
-    # Grouping by the key columns, not by the join column, makes this a shuffle of its own after
-    # map-side aggregation, so a hot group of the join may be split by the adaptive planner.
     segments = joined.groupBy(
         *keys,
         F.when(v.isNull(), -1).when(~inside, gap).alias("_gap"),
@@ -71,29 +123,21 @@ def exact_quantiles(
     running = Window.partitionBy(*keys).orderBy(F.col("_min").asc_nulls_first())
     running = running.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = segments.withColumn("_end", F.sum("_cnt").over(running))
-
-    n = F.col("_n")
-    position = {p: (n - 1) * F.lit(p) for p in probs}
-    ranks = {}
-    for p in probs:
-        ranks[p, "lo"] = F.floor(position[p])
-        ranks[p, "hi"] = F.ceil(position[p])
+    picked = []
+    for i, p in enumerate(probs):
+        position = (F.col("_n") - 1) * F.lit(p)
+        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            picked.append(F.max(_value_at(rank)).alias(f"_{side}{i}"))
     merged = placed.groupBy(*keys).agg(
         F.max("_n").alias("_n"),
-        *[F.max(_value_at(rank)).alias(f"_{side}{probs.index(p)}") for (p, side), rank in ranks.items()],
+        *picked,
         *[merge(F.col(name)).alias(name) for name, (_, merge) in extras.items()],
     )
-    results = []
-    for name, p in outputs.items():
-        lo, hi = F.col(f"_lo{probs.index(p)}"), F.col(f"_hi{probs.index(p)}")
-        lost = (n > 0) & (lo.isNull() | hi.isNull())
-        weight = position[p] - F.floor(position[p])
-        results.append(
-            F.when(lost, F.raise_error(F.lit("quantile outside its sketch bracket")).cast("double"))
-            .otherwise(lo + (hi - lo) * weight)
-            .alias(name)
-        )
-    return merged.select(*keys, *results, *extras)
+    # The sketch guarantees its error; should that ever fail, fail loudly.
+    lost = reduce(lambda a, b: a | b, [F.col(f"_{s}{i}").isNull() for i in range(len(probs)) for s in ("lo", "hi")])
+    failure = F.raise_error(F.lit("quantile outside its sketch bracket")).cast("bigint")
+    checked = merged.withColumn("_n", F.when(lost, failure).otherwise(F.col("_n")))
+    return checked.select(*keys, *_weighted(outputs), *extras)
 
 
 def _value_at(rank: Column) -> Column:
@@ -104,10 +148,8 @@ def _value_at(rank: Column) -> Column:
     end, count = F.col("_end"), F.col("_cnt")
     low, high = F.col("_min"), F.col("_max")
     within = (rank >= end - count) & (rank < end)
-    return F.when(within & (low == high), low).when(
-        within & (rank == end - count), low
-    ).when(within & (rank == end - 1), high)
-
-
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str, **kwargs) -> DataFrame:
-    return exact_quantiles(df, keys, value, {name: 0.5}, **kwargs)
+    return (
+        F.when(within & (low == high), low)
+        .when(within & (rank == end - count), low)
+        .when(within & (rank == end - 1), high)
+    )

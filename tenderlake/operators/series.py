@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.functions.periods import index, span
+from tenderlake.functions.periods import from_date, index, span
 
 SEASON = 12
 
@@ -34,7 +34,7 @@ def selection_counts(bounds: DataFrame, min_train: int, h: int) -> DataFrame:
 def densify(series: DataFrame, bounds: DataFrame) -> DataFrame:
     """One row per series and month; a month without a row counts zero."""
     grid = bounds.select("series_key", "n_points", F.posexplode(span(F.col("start"), F.col("end"))))
-    grid = grid.withColumnsRenamed({"col": "period"})
+    grid = grid.withColumn("period", from_date(F.col("col"))).drop("col")
     return grid.join(series, ["series_key", "period"], "left").select(
         "series_key",
         "period",

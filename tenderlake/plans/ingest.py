@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,13 +51,7 @@ def ingest(spark: SparkSession, bronze: str, silver: str, periods: list[str]) ->
     )
 
 
-def archives_as_silver(archives: DataFrame) -> dict[str, DataFrame]:
-    """The three silver tables straight from a frame of archives."""
-    unpacked = unpack(archives)
+def unpacked_as_silver(unpacked: DataFrame) -> dict[str, DataFrame]:
+    """The three silver tables of unpacked archives, without the periods that have an unusable one."""
     broken = unpacked.filter(F.col("outcome") == ERROR).select("period").distinct()
     return {t: parse_lines(unpacked, t).join(broken, "period", "left_anti") for t in SILVER}
-
-
-def total_rows(report: DataFrame) -> DataFrame:
-    """Rows per period over the three tables."""
-    return report.select("period", reduce(lambda a, b: a + b, [F.col(f"{t}_rows") for t in SILVER]).alias("rows"))

@@ -32,7 +32,7 @@ UNPACKED = "period string, path string, table string, line_no bigint, layout str
 
 # Fixed values of the ZIP format: local header signature and its field offsets.
 LOCAL_SIGNATURE = b"PK\x03\x04"
-LOCAL_HEADER = struct.Struct("<4s2xHH8xIIHH")
+LOCAL_HEADER = "<4s2xHH8xIIHH"
 DEFLATED = 8
 
 ENCODING = "latin-1"
@@ -74,7 +74,7 @@ def recover_members(content: bytes) -> dict[str, bytes]:
     found: dict[str, bytes] = {}
     for hit in re.finditer(re.escape(LOCAL_SIGNATURE), content):
         try:
-            _, _, method, packed, size, name_len, extra_len = LOCAL_HEADER.unpack_from(content, hit.start())
+            _, _, method, packed, size, name_len, extra_len = struct.unpack_from(LOCAL_HEADER, content, hit.start())
             name_at = hit.start() + 30
             data_at = name_at + name_len + extra_len
             body = content[data_at : data_at + packed]
