@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,11 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "16
     return configure(spark)
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tenderlake-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
@@ -49,9 +55,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tenderlake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_scratch()
 
 
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:

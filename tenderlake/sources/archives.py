@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +37,8 @@ DEFLATED = 8
 
 ENCODING = "latin-1"
 CHUNK_LINES = 20_000
-# Fields read per line; a header may carry this many columns.
-MAX_FIELDS = 40
+# Columns a file may carry beyond the modelled ones.
+SPARE_FIELDS = 8
 
 
 def read_archives(spark: SparkSession, bronze: str, periods: list[str]) -> DataFrame:
@@ -104,11 +104,16 @@ def records(stream: io.BufferedIOBase) -> Iterator[str]:
         yield "".join(parts).rstrip("\r\n")
 
 
+def _width(table: str) -> int:
+    """Fields read per line."""
+    return len(TABLE_HEADERS[table]) + SPARE_FIELDS
+
+
 def _layout(table: str, header: str) -> str | None:
     """Positions of the wanted columns in the header; None when they are the leading columns in order."""
     names = next(csv.reader([header], delimiter=";"))
     wanted = list(TABLE_HEADERS[table])
-    missing = [c for c in wanted if c not in names[:MAX_FIELDS]]
+    missing = [c for c in wanted if c not in names[: _width(table)]]
     if missing:
         raise ValueError(f"{table}: missing columns {missing}")
     positions = [names.index(c) for c in wanted]
@@ -127,21 +132,8 @@ def _members(content: bytes):
     return PARTIAL, {t: (lambda b=found[m]: io.BytesIO(b)) for m, t in MEMBER_TABLES.items() if m in found}
 
 
-def _unpack_archive(period: str, path: str, content: bytes) -> Iterator[pd.DataFrame]:
-    def frame(table, line_no, layout, line, outcome=None, message=None) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "period": period,
-                "path": path,
-                "table": table,
-                "line_no": line_no,
-                "layout": layout,
-                "line": line,
-                "outcome": outcome,
-                "message": message,
-            }
-        )
-
+def _unpack_archive(content: bytes) -> Iterator[tuple[str, int, str | None, list, str | None, str | None]]:
+    """(table, number of the first line, layout, lines, outcome, message): a status, then chunks of lines."""
     try:
         outcome, members = _members(content)
         layouts = {}
@@ -150,27 +142,53 @@ def _unpack_archive(period: str, path: str, content: bytes) -> Iterator[pd.DataF
             if header is not None:
                 layouts[table] = _layout(table, header)
     except ValueError as error:
-        yield frame(STATUS, [0], None, None, ERROR, str(error))
+        yield STATUS, 0, None, [None], ERROR, str(error)
         return
-    yield frame(STATUS, [0], None, None, outcome)
+    yield STATUS, 0, None, [None], outcome, None
     for table, layout in layouts.items():
         lines = records(members[table]())
         next(lines)
         start = 0
         while chunk := list(islice(lines, CHUNK_LINES)):
-            yield frame(table, range(start, start + len(chunk)), layout, chunk)
+            yield table, start, layout, chunk, None, None
             start += len(chunk)
 
 
-def unpack(archives: DataFrame) -> DataFrame:
-    """One status row per archive and one row per CSV record of its modelled members."""
+def _unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    columns: list[list] = [[] for _ in UNPACKED.split(",")]
+
+    def flush() -> pa.RecordBatch:
+        period, path, table, line_no, layout, line, outcome, message = columns
+        text = [pa.array(c, pa.string()) for c in (layout, line, outcome, message)]
+        arrays = [pa.array(period), pa.array(path), pa.array(table), pa.array(line_no, pa.int64()), *text]
+        for c in columns:
+            c.clear()
+        return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in UNPACKED.split(",")])
+
+    for batch in batches:
+        for period, path, content in zip(*(batch.column(c) for c in ("period", "path", "content"))):
+            for table, start, layout, lines, outcome, message in _unpack_archive(content.as_py()):
+                n = len(lines)
+                numbers = range(start, start + n)
+                values = (
+                    *([v] * n for v in (period.as_py(), path.as_py(), table)),
+                    numbers,
+                    [layout] * n,
+                    lines,
+                    [outcome] * n,
+                    [message] * n,
+                )
+                for column, added in zip(columns, values):
+                    column.extend(added)
+                if len(columns[5]) >= CHUNK_LINES:
+                    yield flush()
+    if columns[5]:
+        yield flush()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield from _unpack_archive(row.period, row.path, row.content)
 
-    return archives.select("period", "path", "content").mapInPandas(run, UNPACKED)
+def unpack(archives: DataFrame) -> DataFrame:
+    """One status row per archive and one row per CSV record of its modelled members."""
+    return archives.select("period", "path", "content").mapInArrow(_unpack_batches, UNPACKED)
 
 
 def _typed(raw: Column, field: T.StructField) -> Column:
@@ -187,13 +205,14 @@ def _typed(raw: Column, field: T.StructField) -> Column:
 
 def parse_lines(unpacked: DataFrame, table: str) -> DataFrame:
     """Typed rows of one silver table: unreadable numbers and dates become null."""
-    schema = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
+    width = _width(table)
+    schema = ", ".join(f"c{i} string" for i in range(width))
     # Only an unquoted empty field is null; "" is an empty string.
     options = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000"}
     fields = unpacked.filter(F.col("table") == table).select(
         "period", "line_no", F.split("layout", ",").alias("_at"), F.from_csv("line", schema, options).alias("_f")
     )
-    every = F.array(*[F.col(f"_f.c{i}") for i in range(MAX_FIELDS)])
+    every = F.array(*[F.col(f"_f.c{i}") for i in range(width)])
     columns = []
     for i, name in enumerate(TABLE_HEADERS[table].values()):
         moved = F.get(every, F.get("_at", F.lit(i)).cast("int"))
