@@ -106,7 +106,8 @@ def run_next_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_series(with_agency(samples.notices(spark, sf_dir), samples.units(spark, sf_dir)))
+    placed = with_agency(samples.notices(spark, sf_dir), samples.units(spark, sf_dir))
+    return monthly_series(materialize(placed.select("period", "agency_id", "modality_id", "value")), materialize)
 
 
 @query("monthly_series")
@@ -175,14 +176,14 @@ def run_plausibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("value_ratio_group")
 def run_value_ratio_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _base(spark, sf_dir)
-    return X.value_ratio(base, base, MIN_GROUP).select(*KEY, r("value_ratio_group"))
+    base = materialize(_base(spark, sf_dir))
+    return X.value_ratio(base, base, MIN_GROUP, materialize).select(*KEY, r("value_ratio_group"))
 
 
 @query("bidders_ratio_modality")
 def run_bidders_ratio_modality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = X.participation(_pairs(spark, sf_dir)).join(_base(spark, sf_dir).select(*KEY), KEY)
-    return X.bidders_ratio(counted, counted).select(*KEY, "n_bidders", "n_winners", "winner_id", r("bidders_ratio_modality"))
+    counted = materialize(X.participation(_pairs(spark, sf_dir)).join(_base(spark, sf_dir).select(*KEY), KEY))
+    return X.bidders_ratio(counted, counted, materialize).select(*KEY, "n_bidders", "n_winners", "winner_id", r("bidders_ratio_modality"))
 
 
 @query("win_rate")

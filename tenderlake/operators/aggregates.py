@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions.scalars import is_identity, series_key
-from tenderlake.operators.quantiles import exact_median
+from tenderlake.operators.quantiles import Stage, exact_median
 from tenderlake.schemas import KEY, MONEY, TOTAL
 
 # The ways a series may be regrouped for training.
@@ -18,7 +18,7 @@ def with_agency(notices: DataFrame, units: DataFrame) -> DataFrame:
     return notices.drop("agency_id").join(units.select("unit_id", "agency_id"), "unit_id")
 
 
-def monthly_series(notices: DataFrame) -> DataFrame:
+def monthly_series(notices: DataFrame, stage: Stage | None = None) -> DataFrame:
     """Count, total and median value per period, agency and modality."""
     series = exact_median(
         notices,
@@ -29,6 +29,7 @@ def monthly_series(notices: DataFrame) -> DataFrame:
             "notice_count": (F.count(F.lit(1)), F.sum),
             "total_value": (F.sum("value"), F.sum),
         },
+        stage=stage,
     )
     return series.select(
         "period",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.operators.quantiles import exact_quantiles
+from tenderlake.session import materialize
 
 TREES = 100
 SUBSAMPLE = 256
@@ -30,7 +31,8 @@ def robust_stats(matrix: DataFrame, features: list[str]) -> DataFrame:
     long = matrix.select(*[F.col(c).cast("double") for c in features]).unpivot(
         [], features, "feature", "_value"
     )
-    quartiles = exact_quantiles(long, ["feature"], "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    wanted = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = exact_quantiles(long, ["feature"], "_value", wanted, stage=materialize)
     spread = F.col("q3") - F.col("q1")
     return quartiles.select("feature", "median", F.when(spread == 0, 1.0).otherwise(spread).alias("iqr"))
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions.periods import month
 from tenderlake.functions.scalars import PLAUSIBILITY_CUT, is_identity, is_plausible, ratio
-from tenderlake.operators.quantiles import exact_median
+from tenderlake.operators.quantiles import Stage, exact_median
 from tenderlake.operators.ranking import keep_last
 from tenderlake.schemas import KEY
 
@@ -37,8 +35,6 @@ NEUTRAL = {
     "seasonal_deviation": 1.0,
 }
 
-Stage = Callable[[DataFrame], DataFrame]
-
 
 def notice_base(notices: DataFrame) -> DataFrame:
     """One row per natural key; of repeated keys the latest period, then the latest line."""
@@ -47,12 +43,13 @@ def notice_base(notices: DataFrame) -> DataFrame:
     return keep_last(notices.select(*dict.fromkeys(columns + order)), KEY, [*order, "value"]).select(*columns)
 
 
-def value_ratio(rows: DataFrame, base: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def value_ratio(
+    rows: DataFrame, base: DataFrame, min_group: int = MIN_GROUP, stage: Stage | None = None
+) -> DataFrame:
     """Adds value / median of its (agency, modality), or of its modality when the group is small."""
-    group = exact_median(
-        base, ["agency_id", "modality_id"], "value", "_group_median", extras={"_size": (F.count(F.lit(1)), F.sum)}
-    )
-    modality = exact_median(base, ["modality_id"], "value", "_modality_median")
+    size = {"_size": (F.count(F.lit(1)), F.sum)}
+    group = exact_median(base, ["agency_id", "modality_id"], "value", "_group_median", extras=size, stage=stage)
+    modality = exact_median(base, ["modality_id"], "value", "_modality_median", stage=stage)
     reference = F.when(F.col("_size") >= min_group, F.col("_group_median")).otherwise(F.col("_modality_median"))
     return (
         rows.join(group, ["agency_id", "modality_id"], "left")
@@ -87,12 +84,12 @@ def participation(pairs: DataFrame) -> DataFrame:
     )
 
 
-def bidders_ratio(rows: DataFrame, counted: DataFrame) -> DataFrame:
+def bidders_ratio(rows: DataFrame, counted: DataFrame, stage: Stage | None = None) -> DataFrame:
     """Adds distinct bidders / median of the modality.
 
     ``counted`` are the known notices that have bids, with ``n_bidders``.
     """
-    typical = exact_median(counted, ["modality_id"], "n_bidders", "_typical")
+    typical = exact_median(counted, ["modality_id"], "n_bidders", "_typical", stage=stage)
     return (
         rows.join(typical, "modality_id", "left")
         .withColumn("bidders_ratio_modality", ratio(F.col("n_bidders"), F.col("_typical")))
@@ -128,12 +125,13 @@ def mark_plausible(items: DataFrame, cut: float = PLAUSIBILITY_CUT) -> DataFrame
     return items.withColumn("plausible", is_plausible(F.col("quantity"), F.col("unit_value"), cut))
 
 
-def item_features(items: DataFrame, cut: float = PLAUSIBILITY_CUT, stage: Stage = lambda df: df) -> DataFrame:
+def item_features(items: DataFrame, cut: float = PLAUSIBILITY_CUT, stage: Stage | None = None) -> DataFrame:
     """Per notice: largest price ratio among plausible items, and whether any is implausible."""
     marked = mark_plausible(items.select(*KEY, "item_code", "quantity", "unit_value"), cut)
-    marked = stage(marked.drop("quantity"))
+    marked = marked.drop("quantity")
+    marked = stage(marked) if stage else marked
     typical = exact_median(
-        marked.filter("plausible and unit_value > 0"), ["item_code"], "unit_value", "_typical"
+        marked.filter("plausible and unit_value > 0"), ["item_code"], "unit_value", "_typical", stage=stage
     )
     return (
         marked.join(typical, "item_code", "left")
@@ -164,23 +162,24 @@ def feature_matrix(
     bids: DataFrame,
     min_group: int = MIN_GROUP,
     cut: float = PLAUSIBILITY_CUT,
-    stage: Stage = lambda df: df,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """One row per notice: the natural key, its period and the eight attributes.
 
     ``stage`` is applied to the intermediates that are read several times; a job passes
     ``materialize`` so that they are computed once.
     """
-    base = stage(notice_base(notices))
-    pairs = stage(bidder_pairs(bids))
-    record = supplier_record(pairs, base)
+    keep = stage or (lambda df: df)
+    base = keep(notice_base(notices))
+    pairs = keep(bidder_pairs(bids))
+    record = keep(supplier_record(pairs, base))
     # Joins on the natural key first: they share one partitioning. The sides after that are
     # group statistics, which the adaptive planner broadcasts only when they are small.
-    bidders = participation(pairs)
+    bidders = keep(participation(pairs))
     rows = base.join(bidders, KEY, "left").join(item_features(items, cut, stage), KEY, "left")
     rows = rows.join(record.select("agency_id", "winner_id", "winner_win_rate"), ["agency_id", "winner_id"], "left")
-    rows = bidders_ratio(rows, bidders.join(base.select(*KEY), KEY))
-    rows = value_ratio(rows, base, min_group)
+    rows = bidders_ratio(rows, bidders.join(base.select(*KEY), KEY), stage)
+    rows = value_ratio(rows, base, min_group, stage)
     rows = rows.join(concentration(record), "agency_id", "left")
     rows = rows.join(seasonal(base), ["agency_id", "period"], "left")
     return rows.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tenderlake.operators.aggregates import monthly_series, supplier_series, supplier_total, with_agency
-from tenderlake.session import path_exists
+from tenderlake.session import materialize, path_exists
 from tenderlake.sources.silver import read_silver
 from tenderlake.sources.tables import Tables
 
@@ -16,7 +16,7 @@ def aggregate_series(tables: Tables) -> int:
     if notices.isEmpty():
         return 0
     placed = with_agency(notices.select("unit_id", "modality_id", "period", "value"), tables.read("unit"))
-    return tables.replace("monthly_series", monthly_series(placed)).count()
+    return tables.replace("monthly_series", monthly_series(materialize(placed), materialize)).count()
 
 
 def aggregate_suppliers(spark: SparkSession, silver: str, tables: Tables) -> tuple[int, int]:

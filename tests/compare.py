@@ -30,6 +30,16 @@ def _plain(v):
     return v
 
 
+# DuckDB type -> Spark type, for the types the queries return.
+TYPES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
+def type_differences(df, con, sql: str) -> str | None:
+    wanted = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in con.execute(sql).description}
+    wrong = [f"{c}: {t} vs {wanted[c]}" for c, t in df.dtypes if c in wanted and wanted[c] != t]
+    return "types " + ", ".join(wrong) if wrong else None
+
+
 def differences(spark_rows, spark_cols, con, sql: str) -> str | None:
     result = con.execute(sql)
     cols = [d[0] for d in result.description]
@@ -62,7 +72,9 @@ if __name__ == "__main__":
             df = run(spark, sf_dir)
             rows = [tuple(r) for r in df.collect()]
             took = time.time() - started
-            bad = differences(rows, df.columns, con, oracle[name]) if name in oracle else "(rows only)"
+            bad = "(rows only)"
+            if name in oracle:
+                bad = differences(rows, df.columns, con, oracle[name]) or type_differences(df, con, oracle[name])
             print(f"{name:28s} {took:6.2f}s {len(rows):7d} rows  {bad or 'ok'}", flush=True)
         except Exception as error:  # noqa: BLE001
             print(f"{name:28s} FAILED {type(error).__name__}: {str(error)[:600]}", flush=True)

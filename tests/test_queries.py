@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from compare import database, differences
+from compare import database, differences, type_differences
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS_ONLY = {"forecast", "backtest_model", "isolation_score", "score_job"}
@@ -26,6 +26,7 @@ def test_query(spark, con, name):
     assert rows
     if name in oracle_sql():
         assert differences(rows, df.columns, con, oracle_sql()[name]) is None
+        assert type_differences(df, con, oracle_sql()[name]) is None
 
 
 def test_entry(spark):
