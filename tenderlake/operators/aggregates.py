@@ -47,17 +47,20 @@ def named_winners(items: DataFrame) -> DataFrame:
 
 
 def supplier_series(items: DataFrame) -> DataFrame:
-    """Items won, distinct notices and exact amount per period and supplier."""
-    return (
+    """Items won, distinct notices and exact amount per period and supplier.
+
+    Reducing to one row per notice first makes the distinct notices a plain count (a missing
+    part of the key is a value of its own) and keeps a supplier with very many items spread.
+    """
+    per_notice = (
         named_winners(items)
-        .groupBy("period", F.col("winner_id").alias("supplier_id"))
-        .agg(
-            F.count(F.lit(1)).alias("items_won"),
-            F.count_distinct(F.struct(*KEY)).alias("distinct_notices"),
-            F.coalesce(F.sum(F.col("unit_value") * F.col("quantity")), F.lit(0))
-            .cast(TOTAL)
-            .alias("total_value"),
-        )
+        .groupBy("period", F.col("winner_id").alias("supplier_id"), *KEY)
+        .agg(F.count(F.lit(1)).alias("_items"), F.sum(F.col("unit_value") * F.col("quantity")).alias("_amount"))
+    )
+    return per_notice.groupBy("period", "supplier_id").agg(
+        F.sum("_items").alias("items_won"),
+        F.count(F.lit(1)).alias("distinct_notices"),
+        F.coalesce(F.sum("_amount"), F.lit(0)).cast(TOTAL).alias("total_value"),
     )
 
 

@@ -47,7 +47,8 @@ def exact_quantiles(
     """
     extras = extras or {}
     rows = df.withColumn("_v", F.col(value).cast("double"))
-    large = rows.groupBy(*keys).agg(F.count("_v").alias("_n")).filter(F.col("_n") > large_group)
+    # Rows without a value count here too: they would be sorted along with the others.
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > large_group)
     if stage:
         large = stage(large)
         if large.isEmpty():
@@ -144,7 +145,7 @@ def _bracketed_groups(
     # The sketch guarantees its error; should that ever fail, fail loudly.
     lost = reduce(lambda a, b: a | b, [F.col(f"_{s}{i}").isNull() for i in range(len(probs)) for s in ("lo", "hi")])
     failure = F.raise_error(F.lit("quantile outside its sketch bracket")).cast("bigint")
-    checked = merged.withColumn("_n", F.when(lost, failure).otherwise(F.col("_n")))
+    checked = merged.withColumn("_n", F.when((F.col("_n") > 0) & lost, failure).otherwise(F.col("_n")))
     return checked.select(*keys, *_weighted(outputs), *extras)
 
 

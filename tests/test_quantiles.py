@@ -49,9 +49,10 @@ def test_tiny_groups(spark, n, large_group):
     np.testing.assert_allclose(row[1:], np.percentile([float(i * i) for i in range(n)], [25, 50, 75]))
 
 
-def test_group_of_nulls_has_no_median(spark):
+@pytest.mark.parametrize("large_group", [10**9, 1, 0])
+def test_group_of_nulls_has_no_median(spark, large_group):
     df = spark.createDataFrame([(1, None), (1, None), (2, 5.0)], "g int, v double")
-    assert {r.g: r.m for r in exact_median(df, ["g"], "v", "m").collect()} == {1: None, 2: 5.0}
+    assert {r.g: r.m for r in exact_median(df, ["g"], "v", "m", large_group=large_group).collect()} == {1: None, 2: 5.0}
 
 
 def test_row_numbers_are_dense_and_ordered_under_ties(spark):
