@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tenderlake.llm import quality_rules
+from tenderlake.llm import line_dedup, packing, quality_model, quality_rules, simhash
 
 QUERIES = {
+    "op2_best_fit": packing.op2_best_fit,
+    "op6_simhash": simhash.op6_simhash,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_quality_classifier": quality_model.op8_quality_classifier,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 ORACLE = {
     "op7_quality_rules": quality_rules.ORACLE_SQL,
