@@ -118,7 +118,7 @@ def cascade_order(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_
         return list(rules)
     share = -(-rows // sample_rows)
     drawn = docs.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("rules")), F.lit(share)) == 0).select("doc_id", "text")
-    sample = materialize(drawn.coalesce(1))
+    sample = materialize(drawn)
     gain = []
     for rule in rules:
         began = time.perf_counter()
