@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.session import configure, materialize
 
-__all__ = ["ID_LAST", "WORD_GAP", "id_key", "id_out", "let", "map_batches", "materialize", "ready", "table", "text_of"]
+__all__ = ["ID_LAST", "WORD_GAP", "id_key", "id_out", "let", "map_batches", "materialize", "range_index", "ready", "table", "text_of"]
 
 #: Stands for a null document id inside the operators: such a row comes after all others.
 ID_LAST = (1 << 63) - 1
@@ -53,6 +53,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def range_index(key: Column, tie: Column, splitters: list[tuple[int, int]]) -> Column:
+    """How many of the sorted ``splitters`` are at most (key, tie); found in two short searches."""
+    if not splitters:
+        return F.lit(0)
+    width = max(1, round(len(splitters) ** 0.5))
+    longs = lambda values: F.expr("array(" + ", ".join(f"CAST('{v}' AS BIGINT)" for v in values) + ")")
+    pairs = lambda part: F.arrays_zip(longs([a for a, _ in part]).alias("a"), longs([b for _, b in part]).alias("b"))
+    up_to = lambda part: F.size(F.filter(part, lambda s: (s["a"] < key) | ((s["a"] == key) & (s["b"] <= tie))))
+    coarse = splitters[width - 1 :: width]
+    return let(
+        up_to(pairs(coarse)) if coarse else F.lit(0),
+        lambda c: c * width + up_to(F.slice(pairs(splitters), c * width + 1, F.lit(width))),
+    )
+
+
 def map_batches(
     df: DataFrame, schema: str, step: Callable[..., Iterable[dict] | dict], make: Callable[[], object] | None = None
 ) -> DataFrame:

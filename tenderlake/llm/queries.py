@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from tenderlake.llm import line_dedup, packing, quality_model, quality_rules, simhash
+from tenderlake.llm import line_dedup, minhash, packing, quality_model, quality_rules, sentencepiece_codec, sharding, simhash, warc
 
 QUERIES = {
     "op2_best_fit": packing.op2_best_fit,
+    "op3_minhash": minhash.op3_minhash,
+    "op4_sampled_splitters": sharding.op4_sampled_splitters,
+    "op5_segment_reassembly": warc.op5_segment_reassembly,
     "op6_simhash": simhash.op6_simhash,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_quality_classifier": quality_model.op8_quality_classifier,
+    "op9_prefix_table": sentencepiece_codec.op9_prefix_table,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 ORACLE = {
