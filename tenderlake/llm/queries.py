@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tenderlake.llm import line_dedup, minhash, packing, quality_model, quality_rules, sentencepiece_codec, sharding, simhash, warc
+from tenderlake.llm import licenses, line_dedup, minhash, packing, quality_model, quality_rules, sentencepiece_codec, sharding, simhash, warc
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_best_fit": packing.op2_best_fit,
     "op3_minhash": minhash.op3_minhash,
     "op4_sampled_splitters": sharding.op4_sampled_splitters,
