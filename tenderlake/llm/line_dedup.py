@@ -32,6 +32,10 @@ def half_keys(words: list[bytes]) -> list[int]:
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
+def line_hash(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
 def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     """(id, line, h, keys) of every line with enough words: its place, a 128-bit hash of its words, half keys."""
 
@@ -43,7 +47,7 @@ def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
                 if len(words) >= min_words:
                     out["id"].append(doc)
                     out["line"].append(at)
-                    out["h"].append(xxhash.xxh3_128_digest(b" ".join(words)))
+                    out["h"].append(line_hash(words))
                     out["keys"].append(half_keys(words) if len(words) >= near_words else [])
         return out
 
@@ -85,12 +89,12 @@ def _candidates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         for doc, wanted, text in zip(*(batch.column(c).to_pylist() for c in ("id", "lines", "text")), strict=True):
             lines = text.split("\n")
             for at in wanted:
-                out["id"].append(doc)
-                out["line"].append(at)
-                out["text"].append(lines[at])
+                if at < len(lines):  # a row that repeats the id may have another text
+                    out["id"].append(doc)
+                    out["line"].append(at)
+                    out["text"].append(lines[at])
         return out
 
-    # Rows that repeat an id are one document only if their texts agree; the copies fold here.
     joined = map_batches(docs.join(of_doc, "id"), "id long, line int, text string", step)
     return materialize(joined.groupBy("id", "line").agg(F.first("text").alias("text")))
 
@@ -141,19 +145,23 @@ def _near(candidates: DataFrame) -> DataFrame:
 
     def step(batch: pa.RecordBatch) -> dict:
         texts = zip(batch.column("text").to_pylist(), batch.column("of_text").to_pylist(), strict=True)
-        good = pa.array([within_one(a.encode().split(), b.encode().split()) for a, b in texts])
-        return {c: batch.column(c).filter(good) for c in ("id", "line", "of_id", "of_line")}
+        words = [(a.encode().split(), b.encode().split()) for a, b in texts]
+        good = [within_one(a, b) for a, b in words]
+        held = {c: batch.column(c).filter(pa.array(good)) for c in ("id", "line", "of_id", "of_line")}
+        return held | {"h": [line_hash(a) for (a, _), g in zip(words, good, strict=True) if g]}
 
-    return map_batches(pairs, "id long, line int, of_id long, of_line int", step)
+    return map_batches(pairs, "id long, line int, h binary, of_id long, of_line int", step)
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """(id, line, of_id, of_line): every line to drop and an earlier one it repeats.
+    """(id, line, h, of_id, of_line): every line to drop, its hash, and an earlier one it repeats.
 
     Order is by document id and line number, both from 0 up; a null id stands last. Lines of at
     least ``min_words`` words repeat an earlier line with the same words; lines of at least
     ``near_words`` also one that is one word edit away, itself dropped or not. Null or empty
-    texts have no such line. Rows with the same id are one document.
+    texts have no such line. Rows with the same id and text are one document. Of rows that share
+    an id with other texts, null ones included, each loses only lines with the hash given; near
+    matches are then sought for one of these texts.
     """
     named = docs.select(id_key().alias("id"), text_of().alias("text"))
     lines = materialize(lines_of(named, min_words, near_words))
@@ -161,7 +169,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int
         lines.groupBy("h").agg(F.min(F.struct("id", "line")).alias("of"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
     )
     firsts = distinct.filter("n > 1").select("h", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"))
-    exact = lines.join(firsts, "h").filter("id <> of_id OR line <> of_line").select("id", "line", "of_id", "of_line")
+    exact = lines.join(firsts, "h").filter("id <> of_id OR line <> of_line").select("id", "line", "h", "of_id", "of_line")
     near = _near(_candidates(named, distinct.select("of.id", "of.line", "keys")))
     return exact.union(near).distinct()
 
@@ -169,7 +177,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int
 def drops_by_document(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """(id, drops): per document with dropped lines their numbers and the earlier places, in order."""
     return repeated_lines(docs, min_words, near_words).groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("line", "of_id", "of_line"))).alias("drops")
+        F.sort_array(F.collect_list(F.struct("line", "of_id", "of_line", "h"))).alias("drops")
     )
 
 
@@ -179,22 +187,25 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
     A document may be left with an empty text; none is dropped.
     """
     drops = materialize(drops_by_document(docs, min_words, near_words)).select(
-        F.col("id").alias("_drop_id"), F.col("drops.line").alias("_drop_lines")
+        F.col("id").alias("_drop_id"), F.col("drops.line").alias("_drop_lines"), F.col("drops.h").alias("_drop_hashes")
     )
     joined = docs.join(drops, id_key() == F.col("_drop_id"), "left").drop("_drop_id")
+    columns = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            texts = batch.column(names.index("text")).to_pylist()
-            for at, gone in enumerate(batch.column(names.index("_drop_lines")).to_pylist()):
-                if gone:
-                    gone = set(gone)
-                    texts[at] = "\n".join(line for i, line in enumerate(texts[at].split("\n")) if i not in gone)
-            made = {n: batch.column(i) for i, n in enumerate(names[:-1])} | {"text": texts}
-            if "n_chars" in made:
-                made["n_chars"] = [None if t is None else len(t) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(made[n], type=batch.schema.field(n).type) if isinstance(made[n], list) else made[n] for n in names[:-1]], names=names[:-1])
+            column = dict(zip(batch.schema.names, batch.columns, strict=True))
+            texts = column["text"].to_pylist()
+            drop = zip(column["_drop_lines"].to_pylist(), column["_drop_hashes"].to_pylist(), strict=True)
+            for at, (gone, hashes) in enumerate(drop):
+                if gone and texts[at] is not None:
+                    of = dict(zip(gone, hashes, strict=True))
+                    lines = enumerate(texts[at].split("\n"))
+                    texts[at] = "\n".join(x for i, x in lines if i not in of or line_hash(x.encode().split()) != of[i])
+            column["text"] = pa.array(texts, column["text"].type)
+            if "n_chars" in column:
+                column["n_chars"] = pa.array([None if t is None else len(t) for t in texts], column["n_chars"].type)
+            yield pa.RecordBatch.from_arrays([column[n] for n in columns], names=columns)
 
     return joined.mapInArrow(cut, docs.schema)
 

@@ -1,0 +1,82 @@
+from collections import defaultdict
+
+import pytest
+from tenderlake.llm import line_dedup
+
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(a == b[:k] + b[k + 1 :] for k in range(len(b)))
+
+
+def plain(rows):
+    first, gone = {}, set()
+    for i, text in rows:
+        for n, line in enumerate((text or "").split("\n")):
+            words = tuple(line.split())
+            if len(words) >= line_dedup.MIN_WORDS:
+                if words in first:
+                    gone.add((i, n))
+                else:
+                    first[words] = (i, n)
+    long = [(w, at) for w, at in first.items() if len(w) >= line_dedup.NEAR_WORDS]
+    return gone | {at for w, at in long if any(other < at and near(w, v) for v, other in long)}
+
+
+def test_lines_that_repeat(corpus):
+    docs, rows = corpus
+    found = line_dedup.repeated_lines(docs).collect()
+    assert {(r.id, r.line) for r in found} == plain(rows)
+    assert len(plain(rows)) > 10
+    assert all((r.of_id, r.of_line) < (r.id, r.line) for r in found)
+
+
+def test_text_that_stays(corpus):
+    docs, rows = corpus
+    gone = defaultdict(set)
+    for i, n in plain(rows):
+        gone[i].add(n)
+    kept = line_dedup.drop_repeated_lines(docs)
+    assert kept.schema == docs.schema
+    want = {i: t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i]) for i, t in rows}
+    assert {r.doc_id: r.text for r in kept.collect()} == want
+    assert {r.doc_id: r.n_chars for r in kept.collect()} == {i: None if t is None else len(t) for i, t in want.items()}
+
+
+def test_group_with_one_changing_word(spark):
+    frame = "w1 w2 w3 w4 w5 {} w7 w8 w9 w10 w11"
+    docs = spark.createDataFrame([(i, frame.format(f"n{i}")) for i in range(300)], "doc_id long, text string")
+    found = line_dedup.repeated_lines(docs).collect()
+    assert {(r.id, r.of_id) for r in found} == {(i, 0) for i in range(1, 300)}
+
+
+def test_empty_table_and_odd_rows(no_docs, odd_docs):
+    assert line_dedup.repeated_lines(no_docs).count() == 0
+    assert line_dedup.drop_repeated_lines(no_docs).count() == 0
+    # Rows of one id and text are one document; the null id stands last and loses its copy of the line.
+    texts = sorted((r.doc_id or 99, r.text or "") for r in line_dedup.drop_repeated_lines(odd_docs).collect())
+    assert texts == [(1, "a b c d e f g h i j k"), (1, "a b c d e f g h i j k"), (2, ""), (2, ""), (99, ""), (99, "")]
+
+
+@pytest.mark.parametrize(("a", "b", "same"), [("a b c", "a b c", True), ("a b c", "a x c", True), ("a b c", "a c", True), ("a c", "a b c", True), ("a b c", "b c", True), ("a b c d", "b c d e", False), ("a b", "b a", False), ("", "a", True), ("a", "a b c", False)])
+def test_word_edit(a, b, same):
+    assert line_dedup.within_one(a.split(), b.split()) is same
+
+
+def test_half_keys_of_neighbours_meet():
+    words = [str(i).encode() for i in range(13)]
+    for n in range(1, 13):
+        base = words[:n]
+        for k in range(n):
+            for other in (base[:k] + base[k + 1 :], base[:k] + [b"x"] + base[k + 1 :], base[:k] + [b"x"] + base[k:]):
+                if other:
+                    assert set(line_dedup.half_keys(base)) & set(line_dedup.half_keys(other))
+
+
+def test_rows_that_share_an_id_with_other_texts(spark):
+    line, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, line), (2, line), (2, other), (None, other), (None, line + " more words")], "doc_id long, text string")
+    texts = sorted((r.doc_id or 99, r.text) for r in line_dedup.drop_repeated_lines(docs).collect())
+    assert texts == [(1, line), (2, ""), (2, other), (99, ""), (99, line + " more words")]
