@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.llm.common import id_key, id_out, map_batches, materialize, range_index, table, text_of
+from tenderlake.llm.components import components
 
 WORDS = 5
 PERMUTATIONS = 128
@@ -179,35 +180,65 @@ def fingerprints_with_next(docs: DataFrame, buckets: int | None = None) -> DataF
     return ordered.mapInArrow(run, schema)
 
 
-def near_pairs(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
-    """(a, b, jaccard): linked representatives of distinct texts, by bands joined and verified.
-
-    Equal texts are one node, named by their smallest id. Texts that share a band of their
-    signature meet there; the exact Jaccard of their word windows decides. Only pairs of different
-    texts are made; the work of a band grows with its distinct texts.
-    """
-    text = docs.select(id_key().alias("id"), text_of().alias("text"))
-    nodes = materialize(text.groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("id").alias("id"))).select("id")
-    kept = text.join(nodes, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+def _bands(docs: DataFrame) -> DataFrame:
+    """(id, sha, bands): per row a digest of its text and the hashed bands of its signature."""
 
     def step(batch: pa.RecordBatch, hasher: Hasher) -> dict:
         texts = batch.column("text").to_pylist()
-        cut = np.ascontiguousarray(hasher.signatures(texts)[:, : BANDS * ROWS].reshape(len(texts), BANDS, ROWS).astype(np.uint64))
-        keys = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :].repeat(len(texts), 0)
+        cut = hasher.signatures(texts)[:, : BANDS * ROWS].reshape(len(texts), BANDS, ROWS).astype(np.uint64)
+        keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(texts), 1))
         for k in range(ROWS):
             keys = _mix(keys * BASE + cut[:, :, k])
-        sets = [np.unique(hasher.shingles(hasher.word_hashes(t.encode()))).astype(np.int64) for t in texts]
-        return {"id": batch.column("id"), "bands": list(keys.view(np.int64)), "windows": sets}
-
-    signed = materialize(map_batches(kept, "id long, bands array<long>, windows array<long>", step, Hasher))
-    bands = signed.select("id", F.explode("bands").alias("band"))
-    met = bands.select("band", F.col("id").alias("a")).join(bands.select("band", F.col("id").alias("b")), "band").filter("a < b").select("a", "b").distinct()
-    windows = signed.select("id", "windows")
-    both = met.join(windows.toDF("a", "wa"), "a").join(windows.toDF("b", "wb"), "b")
+        return {"id": batch.column("id"), "sha": [hashlib.sha256(t.encode()).digest() for t in texts], "bands": list(keys.view(np.int64))}
+
+    return map_batches(docs, "id long, sha binary, bands array<long>", step, Hasher)
+
+
+def _windows(docs: DataFrame) -> DataFrame:
+    """(id, windows): the distinct hashed word windows of each row's text."""
+
+    def step(batch: pa.RecordBatch, hasher: Hasher) -> dict:
+        texts = batch.column("text").to_pylist()
+        return {"id": batch.column("id"), "windows": [np.unique(hasher.shingles(hasher.word_hashes(t.encode()))).astype(np.int64) for t in texts]}
+
+    return map_batches(docs, "id long, windows array<long>", step, Hasher)
+
+
+def _verified(pairs: DataFrame, windows: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose Jaccard of word windows is at least ``least``; two without words are alike."""
+    both = pairs.join(windows.toDF("a", "wa"), "a").join(windows.toDF("b", "wb"), "b")
     shared = F.size(F.array_intersect("wa", "wb"))
     every = F.size("wa") + F.size("wb") - shared
-    jaccard = F.when(every == 0, F.lit(1.0)).otherwise(shared / every)
-    return both.select("a", "b", jaccard.alias("jaccard")).filter(F.col("jaccard") >= least)
+    return both.filter(F.when(every == 0, F.lit(True)).otherwise(shared / every >= least)).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """(id, class_id) of every row: the smallest id its links of Jaccard ``least`` and more reach.
+
+    Equal texts are one node, named by their smallest id; rows of one id are one document. Nodes
+    that share a band are held against the band's first node, which puts most of a group of near
+    copies into one class. What a band holds outside its largest class is then held against the
+    members of the other classes, so no link between classes is lost, while the pairs within a
+    class, which grow with its square, are never made.
+    """
+    named = docs.select(id_key().alias("id"), text_of().alias("text"))
+    signed = materialize(_bands(named))
+    nodes = signed.groupBy("sha").agg(F.min("id").alias("node"), F.first("bands").alias("bands"))
+    keyed = materialize(nodes.select(F.explode("bands").alias("band"), F.col("node").alias("id")).distinct())
+    first = keyed.groupBy("band").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "first")
+    met = materialize(keyed.join(first, "band"))
+    windows = materialize(_windows(named.join(met.select("id").distinct(), "id", "left_semi"))).groupBy("id").agg(F.max("windows").alias("windows"))
+    stars = materialize(_verified(met.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), windows, least))
+    near = components(stars)
+    classed = materialize(met.join(near, met["id"] == near["node"], "left").select("band", "id", F.coalesce("root", "id").alias("class")))
+    largest = (
+        classed.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.count(F.lit(1)).alias("classes"))
+    ).filter("classes > 1")
+    other = classed.join(largest, "band").filter("class <> main").select("band", F.col("id").alias("a"), F.col("class").alias("class_a"))
+    across = other.join(classed, "band").filter("class_a <> class").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+    roots = components(stars.union(_verified(across, windows, least)))
+    of_text = nodes.join(roots, "node", "left").select("sha", F.coalesce("root", "node").alias("class_id"))
+    return signed.select("id", "sha").join(of_text, "sha").select("id", "class_id")
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
