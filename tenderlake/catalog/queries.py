@@ -107,7 +107,7 @@ def run_next_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = with_agency(samples.notices(spark, sf_dir), samples.units(spark, sf_dir))
-    return monthly_series(materialize(placed.select("period", "agency_id", "modality_id", "value")), materialize)
+    return monthly_series(placed.select("period", "agency_id", "modality_id", "value"))
 
 
 @query("monthly_series")
@@ -177,13 +177,13 @@ def run_plausibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("value_ratio_group")
 def run_value_ratio_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = materialize(_base(spark, sf_dir))
-    return X.value_ratio(base, base, MIN_GROUP, materialize).select(*KEY, r("value_ratio_group"))
+    return X.value_ratio(base, base, MIN_GROUP).select(*KEY, r("value_ratio_group"))
 
 
 @query("bidders_ratio_modality")
 def run_bidders_ratio_modality(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = materialize(X.participation(_pairs(spark, sf_dir)).join(_base(spark, sf_dir).select(*KEY), KEY))
-    return X.bidders_ratio(counted, counted, materialize).select(*KEY, "n_bidders", "n_winners", "winner_id", r("bidders_ratio_modality"))
+    return X.bidders_ratio(counted, counted).select(*KEY, "n_bidders", "n_winners", "winner_id", r("bidders_ratio_modality"))
 
 
 @query("win_rate")
@@ -200,12 +200,12 @@ def run_agency_hhi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("item_ratio_max")
 def run_item_ratio_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.item_features(samples.items(spark, sf_dir), CUT, materialize).select(*KEY, r("item_ratio_max"))
+    return X.item_features(samples.items(spark, sf_dir), CUT).select(*KEY, r("item_ratio_max"))
 
 
 @query("implausible_flag")
 def run_implausible_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.item_features(samples.items(spark, sf_dir), CUT, materialize).select(*KEY, "has_implausible_item")
+    return X.item_features(samples.items(spark, sf_dir), CUT).select(*KEY, "has_implausible_item")
 
 
 @query("no_winner_flag")

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.operators.quantiles import exact_quantiles
-from tenderlake.session import materialize
 
 TREES = 100
 SUBSAMPLE = 256
@@ -32,7 +31,7 @@ def robust_stats(matrix: DataFrame, features: list[str]) -> DataFrame:
         [], features, "feature", "_value"
     )
     wanted = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    quartiles = exact_quantiles(long, ["feature"], "_value", wanted, stage=materialize)
+    quartiles = exact_quantiles(long, ["feature"], "_value", wanted)
     spread = F.col("q3") - F.col("q1")
     return quartiles.select("feature", "median", F.when(spread == 0, 1.0).otherwise(spread).alias("iqr"))
 
@@ -115,6 +114,18 @@ def _hashed(seed: int, *cols: Column) -> Column:
     return F.xxhash64(F.lit(seed), *cols) / F.lit(2.0**64) + F.lit(0.5)
 
 
+def drawn_rows(matrix: DataFrame, features: list[str], key: list[str], seed: int, trees: int, share: float) -> DataFrame:
+    """(features, _tie, _tree, _draw): the rows whose draw for a tree is below ``share``.
+
+    A row goes to the shuffle only for the trees that have drawn it.
+    """
+    keys = [F.col(k) for k in key]
+    hit = lambda tree: _hashed(seed + 1, tree, *keys)
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: hit(tree) < F.lit(share))
+    rows = matrix.select(*[F.col(f).cast("double").alias(f) for f in features], *key, F.explode(chosen).alias("_tree"))
+    return rows.select(*features, F.xxhash64(*keys).alias("_tie"), "_tree", hit(F.col("_tree")).alias("_draw"))
+
+
 def _scores(x: np.ndarray, arrays: tuple[np.ndarray, ...], levels: int, scale: float) -> np.ndarray:
     """Rows walk down one tree at a time, all rows together."""
     feature, threshold, left, right, depth, roots = arrays
@@ -156,9 +167,9 @@ class IsolationForest:
     ) -> IsolationForest:
         """Grow each tree from its own subsample, one task per tree.
 
-        Draws are hashes of the row key, so they do not depend on the order or the partitioning
-        of the rows. A first draw keeps a pool a few times larger than all subsamples together;
-        only the pool is drawn from once per tree.
+        Draws are hashes of the row key and the tree, so they do not depend on the order or the
+        partitioning of the rows. Every row is drawn for by every tree, in one narrow pass; about
+        four subsamples per tree leave it, of which the tree keeps the lowest draws.
         """
         missing = [F.count_if(F.col(f).isNull()).alias(f) for f in features]
         counts = matrix.agg(F.count(F.lit(1)).alias("_n"), *missing).first()
@@ -169,23 +180,12 @@ class IsolationForest:
         if nulls:
             raise ValueError(f"the matrix has nulls in {nulls}: decide what they mean before scoring")
 
-        keys = [F.col(k) for k in key]
-        pool_size = min(n, 2 * trees * subsample)
-        pool = matrix if pool_size == n else matrix.filter(_hashed(seed, *keys) < F.lit(pool_size / n))
-        drawn = pool.select(
-            *[F.col(f).cast("double").alias(f) for f in features],
-            F.xxhash64(*keys).alias("_tie"),
-            *key,
-        ).withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        # About four subsamples per tree survive; the tree keeps the lowest draws among them.
-        drawn = drawn.withColumn("_draw", _hashed(seed + 1, F.col("_tree"), *keys)).filter(
-            F.col("_draw") < F.lit(min(1.0, 4.0 * subsample / pool_size))
-        )
+        drawn = drawn_rows(matrix, features, key, seed, trees, min(1.0, 4.0 * subsample / n))
 
         def grow(sample: pd.DataFrame) -> pd.DataFrame:
             return _grow(sample, features, seed, subsample)
 
-        nodes = drawn.drop(*key).groupBy("_tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        nodes = drawn.groupBy("_tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
         nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
         root = nodes.index.to_series().where(nodes["node"] == 0).ffill().to_numpy(int)
         return cls(

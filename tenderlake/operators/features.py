@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions.periods import month
 from tenderlake.functions.scalars import PLAUSIBILITY_CUT, is_identity, is_plausible, ratio
-from tenderlake.operators.quantiles import Stage, exact_median
+from tenderlake.operators.quantiles import exact_median
 from tenderlake.operators.ranking import keep_last
 from tenderlake.schemas import KEY
 
@@ -44,12 +46,12 @@ def notice_base(notices: DataFrame) -> DataFrame:
 
 
 def value_ratio(
-    rows: DataFrame, base: DataFrame, min_group: int = MIN_GROUP, stage: Stage | None = None
+    rows: DataFrame, base: DataFrame, min_group: int = MIN_GROUP
 ) -> DataFrame:
     """Adds value / median of its (agency, modality), or of its modality when the group is small."""
     size = {"_size": (F.count(F.lit(1)), F.sum)}
-    group = exact_median(base, ["agency_id", "modality_id"], "value", "_group_median", extras=size, stage=stage)
-    modality = exact_median(base, ["modality_id"], "value", "_modality_median", stage=stage)
+    group = exact_median(base, ["agency_id", "modality_id"], "value", "_group_median", extras=size)
+    modality = exact_median(base, ["modality_id"], "value", "_modality_median")
     reference = F.when(F.col("_size") >= min_group, F.col("_group_median")).otherwise(F.col("_modality_median"))
     return (
         rows.join(group, ["agency_id", "modality_id"], "left")
@@ -84,12 +86,12 @@ def participation(pairs: DataFrame) -> DataFrame:
     )
 
 
-def bidders_ratio(rows: DataFrame, counted: DataFrame, stage: Stage | None = None) -> DataFrame:
+def bidders_ratio(rows: DataFrame, counted: DataFrame) -> DataFrame:
     """Adds distinct bidders / median of the modality.
 
     ``counted`` are the known notices that have bids, with ``n_bidders``.
     """
-    typical = exact_median(counted, ["modality_id"], "n_bidders", "_typical", stage=stage)
+    typical = exact_median(counted, ["modality_id"], "n_bidders", "_typical")
     return (
         rows.join(typical, "modality_id", "left")
         .withColumn("bidders_ratio_modality", ratio(F.col("n_bidders"), F.col("_typical")))
@@ -125,13 +127,12 @@ def mark_plausible(items: DataFrame, cut: float = PLAUSIBILITY_CUT) -> DataFrame
     return items.withColumn("plausible", is_plausible(F.col("quantity"), F.col("unit_value"), cut))
 
 
-def item_features(items: DataFrame, cut: float = PLAUSIBILITY_CUT, stage: Stage | None = None) -> DataFrame:
+def item_features(items: DataFrame, cut: float = PLAUSIBILITY_CUT) -> DataFrame:
     """Per notice: largest price ratio among plausible items, and whether any is implausible."""
     marked = mark_plausible(items.select(*KEY, "item_code", "quantity", "unit_value"), cut)
     marked = marked.drop("quantity")
-    marked = stage(marked) if stage else marked
     typical = exact_median(
-        marked.filter("plausible and unit_value > 0"), ["item_code"], "unit_value", "_typical", stage=stage
+        marked.filter("plausible and unit_value > 0"), ["item_code"], "unit_value", "_typical"
     )
     return (
         marked.join(typical, "item_code", "left")
@@ -162,7 +163,7 @@ def feature_matrix(
     bids: DataFrame,
     min_group: int = MIN_GROUP,
     cut: float = PLAUSIBILITY_CUT,
-    stage: Stage | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per notice: the natural key, its period and the eight attributes.
 
@@ -176,10 +177,10 @@ def feature_matrix(
     # Joins on the natural key first: they share one partitioning. The sides after that are
     # group statistics, which the adaptive planner broadcasts only when they are small.
     bidders = keep(participation(pairs))
-    rows = base.join(bidders, KEY, "left").join(item_features(items, cut, stage), KEY, "left")
+    rows = base.join(bidders, KEY, "left").join(item_features(items, cut), KEY, "left")
     rows = rows.join(record.select("agency_id", "winner_id", "winner_win_rate"), ["agency_id", "winner_id"], "left")
-    rows = bidders_ratio(rows, bidders.join(base.select(*KEY), KEY), stage)
-    rows = value_ratio(rows, base, min_group, stage)
+    rows = bidders_ratio(rows, bidders.join(base.select(*KEY), KEY))
+    rows = value_ratio(rows, base, min_group)
     rows = rows.join(concentration(record), "agency_id", "left")
     rows = rows.join(seasonal(base), ["agency_id", "period"], "left")
     return rows.select(

@@ -1,10 +1,9 @@
 """Exact grouped quantiles that stay distributed however large one group is.
 
-Spark's own ``percentile`` keeps every distinct value of a group in the memory of one task.
-Here ordinary groups are sorted side by side, which spills; the few groups above a row limit go
-another way. For those a bounded sketch (``percentile_approx``) brackets each wanted rank, and a
-second pass counts what lies outside the brackets inside the map-side aggregation and moves only
-the few values within them, from which the exact order statistics are read.
+Spark's own ``percentile`` keeps every distinct value of a group in the memory of one task. Here
+equal values are counted on the map side, the distinct ones are dealt out by group and a slice of
+the number line, and ranked there; the sizes of the slices before it place a slice in its group.
+One plan serves groups of every size.
 """
 
 from __future__ import annotations
@@ -15,80 +14,68 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups with more rows than this are bracketed. There are at most rows / LARGE_GROUP of them,
-# which bounds what is broadcast.
-LARGE_GROUP = 1_000_000
+# Slices per factor e of a value's size: neighbours in a slice differ by about a tenth of a percent.
+SLICES = 1024
 
-# Sketch accuracy: rank error is at most rows / ACCURACY, so a bracket holds about
-# 6 / ACCURACY of its group.
-ACCURACY = 20_000
-
-Stage = Callable[[DataFrame], DataFrame]
 Extra = tuple[Column, Callable[[Column], Column]]
 
 
+def _slice(value: Column) -> Column:
+    """A number that never falls while ``value`` rises; null for null, the largest for NaN."""
+    size = F.signum(value) * F.log1p(F.abs(value)) * F.lit(SLICES)
+    bounded = F.greatest(F.lit(-1e9), F.least(F.lit(1e9), F.floor(size).cast("double")))
+    return F.when(value.isNotNull(), F.when(F.isnan(value), F.lit(2_000_000_000)).otherwise(bounded.cast("int")))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
     value: str,
     outputs: dict[str, float],
     extras: dict[str, Extra] | None = None,
-    large_group: int = LARGE_GROUP,
-    stage: Stage | None = None,
 ) -> DataFrame:
     """One row per group: each ``outputs`` name holds the linear-interpolated quantile.
 
     ``extras`` maps a name to (aggregate over rows, aggregate merging two of those), computed in
-    the same pass. Null values do not count; a null key is a group.
-
-    The plan covers both kinds of group, and the adaptive planner drops the branch for large
-    ones when there is none. A job may pass ``stage`` (``materialize``) to look at the list of
-    large groups first, which leaves a much smaller plan in the usual case.
+    the same pass. Null values do not count; a null key is a group. Nothing runs until the result
+    is used.
     """
     extras = extras or {}
-    rows = df.withColumn("_v", F.col(value).cast("double"))
-    # Rows without a value count here too: they would be sorted along with the others.
-    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > large_group)
-    if stage:
-        large = stage(large)
-        if large.isEmpty():
-            return _sorted_groups(rows, keys, outputs, extras)
-    small = _sorted_groups(_match(rows, large, keys, "left_anti"), keys, outputs, extras)
-    return small.unionByName(_bracketed_groups(rows, large, keys, outputs, extras))
-
-
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str, **kwargs) -> DataFrame:
-    return exact_quantiles(df, keys, value, {name: 0.5}, **kwargs)
-
-
-def _match(rows: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Joins rows with a bounded list of groups; null keys match."""
-    listed = F.broadcast(groups.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    return rows.join(listed, same, how).drop(*[f"_k_{k}" for k in keys])
-
-
-def _sorted_groups(rows: DataFrame, keys: list[str], outputs: dict[str, float], extras: dict[str, Extra]) -> DataFrame:
-    """Groups of bounded size: one shuffle and one sort."""
-    group = Window.partitionBy(*keys)
-    ranked = rows.withColumns(
-        {
-            "_rank": F.row_number().over(group.orderBy(F.col("_v").asc_nulls_last())) - 1,
-            "_n": F.count("_v").over(group),
-        }
+    valued = df.withColumn("_v", F.col(value).cast("double")).withColumn("_slice", _slice(F.col("_v")))
+    counted = valued.groupBy(*keys, "_slice", "_v").agg(
+        F.count("_v").alias("_cnt"), *[first.alias(name) for name, (first, _) in extras.items()]
+    )
+    within = Window.partitionBy(*keys, "_slice")
+    upward = within.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("_end", F.sum("_cnt").over(upward))
+    # At most as many rows per group as there are slices, whatever the group's size.
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.groupBy(*keys, "_slice").agg(F.sum("_cnt").alias("_size")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_slice").alias("_k_slice"),
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+        F.sum("_size").over(whole).alias("_n"),
     )
-    n = F.col("_n")
+    pairs = [*((k, f"_k_{k}") for k in keys), ("_slice", "_k_slice")]
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in pairs])
+    ranked = placed.join(offsets, same).withColumn("_end", F.col("_end") + F.col("_before"))
     picked = []
     for i, p in enumerate(outputs.values()):
-        position = (n - 1) * F.lit(p)
+        position = (F.col("_n") - 1) * F.lit(p)
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            picked.append(F.max(F.when(F.col("_rank") == rank, F.col("_v"))).alias(f"_{side}{i}"))
+            held = (rank >= F.col("_end") - F.col("_cnt")) & (rank < F.col("_end"))
+            picked.append(F.max(F.when(held, F.col("_v"))).alias(f"_{side}{i}"))
     merged = ranked.groupBy(*keys).agg(
-        F.max("_n").alias("_n"), *picked, *[first.alias(name) for name, (first, _) in extras.items()]
+        F.max("_n").alias("_n"), *picked, *[merge(F.col(name)).alias(name) for name, (_, merge) in extras.items()]
     )
     return merged.select(*keys, *_weighted(outputs), *extras)
 
 
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str, **kwargs) -> DataFrame:
+    return exact_quantiles(df, keys, value, {name: 0.5}, **kwargs)
+
+
 def _weighted(outputs: dict[str, float]) -> list[Column]:
     columns = []
     for i, (name, p) in enumerate(outputs.items()):
@@ -96,69 +83,3 @@ def _weighted(outputs: dict[str, float]) -> list[Column]:
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         columns.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
     return columns
-
-
-def _bracketed_groups(
-    rows: DataFrame, large: DataFrame, keys: list[str], outputs: dict[str, float], extras: dict[str, Extra]
-) -> DataFrame:
-    """Groups of any size: sketch, count around the brackets, rank the values within them."""
-    probs = list(outputs.values())
-    margin = 2.0 / ACCURACY
-    marks = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketched = _match(rows, large.drop("_n"), keys, "inner")
-    brackets = sketched.groupBy(*keys).agg(
-        F.percentile_approx("_v", marks, ACCURACY).alias("_marks"), F.count("_v").alias("_n")
-    )
-    joined = _match(rows, brackets, keys, "inner")
-
-    v = F.col("_v")
-    inside, gap = F.lit(False), F.lit(0)
-    for i in range(len(probs)):
-        low, high = F.get("_marks", F.lit(2 * i)), F.get("_marks", F.lit(2 * i + 1))
-        inside = inside | v.between(low, high)
-        gap = gap + F.when(v > high, 1).otherwise(0)
-
-    segments = joined.groupBy(
-        *keys,
-        F.when(v.isNull(), -1).when(~inside, gap).alias("_gap"),
-        F.when(inside, v).alias("_in"),
-    ).agg(
-        F.count("_v").alias("_cnt"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.max("_n").alias("_n"),
-        *[first.alias(name) for name, (first, _) in extras.items()],
-    )
-    running = Window.partitionBy(*keys).orderBy(F.col("_min").asc_nulls_first())
-    running = running.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = segments.withColumn("_end", F.sum("_cnt").over(running))
-    picked = []
-    for i, p in enumerate(probs):
-        position = (F.col("_n") - 1) * F.lit(p)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            picked.append(F.max(_value_at(rank)).alias(f"_{side}{i}"))
-    merged = placed.groupBy(*keys).agg(
-        F.max("_n").alias("_n"),
-        *picked,
-        *[merge(F.col(name)).alias(name) for name, (_, merge) in extras.items()],
-    )
-    # The sketch guarantees its error; should that ever fail, fail loudly.
-    lost = reduce(lambda a, b: a | b, [F.col(f"_{s}{i}").isNull() for i in range(len(probs)) for s in ("lo", "hi")])
-    failure = F.raise_error(F.lit("quantile outside its sketch bracket")).cast("bigint")
-    checked = merged.withColumn("_n", F.when((F.col("_n") > 0) & lost, failure).otherwise(F.col("_n")))
-    return checked.select(*keys, *_weighted(outputs), *extras)
-
-
-def _value_at(rank: Column) -> Column:
-    """The value of a zero-based rank, where this segment knows it.
-
-    A segment of equal values knows all its ranks; any other knows its first and its last.
-    """
-    end, count = F.col("_end"), F.col("_cnt")
-    low, high = F.col("_min"), F.col("_max")
-    within = (rank >= end - count) & (rank < end)
-    return (
-        F.when(within & (low == high), low)
-        .when(within & (rank == end - count), low)
-        .when(within & (rank == end - 1), high)
-    )

@@ -1,4 +1,4 @@
-"""Exact quantiles against numpy, on every path: sorted groups, bracketed groups, and a mix."""
+"""Exact quantiles against numpy."""
 
 import numpy as np
 import pytest
@@ -21,8 +21,7 @@ def skewed(spark):
     return df.toPandas(), df
 
 
-@pytest.mark.parametrize("large_group", [10**9, 1000, 0])
-def test_matches_numpy(spark, skewed, large_group):
+def test_matches_numpy(spark, skewed):
     pandas, df = skewed
     out = exact_quantiles(
         df,
@@ -30,7 +29,6 @@ def test_matches_numpy(spark, skewed, large_group):
         "v",
         {"q1": 0.25, "q2": 0.5, "q3": 0.75, "p99": 0.99},
         extras={"n": (F.count(F.lit(1)), F.sum), "total": (F.sum("v"), F.sum)},
-        large_group=large_group,
     ).collect()
     groups = {(None if np.isnan(g) else int(g)): part["v"] for g, part in pandas.groupby("g", dropna=False)}
     assert {r.g for r in out} == set(groups)
@@ -41,18 +39,30 @@ def test_matches_numpy(spark, skewed, large_group):
         np.testing.assert_allclose(r.total, values.sum(), rtol=1e-9)
 
 
-@pytest.mark.parametrize("large_group", [10**9, 0])
 @pytest.mark.parametrize("n", range(1, 12))
-def test_tiny_groups(spark, n, large_group):
+def test_tiny_groups(spark, n):
     df = spark.createDataFrame([(1, float(i * i)) for i in range(n)], "g int, v double")
-    row = exact_quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.75}, large_group=large_group).first()
+    row = exact_quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.75}).first()
     np.testing.assert_allclose(row[1:], np.percentile([float(i * i) for i in range(n)], [25, 50, 75]))
 
 
-@pytest.mark.parametrize("large_group", [10**9, 1, 0])
-def test_group_of_nulls_has_no_median(spark, large_group):
+def test_group_of_nulls_has_no_median(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, 5.0)], "g int, v double")
-    assert {r.g: r.m for r in exact_median(df, ["g"], "v", "m", large_group=large_group).collect()} == {1: None, 2: 5.0}
+    assert {r.g: r.m for r in exact_median(df, ["g"], "v", "m").collect()} == {1: None, 2: 5.0}
+
+
+def test_values_of_every_sign_and_size(spark):
+    values = [s * 10.0**e * f for s in (-1, 1) for e in range(-12, 13, 3) for f in (1, 1.0001, 2)] + [0.0, -0.0, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(1, v) for v in values], "g int, v double")
+    row = exact_quantiles(df, ["g"], "v", {f"p{i}": i / (len(values) - 1) for i in range(len(values))}).first()
+    np.testing.assert_allclose([row[f"p{i}"] for i in range(len(values))][1:-1], sorted(values)[1:-1])
+
+
+def test_building_runs_no_job(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    exact_median(skewed[1], ["g"], "v", "m")
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_row_numbers_are_dense_and_ordered_under_ties(spark):
