@@ -399,7 +399,7 @@ def run_backtest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = _points(spark, sf_dir)
     at = ["series_key", "target", "origin", "step"]
     last = S.backtest_naive(points, HORIZON, MIN_TRAIN, m=1).select(*at, F.col("predicted").alias("baseline"))
-    paired = S.backtest_naive(points, HORIZON, MIN_TRAIN).join(last, at)
+    paired = S.backtest_naive(points, HORIZON, MIN_TRAIN).join(last, at, "left")
     errors = error_metrics(paired, ["series_key", "target"], "observed", "predicted", "baseline")
     return errors.select("series_key", "target", r("mae"), r("rmse"), r("mape"), "mape_skipped", r("mase"))
 

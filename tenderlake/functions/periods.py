@@ -49,7 +49,7 @@ def span(start: Column, end: Column) -> Column:
 def parse(period: str) -> str:
     """Validate a job argument."""
     if not re.match(PERIOD_PATTERN, period):
-        raise ValueError(f"invalid period {period!r}: use yyyyMM, such as 202401")
+        raise ValueError(f"{period!r} is not a period: four digits of the year, two of the month")
     return period
 
 
@@ -57,6 +57,6 @@ def listing(start: str, end: str) -> list[str]:
     """Periods named by two job arguments."""
     parse(start), parse(end)
     if start > end:
-        raise ValueError(f"inverted period range: {start} is after {end}")
+        raise ValueError(f"the range would end ({end}) before it starts ({start})")
     first, last = (int(p[:4]) * 12 + int(p[4:]) - 1 for p in (start, end))
     return [f"{m // 12:04d}{m % 12 + 1:02d}" for m in range(first, last + 1)]

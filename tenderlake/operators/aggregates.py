@@ -64,7 +64,7 @@ def supplier_series(items: DataFrame) -> DataFrame:
 
 
 def supplier_total(series: DataFrame) -> DataFrame:
-    """The series over all periods; derived from it so that both reconcile."""
+    """Sums of the supplier series over its periods."""
     return series.groupBy("supplier_id").agg(
         F.sum("items_won").alias("items_won"),
         F.sum("distinct_notices").alias("distinct_notices"),

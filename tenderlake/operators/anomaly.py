@@ -1,6 +1,6 @@
 """Atypicality of notices: robust scaling, isolation forest and contributions.
 
-The wording is deliberate: scores and deviations, never accusations.
+A high score says that a notice is unlike the others, and nothing about why.
 """
 
 from __future__ import annotations
@@ -175,10 +175,10 @@ class IsolationForest:
         counts = matrix.agg(F.count(F.lit(1)).alias("_n"), *missing).first()
         n = counts["_n"]
         if n == 0:
-            raise ValueError("an empty matrix has nothing to score")
+            raise ValueError("no rows to grow trees from")
         nulls = sorted(f for f in features if counts[f])
         if nulls:
-            raise ValueError(f"the matrix has nulls in {nulls}: decide what they mean before scoring")
+            raise ValueError(f"nulls in {nulls}: fill them before fitting")
 
         drawn = drawn_rows(matrix, features, key, seed, trees, min(1.0, 4.0 * subsample / n))
 

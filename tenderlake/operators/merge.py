@@ -69,7 +69,7 @@ def modality_batch(notices: DataFrame) -> DataFrame:
 
 
 def agency_batch(notices: DataFrame) -> DataFrame:
-    """Parents first and without a parent, members last, so a code in both roles keeps its parent."""
+    """Every agency named, as parent or as member; the member rows win and carry the parent code."""
     # Line numbers stay below 2^40, so members sort after every parent row.
     parents = notices.select(
         F.col("parent_agency_id").alias("agency_id"),

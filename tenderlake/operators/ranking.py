@@ -49,6 +49,6 @@ def keep_last(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return picked.select(*[F.col(c) if c in key else F.col(f"_row.{c}") for c in df.columns])
 
 
-def latest(df: DataFrame, by: str) -> DataFrame:
-    """The single most recent record."""
-    return df.orderBy(F.col(by).desc()).limit(1)
+def latest(df: DataFrame, *by: str) -> DataFrame:
+    """The single most recent record by the first column, equal ones by the next."""
+    return df.orderBy(*[F.col(c).desc() for c in by]).limit(1)

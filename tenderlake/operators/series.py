@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlake.functions.periods import from_date, index, span
@@ -11,10 +11,7 @@ SEASON = 12
 
 
 def series_bounds(series: DataFrame) -> DataFrame:
-    """Per series: first period, last period of the whole table, and points between them.
-
-    Every series ends at the same present, so the length is known before filling any gap.
-    """
+    """Per series: its first period, the last one of the table, and how many months these span."""
     end = series.agg(F.max("period").alias("end")).scalar()
     bounds = series.groupBy("series_key").agg(F.min("period").alias("start"))
     bounds = bounds.withColumn("end", end)
@@ -94,7 +91,10 @@ def test_points(points: DataFrame, h: int, min_train: int) -> DataFrame:
     _require(h=h, min_train=min_train)
     windows_after = F.ceil((F.col("n_points") - F.col("pos")) / F.lit(h)).cast("int")
     located = points.withColumn("origin", F.col("n_points") - windows_after * h)
-    return located.filter(F.col("origin") >= min_train).withColumn("step", F.col("pos") - F.col("origin") + 1)
+    tests = located.filter(F.col("origin") >= min_train).withColumn("step", F.col("pos") - F.col("origin") + 1)
+    held = F.count(F.lit(1)).over(Window.partitionBy("series_key", "target", "origin"))
+    gap = F.raise_error(F.lit("a test window lacks points")).cast("int")
+    return tests.withColumn("step", F.when(held == h, F.col("step")).otherwise(gap))
 
 
 def backtest_naive(points: DataFrame, h: int, min_train: int, m: int = SEASON) -> DataFrame:
@@ -103,4 +103,5 @@ def backtest_naive(points: DataFrame, h: int, min_train: int, m: int = SEASON) -
     source: Column = F.col("origin") - m + (F.col("step") - 1) % m
     past = points.select("series_key", "target", F.col("pos").alias("_pos"), F.col("observed").alias("predicted"))
     tests = test_points(points, h, min_train).withColumn("_pos", source)
-    return tests.join(past, ["series_key", "target", "_pos"]).drop("_pos", "n_points")
+    # A point whose source is missing stays, without a prediction.
+    return tests.join(past, ["series_key", "target", "_pos"], "left").drop("_pos", "n_points")

@@ -26,8 +26,8 @@ def ingest_report(unpacked: DataFrame) -> DataFrame:
 def ingest(spark: SparkSession, bronze: str, silver: str, periods: list[str]) -> DataFrame:
     """Parses the archives of ``periods`` and replaces those periods in silver.
 
-    A period whose archive is unavailable or unusable is reported and keeps its former silver;
-    it never stops the others.
+    The report has a row for each of them. Where there is no usable archive it says so, and what
+    silver held of that month is left alone.
     """
     staged = materialize(unpack(read_archives(spark, bronze, periods)), partition_by="table")
     report = materialize(ingest_report(staged))

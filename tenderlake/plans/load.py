@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from tenderlake.session import materialize
 from tenderlake.sources.silver import read_silver
 from tenderlake.sources.tables import Tables
 
+T = TypeVar("T")
+
 # Columns a notice and its dimensions cannot do without.
 REQUIRED = [*KEY, "unit_name", "modality_name", "agency_id", "agency_name"]
 
@@ -32,30 +36,53 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _tried(periods: list[str], errors: dict[str, str | None], step: Callable[[list[str]], T]) -> list[T]:
+    """``step`` of all periods at once; if that fails, of each by itself, with the reason for those that fail."""
+    if not periods:
+        return []
+    try:
+        return [step(periods)]
+    except Exception as error:
+        if len(periods) == 1:
+            errors[periods[0]] = str(error).strip().split("\n")[0][:500] or type(error).__name__
+            return []
+    return [made for period in periods for made in _tried([period], errors, step)]
+
+
 def load(spark: SparkSession, silver: str, tables: Tables, periods: list[str]) -> DataFrame:
     """Merges ``periods`` of silver into the serving tables and logs every period.
 
     All periods go through one pass per table, with the outcome of loading them one after the
     other in period order. Only the partitions holding a touched notice are rewritten. Running
-    it again changes nothing.
+    it again changes nothing. If the pass fails, the periods are tried one by one: what is wrong
+    with one is its own log row, its tables stay as they were, and the others are loaded.
     """
     started = _now()
-    every = {t: read_silver(spark, silver, t, periods) for t in ("notice", "item", "bid")}
-    health = {row["period"]: row for row in period_health(every["notice"]).collect()}
-    errors = {p: None for p in periods}
+    errors: dict[str, str | None] = dict.fromkeys(periods)
+
+    def read(some: list[str]) -> dict[str, DataFrame]:
+        return {t: read_silver(spark, silver, t, some) for t in ("notice", "item", "bid")}
+
+    def look(some: list[str]) -> tuple[dict, DataFrame]:
+        every = read(some)
+        sizes = [d.groupBy("period").agg(F.count(F.lit(1)).alias("rows")) for d in every.values()]
+        health = {row["period"]: row for row in period_health(every["notice"]).collect()}
+        return health, materialize(reduce(DataFrame.unionByName, sizes))
+
+    looks = _tried(periods, errors, look)
+    health = {p: row for found, _ in looks for p, row in found.items()}
     for p in periods:
-        if p not in health:
-            errors[p] = "silver missing or empty: run ingest first"
-        elif health[p]["lacking"]:
+        if errors[p] is None and p not in health:
+            errors[p] = "no notices in silver; its archive has to be ingested before"
+        elif errors[p] is None and health[p]["lacking"]:
             errors[p] = f"{health[p]['lacking']} notices lack a required column"
     good = [p for p in periods if errors[p] is None]
-    counts = spark.createDataFrame([], "period string, rows bigint")
-    if good:
-        notices, items, bids = (every[t].filter(F.col("period").isin(good)) for t in ("notice", "item", "bid"))
-        counts = _merge(tables, notices, items, bids)
-    read = reduce(DataFrame.unionByName, [d.groupBy("period").agg(F.count(F.lit(1)).alias("rows")) for d in every.values()])
+    merged = _tried(good, errors, lambda some: _merge(tables, **{f"{t}s": d for t, d in read(some).items()}))
+    none = spark.createDataFrame([], "period string, rows bigint")
+    counts = reduce(DataFrame.unionByName, merged, none)
+    rows_read = reduce(DataFrame.unionByName, [sizes for _, sizes in looks], none)
     outcome = spark.createDataFrame(list(errors.items()), "period string, error string")
-    accounted = merge.accounting(read, counts)
+    accounted = merge.accounting(rows_read, counts)
     zero = F.lit(0).cast("long")
     log = outcome.join(accounted, "period", "left").select(
         "period",
@@ -72,15 +99,20 @@ def load(spark: SparkSession, silver: str, tables: Tables, periods: list[str]) -
 
 
 def _merge(tables: Tables, notices: DataFrame, items: DataFrame, bids: DataFrame) -> DataFrame:
-    """Applies the batches and returns rows inserted per period."""
+    """Applies the batches and returns rows inserted per period.
+
+    Everything is computed and written aside before the first table changes, so an input that
+    cannot be read or a computation that fails leaves all tables as they were.
+    """
     batches = {
         "modality": merge.modality_batch(notices),
         "agency": merge.agency_batch(notices),
         "unit": merge.unit_batch(notices),
         "supplier": merge.supplier_batch(items, bids),
     }
-    for name, batch in batches.items():
-        tables.replace(name, merge.upsert(tables.read(name), batch, name).drop("_since"))
+    dimensions = {
+        name: materialize(merge.upsert(tables.read(name), batch, name).drop("_since")) for name, batch in batches.items()
+    }
 
     batch = merge.notice_batch(notices)
     stored = tables.read("notice")
@@ -100,14 +132,20 @@ def _merge(tables: Tables, notices: DataFrame, items: DataFrame, bids: DataFrame
         owners = known.unionByName(materialize(others.join(rows.select(*KEY), KEY, "left_semi")))
         children.append((name, rows, owners))
     inserted = materialize(merge.inserted_counts(batch, [(rows, owners) for _, rows, owners in children]))
+    facts = {}
     for name, rows, owners in children:
         held = [r["period"] for r in owners.select("period").distinct().collect()]
         before = tables.read(name).filter(F.col("period").isin(held))
-        tables.replace_partitions(name, merge.replace_children(before, rows, owners), "period")
+        facts[name] = materialize(merge.replace_children(before, rows, owners))
+
+    for name, rows in dimensions.items():
+        tables.replace(name, rows)
+    for name, rows in facts.items():
+        tables.replace_partitions(name, rows, "period")
     tables.replace_partitions("notice", folded.select(*SERVING["notice"].names), "period")
     return inserted
 
 
 def last_ingestion(tables: Tables) -> DataFrame:
-    """The most recent log row."""
-    return latest(tables.read("ingestion_log"), "finished_at")
+    """The most recent log row; of those that ended together, the one of the latest period."""
+    return latest(tables.read("ingestion_log"), "finished_at", "period")

@@ -23,7 +23,7 @@ def record_run(
     metrics: dict,
     window: tuple[str | None, str | None] = (None, None),
 ) -> None:
-    """The table holds state, not history: a run replaces the previous one of its type."""
+    """Writes the one row of this run type, in place of any before it."""
     executed = datetime.now(timezone.utc).replace(tzinfo=None)
     row = (run_id, run_type, algorithm, json.dumps(params), json.dumps(metrics), *window, executed)
     df = tables.spark.createDataFrame([row], SERVING["model_run"])

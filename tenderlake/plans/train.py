@@ -24,7 +24,7 @@ from tenderlake.plans.runs import new_run_id, record_run
 from tenderlake.schemas import SERVING
 from tenderlake.sources.tables import Tables
 
-# Fixed value: two yearly cycles, below which a season cannot be estimated.
+# Fixed value: months of history, two years, that a series must have before its first forecast.
 MIN_TRAIN = 24
 
 
@@ -86,5 +86,6 @@ def backtest(points: DataFrame, h: int = 12, min_train: int = MIN_TRAIN) -> Data
     """Errors per series and target of the model, relative to the seasonal naive baseline."""
     naive = backtest_naive(points, h, min_train).withColumnRenamed("predicted", "baseline")
     model = backtest_forecast(points, h, min_train)
-    paired = naive.join(model, ["series_key", "target", "origin", "step"])
+    # A point that the model does not answer stays and is refused by the metrics.
+    paired = naive.join(model, ["series_key", "target", "origin", "step"], "left")
     return error_metrics(paired, ["series_key", "target"], "observed", "predicted", "baseline")

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import csv
 import io
-import re
 import struct
 import zipfile
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import dropwhile, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,17 +27,19 @@ from tenderlake.sources.files import any_match
 
 STATUS = "status"
 INTACT, PARTIAL, ERROR = "intact", "partial", "error"
-UNPACKED = "period string, path string, table string, line_no bigint, layout string, line string, outcome string, message string"
+UNPACKED = "period string, path string, table string, line_no bigint, line string, outcome string, message string"
 
-# Fixed values of the ZIP format: local header signature and its field offsets.
-LOCAL_SIGNATURE = b"PK\x03\x04"
-LOCAL_HEADER = "<4s2xHH8xIIHH"
-DEFLATED = 8
+# Fixed values of the ZIP format: a member's header, the record that may follow its data, flags.
+HEADER_MARK, DESCRIPTOR_MARK = b"PK\x03\x04", b"PK\x07\x08"
+HEADER, HEADER_SIZE = "<4sHHHHHIIIHH", 30
+DESCRIPTOR, DESCRIPTOR_SIZE = "<III", 12
+ENCRYPTED, SIZES_FOLLOW = 1, 8
+STORED, DEFLATED = 0, 8
 
 ENCODING = "latin-1"
 CHUNK_LINES = 20_000
-# Columns a file may carry beyond the modelled ones.
-SPARE_FIELDS = 8
+# A file of this many bytes or more does not fit into one binary value.
+LARGEST = (1 << 31) - 1024
 
 
 def read_archives(spark: SparkSession, bronze: str, periods: list[str]) -> DataFrame:
@@ -48,8 +49,11 @@ def read_archives(spark: SparkSession, bronze: str, periods: list[str]) -> DataF
     if not any_match(spark, pattern):
         return spark.createDataFrame([], "period string, path string, content binary")
     files = spark.read.format("binaryFile").load(pattern)
-    period = F.regexp_substr("path", F.lit(r"\d{6}(?=[^/]*\.zip$)"))
-    return files.select(period.alias("period"), "path", "content")
+    period = F.regexp_substr("path", F.lit(r"\d{6}(?=[^/]*\.zip$)")).alias("period")
+    # Sizes come from the listing: the content of a file too large for a value is never asked for.
+    fitting = files.filter(F.col("length") < LARGEST).select(period, "path", "content")
+    large = files.filter(F.col("length") >= LARGEST).select(period, "path", F.lit(None).cast("binary").alias("content"))
+    return fitting.unionByName(large)
 
 
 def is_intact(content: bytes) -> bool:
@@ -57,7 +61,7 @@ def is_intact(content: bytes) -> bool:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             return archive.testzip() is None
-    except (zipfile.BadZipFile, OSError, zlib.error, EOFError):
+    except Exception:  # an unreadable archive is data: encrypted, of an unknown method, cut, or no archive
         return False
 
 
@@ -65,26 +69,65 @@ def member_type(name: str) -> str:
     """``202401_Licitação.csv`` -> ``Licitação``; a name without a prefix is an error."""
     _, mark, rest = name.partition("_")
     if not mark:
-        raise ValueError(f"unexpected member name {name!r}")
+        raise ValueError(f"{name!r} has no period before its type")
     return rest.removesuffix(".csv")
 
 
+def _member_at(content: bytes, at: int) -> tuple[str, bytes, int] | None:
+    """(name, body, end) of the member whose header starts at ``at``; None unless all of it is sound."""
+    if at + HEADER_SIZE > len(content):
+        return None
+    mark, _, flags, method, _, _, checksum, packed, size, name_size, extra_size = struct.unpack_from(HEADER, content, at)
+    start = at + HEADER_SIZE + name_size + extra_size
+    if mark != HEADER_MARK or flags & ENCRYPTED or start > len(content):
+        return None
+    raw_name = content[at + HEADER_SIZE : at + HEADER_SIZE + name_size]
+    follows = flags & SIZES_FOLLOW
+    if method == STORED and not follows:
+        end = start + packed
+        body = content[start:end]
+    elif method == DEFLATED:
+        inflater = zlib.decompressobj(-zlib.MAX_WBITS)
+        body = inflater.decompress(content[start:] if follows else content[start : start + packed])
+        end = (len(content) if follows else min(len(content), start + packed)) - len(inflater.unused_data)
+        if not inflater.eof:
+            return None
+    else:
+        return None
+    if follows:
+        end += len(DESCRIPTOR_MARK) * content.startswith(DESCRIPTOR_MARK, end)
+        if end + DESCRIPTOR_SIZE > len(content):
+            return None
+        checksum, _, size = struct.unpack_from(DESCRIPTOR, content, end)
+        end += DESCRIPTOR_SIZE
+    if len(body) != size or zlib.crc32(body) != checksum:
+        return None
+    try:
+        return raw_name.decode("utf-8"), body, end
+    except UnicodeDecodeError:
+        return raw_name.decode("cp437"), body, end
+
+
 def recover_members(content: bytes) -> dict[str, bytes]:
-    """Members of a cut archive that inflate to exactly their declared size; never a part of one."""
+    """The members of a damaged archive that are whole by size and checksum.
+
+    Members follow one another, so the walk goes from the end of one to the next header and
+    searches for a header only behind damage.
+    """
     found: dict[str, bytes] = {}
-    for hit in re.finditer(re.escape(LOCAL_SIGNATURE), content):
+    at = content.find(HEADER_MARK)
+    while at >= 0:
         try:
-            _, _, method, packed, size, name_len, extra_len = struct.unpack_from(LOCAL_HEADER, content, hit.start())
-            name_at = hit.start() + 30
-            data_at = name_at + name_len + extra_len
-            body = content[data_at : data_at + packed]
-            if method == DEFLATED:
-                body = zlib.decompressobj(-zlib.MAX_WBITS).decompress(body)
-            if len(body) == size:
-                name = content[name_at : name_at + name_len].decode("utf-8", "replace")
-                found[member_type(name)] = body
-        except (struct.error, zlib.error, ValueError):
+            member = _member_at(content, at)
+        except zlib.error:
+            member = None
+        if member is None:
+            at = content.find(HEADER_MARK, at + 1)
             continue
+        name, body, end = member
+        if "_" in name:
+            found[member_type(name)] = body
+        at = content.find(HEADER_MARK, end)
     return found
 
 
@@ -104,20 +147,31 @@ def records(stream: io.BufferedIOBase) -> Iterator[str]:
         yield "".join(parts).rstrip("\r\n")
 
 
-def _width(table: str) -> int:
-    """Fields read per line."""
-    return len(TABLE_HEADERS[table]) + SPARE_FIELDS
+def raw_fields(line: str) -> list[str]:
+    """Fields of a record as written, quotes included; a separator inside quotes is text."""
+    fields: list[str] = []
+    for part in line.split(";"):
+        if fields and fields[-1].count('"') % 2:
+            fields[-1] += ";" + part
+        else:
+            fields.append(part)
+    return fields
 
 
-def _layout(table: str, header: str) -> str | None:
-    """Positions of the wanted columns in the header; None when they are the leading columns in order."""
+def _places(table: str, header: str) -> list[int] | None:
+    """Where the wanted columns are in the header, however wide; None when they lead it in order."""
     names = next(csv.reader([header], delimiter=";"))
     wanted = list(TABLE_HEADERS[table])
-    missing = [c for c in wanted if c not in names[: _width(table)]]
+    missing = [c for c in wanted if c not in names]
     if missing:
         raise ValueError(f"{table}: missing columns {missing}")
-    positions = [names.index(c) for c in wanted]
-    return None if positions == list(range(len(wanted))) else ",".join(map(str, positions))
+    places = [names.index(c) for c in wanted]
+    return None if places == list(range(len(wanted))) else places
+
+
+def _picked(line: str, places: list[int]) -> str:
+    fields = raw_fields(line)
+    return ";".join(fields[p] if p < len(fields) else "" for p in places)
 
 
 def _members(content: bytes):
@@ -128,29 +182,37 @@ def _members(content: bytes):
         return INTACT, {t: (lambda n=types[m]: archive.open(n)) for m, t in MEMBER_TABLES.items() if m in types}
     found = recover_members(content)
     if not found:
-        raise ValueError("damaged archive without any recoverable member")
+        raise ValueError("not a single whole member is recoverable")
     return PARTIAL, {t: (lambda b=found[m]: io.BytesIO(b)) for m, t in MEMBER_TABLES.items() if m in found}
 
 
-def _unpack_archive(content: bytes) -> Iterator[tuple[str, int, str | None, list, str | None, str | None]]:
-    """(table, number of the first line, layout, lines, outcome, message): a status, then chunks of lines."""
+def _unpack_archive(content: bytes | None) -> Iterator[tuple[str, int, list, str | None, str | None]]:
+    """(table, number of the first line, lines, outcome, message): a status, then chunks of lines.
+
+    Whatever is wrong with an archive is its status and nobody else's. A member of blank lines
+    only is a table without rows.
+    """
     try:
+        if content is None:
+            raise ValueError(f"larger than {LARGEST} bytes")
         outcome, members = _members(content)
-        layouts = {}
+        places = {}
         for table, opened in members.items():
-            header = next(records(opened()), None)
+            header = next((line for line in records(opened()) if line.strip()), None)
             if header is not None:
-                layouts[table] = _layout(table, header)
-    except ValueError as error:
-        yield STATUS, 0, None, [None], ERROR, str(error)
+                places[table] = _places(table, header)
+    except Exception as error:
+        yield STATUS, 0, [None], ERROR, f"{error}" or type(error).__name__
         return
-    yield STATUS, 0, None, [None], outcome, None
-    for table, layout in layouts.items():
-        lines = records(members[table]())
+    yield STATUS, 0, [None], outcome, None
+    for table, wanted in places.items():
+        lines = dropwhile(lambda line: not line.strip(), records(members[table]()))
         next(lines)
+        if wanted is not None:
+            lines = (_picked(line, wanted) for line in lines)
         start = 0
         while chunk := list(islice(lines, CHUNK_LINES)):
-            yield table, start, layout, chunk, None, None
+            yield table, start, chunk, None, None
             start += len(chunk)
 
 
@@ -158,8 +220,8 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     columns: list[list] = [[] for _ in UNPACKED.split(",")]
 
     def flush() -> pa.RecordBatch:
-        period, path, table, line_no, layout, line, outcome, message = columns
-        text = [pa.array(c, pa.string()) for c in (layout, line, outcome, message)]
+        period, path, table, line_no, line, outcome, message = columns
+        text = [pa.array(c, pa.string()) for c in (line, outcome, message)]
         arrays = [pa.array(period), pa.array(path), pa.array(table), pa.array(line_no, pa.int64()), *text]
         for c in columns:
             c.clear()
@@ -167,22 +229,21 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         for period, path, content in zip(*(batch.column(c) for c in ("period", "path", "content"))):
-            for table, start, layout, lines, outcome, message in _unpack_archive(content.as_py()):
+            for table, start, lines, outcome, message in _unpack_archive(content.as_py()):
                 n = len(lines)
                 numbers = range(start, start + n)
                 values = (
                     *([v] * n for v in (period.as_py(), path.as_py(), table)),
                     numbers,
-                    [layout] * n,
                     lines,
                     [outcome] * n,
                     [message] * n,
                 )
                 for column, added in zip(columns, values):
                     column.extend(added)
-                if len(columns[5]) >= CHUNK_LINES:
+                if len(columns[4]) >= CHUNK_LINES:
                     yield flush()
-    if columns[5]:
+    if columns[4]:
         yield flush()
 
 
@@ -205,17 +266,12 @@ def _typed(raw: Column, field: T.StructField) -> Column:
 
 def parse_lines(unpacked: DataFrame, table: str) -> DataFrame:
     """Typed rows of one silver table: unreadable numbers and dates become null."""
-    width = _width(table)
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    # Only an unquoted empty field is null; "" is an empty string.
+    headers = TABLE_HEADERS[table]
+    schema = ", ".join(f"c{i} string" for i in range(len(headers)))
+    # Only an unquoted empty field is null; "" is an empty string. Fields beyond the modelled ones are passed over.
     options = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000"}
     fields = unpacked.filter(F.col("table") == table).select(
-        "period", "line_no", F.split("layout", ",").alias("_at"), F.from_csv("line", schema, options).alias("_f")
+        "period", "line_no", F.from_csv("line", schema, options).alias("_f")
     )
-    every = F.array(*[F.col(f"_f.c{i}") for i in range(width)])
-    columns = []
-    for i, name in enumerate(TABLE_HEADERS[table].values()):
-        moved = F.get(every, F.get("_at", F.lit(i)).cast("int"))
-        raw = F.when(F.col("_at").isNull(), F.col(f"_f.c{i}")).otherwise(moved)
-        columns.append(_typed(raw, SILVER[table][name]).alias(name))
+    columns = [_typed(F.col(f"_f.c{i}"), SILVER[table][name]).alias(name) for i, name in enumerate(headers.values())]
     return fields.select(*columns, "line_no", "period")

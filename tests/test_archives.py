@@ -48,6 +48,72 @@ def test_recovery_never_returns_part_of_a_member():
             assert data == whole[name]
 
 
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+@pytest.mark.parametrize("streamed", [False, True])
+def test_recovery_at_every_cut(method, streamed):
+    bodies = {f"{PERIOD}_{t}.csv": (t + ";PK\x03\x04;") .encode() * 9 for t in ("A", "B", "C")}
+    buffer = io.BytesIO()
+    # Without seeking, sizes follow the data in a descriptor.
+    target = io.BufferedWriter(type("Pipe", (io.RawIOBase,), {"writable": lambda s: True, "write": lambda s, b: buffer.write(b)})()) if streamed else buffer
+    with zipfile.ZipFile(target, "w", method) as z:
+        for name, body in bodies.items():
+            z.writestr(name, body)
+    if streamed:
+        target.flush()
+    content = buffer.getvalue()
+    for size in range(len(content) + 1):
+        for name, data in recover_members(content[:size]).items():
+            assert data == bodies[f"{PERIOD}_{name}.csv"]
+    if not (streamed and method == zipfile.ZIP_STORED):
+        assert set(recover_members(content)) == {"A", "B", "C"}
+        assert set(recover_members(b"junk" + content[:-30])) == {"A", "B", "C"}
+
+
+def test_recovery_refuses_a_wrong_checksum():
+    content = bytearray(archive())
+    content[14] ^= 1
+    assert len(recover_members(bytes(content))) == 3
+
+
+def harmed(flag=None, method=None):
+    """An archive whose first member claims to be encrypted or of another method."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr(f"{PERIOD}_Licitação.csv", "x")
+    content = bytearray(buffer.getvalue())
+    central = content.index(b"PK\x01\x02")
+    for at, base in ((0, 6), (central, 8)):
+        if flag:
+            content[at + base] |= flag
+        if method:
+            content[at + base + 2] = method
+    return bytes(content)
+
+
+def test_any_unreadable_archive_is_a_status_row(spark):
+    blank = {"bid": ["  ", "\t"]}
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr(f"{PERIOD}_Licitação.csv", "  \r\n \r\n")
+    contents = [harmed(flag=1), harmed(method=99), None, b"", buffer.getvalue(), archive(lines=blank)]
+    df = frame(spark, *[(f"20240{i + 1}", c) for i, c in enumerate(contents)])
+    status = {r.period: r.outcome for r in unpack(df).filter("table = 'status'").collect()}
+    assert status == {"202401": "error", "202402": "error", "202403": "error", "202404": "error", "202405": "intact", "202406": "intact"}
+    assert unpack(df).filter("period = '202405' AND table <> 'status'").count() == 0
+
+
+def test_any_number_of_other_columns(spark):
+    headers = list(TABLE_HEADERS["bid"])
+    names = [f"Extra {i}" for i in range(30)] + headers
+    values = ['"a;b"'] * 30 + ['"001"', '"0010"', '"5"', '"i;1"', '""', "", '"SIM"']
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr(f"{PERIOD}_ParticipantesLicitação.csv", (";".join(names) + "\n" + ";".join(values) + "\n1;2").encode("latin-1"))
+    row, short = parse_lines(unpack(frame(spark, (PERIOD, buffer.getvalue()))), "bid").orderBy("line_no").collect()
+    assert (row.notice_no, row.item_code, row.bidder_id, row.bidder_name, row.is_winner) == ("001", "i;1", "", None, True)
+    assert short.notice_no is None
+
+
 def test_member_type():
     assert member_type("202401_Licitação.csv") == "Licitação"
     with pytest.raises(ValueError):

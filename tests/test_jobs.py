@@ -82,7 +82,26 @@ def test_load_logs_every_period(spark, lake, january):
     good, bad = log["202401"], log["209912"]
     assert (good.status, good.rows_read, good.rows_inserted, good.rows_rejected) == ("success", 8, 6, 2)
     assert bad.status == "error" and "silver" in bad.error and bad.rows_read == 0
-    assert last_ingestion(lake[1]).count() == 1
+    assert [r.period for r in last_ingestion(lake[1]).collect()] == ["209912"]
+
+
+def test_last_ingestion_of_one_load_is_its_last_period(spark, lake):
+    silver, tables = lake
+    periods = ["202401", "202402", "202403"]
+    put(spark, silver, notice=[notice(str(i), p, 0) for i, p in enumerate(periods)])
+    load(spark, silver, tables, periods)
+    assert [r.period for r in last_ingestion(tables).collect()] == ["202403"]
+
+
+def test_a_corrupt_period_is_logged_and_the_others_load(spark, lake, tmp_path):
+    silver, tables = lake
+    put(spark, silver, notice=[notice("1", "202401", 0), notice("2", "202402", 0)], item=[item("1", "202401", 0), item("2", "202402", 0)])
+    for file in (tmp_path / "silver" / "item" / "period=202402").glob("*.parquet"):
+        file.write_bytes(b"PAR1 not parquet PAR1")
+    log = {r.period: r for r in load(spark, silver, tables, ["202401", "202402"]).collect()}
+    assert log["202401"].status == "success" and log["202402"].status == "error" and log["202402"].error
+    assert [r.notice_no for r in tables.read("notice").collect()] == ["1"]
+    assert tables.read("item").count() == 1
 
 
 def test_loading_again_changes_nothing(spark, lake, january):

@@ -93,6 +93,16 @@ def test_naive_backtest_never_looks_ahead(spark):
     assert got and all(r.predicted < r.origin and (r.pos - r.predicted) % 12 == 0 for r in got)
 
 
+def test_a_gap_in_a_test_window_is_refused(spark):
+    whole = points(spark, range(48))
+    assert S.backtest_naive(whole, 12, 24).count() == 24
+    for gap in (40, 30, 14):
+        lacking = whole.filter(F.col("pos") != gap)
+        with pytest.raises(Exception, match="lacks points|pair up"):
+            paired = S.backtest_naive(lacking, 12, 24)
+            error_metrics(paired, ["series_key"], "observed", "predicted").collect()
+
+
 def test_metrics_by_hand(spark):
     df = spark.createDataFrame([("m", 10.0, 12.0, 6.0), ("m", 20.0, 18.0, 20.0), ("m", 0.0, 1.0, 0.0)], "k string, o double, p double, b double")
     row = error_metrics(df, ["k"], "o", "p", "b").first()
