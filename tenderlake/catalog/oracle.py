@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tenderlake.catalog.queries import CUT, HORIZON, LONG_TRAIN, MIN_GROUP, MIN_TRAIN, SEED
+from tenderlake.catalog.queries import CUT, HORIZON, LONG_TRAIN, MIN_GROUP, MIN_TRAIN, REPLACED, SEED
 from tenderlake.catalog.samples import SQL_BIDS, SQL_ITEMS, SQL_LINES, SQL_NOTICES
 from tenderlake.operators.features import FEATURES, NEUTRAL
 
@@ -348,6 +348,44 @@ ORACLE: dict[str, str] = {
                 WHERE period >= since) GROUP BY ALL) USING (period)""",
         SQL_NOTICES, *BIDS, REVISED_NOTICES, REVISED_BIDS, LOADED,
     ),
+    "last_ingestion": sql(
+        """SELECT period, count(*) AS rows_read, substr(period, 1, 4) AS finished_at FROM notices GROUP BY ALL
+        ORDER BY finished_at DESC, period DESC LIMIT 1""",
+        SQL_NOTICES,
+    ),
+    "silver_roundtrip": sql(
+        f"""SELECT {KEY}, period, CASE WHEN period = '{REPLACED}' THEN 'again' ELSE status END AS status,
+               CAST(value AS DOUBLE) AS value FROM notices WHERE period BETWEEN '199501' AND '199612'""",
+        SQL_NOTICES,
+    ),
+    "load_twice": sql(
+        f"""SELECT {KEY}, l.status, f.period, l.value, b.bids, b.wins
+        FROM (SELECT * FROM revised QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY period) = 1) f
+        JOIN (SELECT * FROM revised QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY period DESC) = 1) l
+        USING (notice_no, unit_id, modality_id)
+        LEFT JOIN (SELECT {KEY}, count(*) AS bids, count(*) FILTER (is_winner) AS wins FROM (
+            SELECT *, max(period) OVER (PARTITION BY {KEY}) AS last FROM revised_bids) WHERE period = last GROUP BY ALL) b
+        USING (notice_no, unit_id, modality_id)""",
+        SQL_NOTICES, *BIDS, REVISED_NOTICES, REVISED_BIDS,
+    ),
+    "forecast_frame": sql(
+        f"""SELECT DISTINCT series_key, target, CAST(step AS INTEGER) AS step,
+               {month_after("last", "step")} AS target_period, true AS sound
+        FROM points, lim, (SELECT unnest(range(1, {HORIZON + 1})) AS step) WHERE n >= {MIN_TRAIN + HORIZON}""",
+        SQL_NOTICES, AGENCY_POINTS,
+    ),
+    "score_frame": sql(
+        f"""SELECT {KEY}, period, true AS in_range, 8 AS n_values, 5 AS n_contributions, feature AS first_feature FROM (
+            SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY deviation DESC, i) AS position FROM dev)
+        JOIN (SELECT {KEY}, period FROM base) USING (notice_no, unit_id, modality_id) WHERE position = 1""",
+        *ALL_FEATURES, NEUTRAL_MATRIX, STATS,
+        "dev AS ("
+        + " UNION ALL ".join(
+            f"SELECT {KEY}, {i} AS i, '{f}' AS feature, abs({z(f)}) AS deviation FROM neutral, stats"
+            for i, f in enumerate(FEATURES)
+        )
+        + ")",
+    ),
     "latest_batch": sql(
         "SELECT period, count(*) AS rows_read FROM notices GROUP BY ALL ORDER BY period DESC LIMIT 1", SQL_NOTICES
     ),

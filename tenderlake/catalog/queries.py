@@ -26,12 +26,16 @@ from tenderlake.operators.metrics import error_metrics
 from tenderlake.operators.perturb import perturb
 from tenderlake.operators.quality import integrity_report
 from tenderlake.operators.ranking import keep_last, latest, number_rows
+from tenderlake.functions.periods import listing
 from tenderlake.plans.ingest import unpacked_as_silver, ingest_report
+from tenderlake.plans.load import load
 from tenderlake.plans.score import explanation, rank_scores, score_matrix
 from tenderlake.plans.train import backtest, training_points
 from tenderlake.schemas import KEY, SERVING
-from tenderlake.session import materialize
+from tenderlake.session import materialize, scratch_folder
 from tenderlake.sources.archives import parse_lines, unpack
+from tenderlake.sources.silver import read_silver, write_silver
+from tenderlake.sources.tables import Tables
 
 # Parameters chosen so that both branches of each rule occur in the sample tables.
 MIN_GROUP = 115
@@ -40,6 +44,7 @@ SEED = 42
 HORIZON = 12
 MIN_TRAIN = 24
 LONG_TRAIN = 68
+REPLACED = "199507"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -343,6 +348,41 @@ def run_load_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.accounting(read, inserted)
 
 
+@query("last_ingestion")
+def run_last_ingestion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last row of a log in which all periods of a year ended together."""
+    log = samples.notices(spark, sf_dir).groupBy("period").agg(F.count(F.lit(1)).alias("rows_read"))
+    return latest(log.withColumn("finished_at", F.substring("period", 1, 4)), "finished_at", "period")
+
+
+@query("silver_roundtrip")
+def run_silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All periods written to silver, one of them replaced, two years read back."""
+    root = scratch_folder(spark)
+    notices = samples.notices(spark, sf_dir)
+    write_silver(notices, root, "notice")
+    write_silver(notices.filter(F.col("period") == REPLACED).withColumn("status", F.lit("again")), root, "notice")
+    back = read_silver(spark, root, "notice", listing("199501", "199612"))
+    return back.select(*KEY, "period", "status", F.col("value").cast("double").alias("value"))
+
+
+@query("load_twice")
+def run_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two successive loads onto written tables, in which later periods name notices of earlier ones again."""
+    root = scratch_folder(spark)
+    silver, tables = f"{root}/silver", Tables(spark, f"{root}/serving")
+    notices = _revised_notices(spark, sf_dir)
+    write_silver(notices, silver, "notice")
+    write_silver(_revised_bids(spark, sf_dir), silver, "bid")
+    periods = sorted(row["period"] for row in notices.select("period").distinct().collect())  # months
+    for part in (periods[: len(periods) // 2], periods[len(periods) // 2 :]):
+        load(spark, silver, tables, part)
+    # The children of a notice are those of its last period.
+    bids = tables.read("bid").groupBy(*KEY).agg(F.count(F.lit(1)).alias("bids"), F.count_if("is_winner").alias("wins"))
+    notice = tables.read("notice").select(*KEY, "status", "period", F.col("value").cast("double").alias("value"))
+    return notice.join(bids, KEY, "left")
+
+
 @query("latest_batch")
 def run_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     notices = samples.notices(spark, sf_dir)
@@ -409,6 +449,13 @@ def run_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast(_points(spark, sf_dir), HORIZON)
 
 
+@query("forecast_frame")
+def run_forecast_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for every forecast whatever the fit: its months, the order of its bounds, none below zero."""
+    sound = (F.col("lower") <= F.col("predicted")) & (F.col("predicted") <= F.col("upper")) & (F.col("lower") >= 0)
+    return forecast(_points(spark, sf_dir), HORIZON).select("series_key", "target", "step", "target_period", sound.alias("sound"))
+
+
 @query("backtest_model")
 def run_backtest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backtest(_points(spark, sf_dir), HORIZON)
@@ -455,12 +502,30 @@ def run_isolation_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, scaler = score_matrix(_neutral_matrix(spark, sf_dir), SEED)
     loaded = samples.notices(spark, sf_dir).select(*KEY, "period")
-    ranked = rank_scores(scored.drop("period").join(loaded, KEY))
+    # Range partitioning reads its input twice: the forest must not walk every row for each.
+    ranked = rank_scores(materialize(scored.drop("period").join(loaded, KEY)))
     return ranked.select(
         *KEY, "period", F.round("score", 6).cast("decimal(12,6)").alias("score"), "rank", explanation(scaler).alias("features")
     )
 
 
+@query("score_frame")
+def run_score_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for every score whatever the forest: one per notice, its range, values and contributions."""
+    scored, scaler = score_matrix(_neutral_matrix(spark, sf_dir), SEED)
+    loaded = samples.notices(spark, sf_dir).select(*KEY, "period")
+    text = scored.drop("period").join(loaded, KEY).withColumn("features", explanation(scaler))
+    schema = "values map<string,double>, contributions array<struct<feature:string,deviation:double>>"
+    read = text.withColumn("read", F.from_json("features", schema))
+    return read.select(
+        *KEY, "period",
+        ((F.col("score") > 0) & (F.col("score") <= 1)).alias("in_range"),
+        F.size("read.values").alias("n_values"),
+        F.size("read.contributions").alias("n_contributions"),
+        F.transform("read.contributions", lambda c: c["feature"])[0].alias("first_feature"),
+    )
+
+
 # --- ingest -------------------------------------------------------------------------------
 
 

@@ -52,7 +52,8 @@ def score(spark: SparkSession, silver: str, tables: Tables, seed: int = DEFAULT_
         return 0
     scored, scaler = score_matrix(matrix, seed)
     loaded = tables.read("notice").select(*KEY, "period")
-    ranked = rank_scores(scored.drop("period").join(loaded, KEY))
+    # Range partitioning reads its input twice: the forest must not walk every row for each.
+    ranked = rank_scores(materialize(scored.drop("period").join(loaded, KEY)))
     run_id = new_run_id()
     written = tables.replace(
         "notice_score",

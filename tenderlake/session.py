@@ -60,6 +60,11 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The name of a fresh folder for intermediate tables."""
+    return f"{scratch_root(spark)}/tenderlake/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to a fresh shared table and read it back.
 
@@ -67,7 +72,7 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     and gives the optimizer its real size, so small tables broadcast and large ones do not.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/tenderlake/{uuid.uuid4().hex}"
+    path = scratch_folder(spark)
     writer = df.write.mode("errorifexists").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
