@@ -14,7 +14,7 @@ from tenderlake.plans.ingest import ingest
 from tenderlake.plans.load import load
 from tenderlake.plans.score import score
 from tenderlake.plans.train import train
-from tenderlake.session import configure
+from tenderlake.session import configure, job_scratch
 from tenderlake.sources.tables import Tables
 
 
@@ -45,6 +45,11 @@ def main(argv: list[str] | None = None) -> None:
         except ValueError as error:
             options.error(str(error))
     spark = configure(SparkSession.builder.appName(f"tenderlake {args.job}").getOrCreate())
+    with job_scratch(spark):
+        run(spark, args, periods)
+
+
+def run(spark: SparkSession, args: argparse.Namespace, periods: list[str]) -> None:
     data = args.data.rstrip("/")
     silver, tables = f"{data}/silver", Tables(spark, f"{data}/serving")
     if args.job == "ingest":

@@ -17,7 +17,7 @@ def perturb(matrix: DataFrame, k: int, seed: int, key: list[str] = KEY) -> DataF
     Adds ``perturbed``: the kind applied to a chosen row, null elsewhere. All draws are hashes of
     the seed and the row key. Choosing moves only the k rows with the lowest draw.
     """
-    n = matrix.limit(k).count()
+    n = matrix.count()
     if k > n:
         raise ValueError(f"asked for {k} perturbed rows of a matrix with {n}")
     names = [F.col(c) for c in key]

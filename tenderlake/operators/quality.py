@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions.scalars import is_identity
 from tenderlake.schemas import KEY
 
 
-def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+def _counted(key: list[str], **sides: DataFrame) -> DataFrame:
+    """Per key: the rows of each side; null keys are a group. One aggregation that combines on the map side."""
+    tagged = [
+        df.select(*key, F.col("period").alias("_period") if "period" in df.columns else F.lit(None).alias("_period"),
+                  *[F.lit(int(side == name)).alias(side) for side in sides])
+        for name, df in sides.items()
+    ]
+    return reduce(DataFrame.unionByName, tagged).groupBy(*key).agg(*[F.sum(side).alias(side) for side in sides], *_spread())
 
 
-def keys_in_several_periods(notices: DataFrame) -> DataFrame:
-    """Totals summed over periods count a notice once only if this is empty."""
-    spread = notices.groupBy(*KEY).agg(F.min("period").alias("a"), F.max("period").alias("b"))
-    return spread.filter("a < b")
+def _spread() -> list[Column]:
+    return [F.min("_period").alias("_first"), F.max("_period").alias("_last")]
 
 
 def integrity_report(
@@ -30,31 +34,39 @@ def integrity_report(
     series: DataFrame,
     suppliers: DataFrame,
 ) -> DataFrame:
-    def violations(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
+    """(check, violations): every fact table is read once by its key, the notices once more by their unit."""
+    zero = F.lit(0).cast("long")
 
-    def totals(df: DataFrame, count: str, side: int) -> DataFrame:
-        return df.agg(F.expr(count).alias("n")).select((F.coalesce("n", F.lit(0)) * side).alias("n"))
+    def report(df: DataFrame, **checks: Column) -> DataFrame:
+        row = df.agg(*[F.coalesce(c.cast("long"), zero).alias(name) for name, c in checks.items()])
+        return row.unpivot([], list(checks), "check", "violations")
+
+    def total(when: Column, rows: str) -> Column:
+        return F.sum(F.when(when, F.col(rows)))
 
-    unplaced = notices.join(units, "unit_id", "left_anti")
-    placed = notices.join(units, "unit_id", "left_semi")
-    difference = totals(placed, "count(1)", 1).unionByName(totals(series, "sum(notice_count)", -1))
     null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in KEY])
+    alone = null_key | (F.col("notice") == 0)  # a null key refers to nothing
+    by_key = _counted(KEY, notice=notices.select(*KEY, "period"), item=items.select(*KEY), bid=bids.select(*KEY))
+    by_unit = _counted(["unit_id"], notice=notices.select("unit_id"), unit=units.select("unit_id"))
+    placed = F.col("unit_id").isNotNull() & (F.col("unit") > 0)
     parents = agencies.select(F.col("agency_id").alias("parent_agency_id"))
     has_parent = agencies.filter("parent_agency_id is not null")
-    checks = [
-        violations("duplicate_notice_keys", repeated_keys(notices, KEY)),
-        violations("null_notice_keys", notices.filter(null_key)),
-        violations("orphan_items", items.join(notices, KEY, "left_anti")),
-        violations("orphan_bids", bids.join(notices, KEY, "left_anti")),
-        violations("notices_without_unit", unplaced),
-        violations("units_without_agency", units.join(agencies, "agency_id", "left_anti")),
-        violations("agencies_without_parent", has_parent.join(parents, "parent_agency_id", "left_anti")),
-        violations("keys_in_several_periods", keys_in_several_periods(notices)),
-        violations("sentinels_in_ranking", suppliers.filter(~is_identity(F.col("supplier_id")))),
-        violations("null_series_totals", series.filter("total_value is null")),
-        difference.agg(F.abs(F.sum("n")).cast("long").alias("violations")).select(
-            F.lit("series_count_difference").alias("check"), "violations"
+    every = F.count(F.lit(1))
+    parts = [
+        report(
+            by_key,
+            duplicate_notice_keys=F.count_if(F.col("notice") > 1),
+            null_notice_keys=total(null_key, "notice"),
+            orphan_items=total(alone, "item"),
+            orphan_bids=total(alone, "bid"),
+            # Totals summed over periods count a notice once only if this is empty.
+            keys_in_several_periods=F.count_if((F.col("_first") < F.col("_last")) & (F.col("notice") > 0)),
         ),
+        report(by_unit, notices_without_unit=total(~placed, "notice"), series_count_difference=total(placed, "notice")),
+        report(series, series_count_difference=-F.sum("notice_count"), null_series_totals=F.count_if(F.col("total_value").isNull())),
+        report(units.join(agencies, "agency_id", "left_anti"), units_without_agency=every),
+        report(has_parent.join(parents, "parent_agency_id", "left_anti"), agencies_without_parent=every),
+        report(suppliers, sentinels_in_ranking=F.count_if(~is_identity(F.col("supplier_id")))),
     ]
-    return reduce(DataFrame.unionByName, checks)
+    # The two sides of the difference have opposite signs and meet here.
+    return reduce(DataFrame.unionByName, parts).groupBy("check").agg(F.abs(F.sum("violations")).alias("violations"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +23,8 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the jobs rely on; cluster sizing stays with the cluster."""
+    """Apply the runtime settings the jobs rely on, the UTC time zone among them; they stay set in this
+    session. Cluster sizing stays with the cluster."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
@@ -60,9 +63,25 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch()
 
 
+_job_folders: list[str] = []
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """The name of a fresh folder for intermediate tables."""
-    return f"{scratch_root(spark)}/tenderlake/{uuid.uuid4().hex}"
+    """The name of a fresh folder for intermediate tables, inside that of the running job if there is one."""
+    return f"{_job_folders[-1] if _job_folders else scratch_root(spark) + '/tenderlake'}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[str]:
+    """All intermediate tables of a job in one folder, which goes when the job ends, however it ends."""
+    folder = scratch_folder(spark)
+    _job_folders.append(folder)
+    try:
+        yield folder
+    finally:
+        _job_folders.remove(folder)
+        fs, path = hadoop_path(spark, folder)
+        fs.delete(path, True)
 
 
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:

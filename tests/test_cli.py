@@ -1,6 +1,8 @@
 import pytest
 
 from tenderlake.cli import main
+from tenderlake.session import job_scratch, materialize
+from tenderlake.sources.files import any_match
 from test_archives import archive
 
 
@@ -32,3 +34,10 @@ def test_jobs_run_from_the_command_line(spark, tmp_path, capsys):
         main(["--data", str(tmp_path), *job])
     out = capsys.readouterr().out
     assert "archive unavailable" in out and "series_trained=0" in out
+
+
+def test_a_job_leaves_nothing_behind(spark):
+    with pytest.raises(ZeroDivisionError), job_scratch(spark) as folder:
+        assert materialize(spark.range(3)).count() == 3 and any_match(spark, folder + "/*")
+        1 / 0
+    assert not any_match(spark, folder)
