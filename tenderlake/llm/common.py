@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -68,18 +70,30 @@ def range_index(key: Column, tie: Column, splitters: list[tuple[int, int]]) -> C
     )
 
 
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` builds, once for a worker process: it outlives the task and serves the next ones.
+
+    Functions reach the workers by value, so a variable of their module would be new to every task.
+    """
+    store = sys.modules.setdefault("_tenderlake_kept", types.ModuleType("_tenderlake_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def map_batches(
-    df: DataFrame, schema: str, step: Callable[..., Iterable[dict] | dict], make: Callable[[], object] | None = None
+    df: DataFrame, schema: str, step: Callable[..., Iterable[dict] | dict], make: Callable[[], object] | None = None, name: str = ""
 ) -> DataFrame:
     """Run ``step(batch[, state])`` on every Arrow batch; it gives column lists by name.
 
-    ``make`` builds what a task needs once, such as a tokenizer.
+    ``make`` builds the state, such as a tokenizer; workers keep it under ``name``. It may
+    remember results but must not change them.
     """
     names = [f.split()[0] for f in schema.split(", ")]
     arrow = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = make() if make else None
+        state = kept(name, make) if make else None
         for batch in batches:
             if batch.num_rows:
                 made = step(batch, state) if make else step(batch)

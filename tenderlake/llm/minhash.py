@@ -191,7 +191,7 @@ def _bands(docs: DataFrame) -> DataFrame:
             keys = _mix(keys * BASE + cut[:, :, k])
         return {"id": batch.column("id"), "sha": [hashlib.sha256(t.encode()).digest() for t in texts], "bands": list(keys.view(np.int64))}
 
-    return map_batches(docs, "id long, sha binary, bands array<long>", step, Hasher)
+    return map_batches(docs, "id long, sha binary, bands array<long>", step, Hasher, "hasher")
 
 
 def _windows(docs: DataFrame) -> DataFrame:
@@ -201,7 +201,7 @@ def _windows(docs: DataFrame) -> DataFrame:
         texts = batch.column("text").to_pylist()
         return {"id": batch.column("id"), "windows": [np.unique(hasher.shingles(hasher.word_hashes(t.encode()))).astype(np.int64) for t in texts]}
 
-    return map_batches(docs, "id long, windows array<long>", step, Hasher)
+    return map_batches(docs, "id long, windows array<long>", step, Hasher, "hasher")
 
 
 def _verified(pairs: DataFrame, windows: DataFrame, least: float) -> DataFrame:

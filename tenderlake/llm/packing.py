@@ -56,7 +56,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
         return out
 
     named = docs.select(id_key().alias("id"), text_of().alias("text"))
-    return map_batches(named, "id long, piece int, start long, length long, ids binary", step, lambda: byte_encoder(path))
+    return map_batches(named, "id long, piece int, start long, length long, ids binary", step, lambda: byte_encoder(path), f"encoder {path}")
 
 
 @dataclass

@@ -18,7 +18,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: No piece holds a space mark behind another character, so no merge crosses the start of such a mark.
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-#: Words a worker remembers before it starts anew; this bounds its memory, results do not depend on it.
+#: New words after which a worker forgets those it has not met since as many before; this bounds its
+#: memory, results do not depend on it.
 REMEMBERED = 200_000
 
 
@@ -46,8 +47,11 @@ class Codec:
         for piece, i in self.ids.items():
             self.matches.add_word(piece, (len(piece), i))
         self.matches.make_automaton()
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.names = [str(i) for i in range(model.vocab_size())]
+        self.surfaces = {i: piece.replace(SPACE, " ") for i, piece in self.pieces.items()} | {self.end: ""}
+        self.fits: dict[int, bool] = {}
         self.known: dict[str, tuple[list[int], str, str]] = {}
+        self.earlier: dict[str, tuple[list[int], str, str]] = {}
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text by doing its merges; compatibility tests rest on it."""
@@ -61,59 +65,61 @@ class Codec:
 
     def compatible(self, before: int, token: int) -> bool:
         """Whether the two tokens stay as they are side by side; ``before`` is -1 at a start or after a foreign character."""
-        found = self.fits.get((before, token))
-        if found is None:
-            pair = ([self.pieces[before]] if before >= 0 else []) + [self.pieces[token]]
-            found = self.fits[before, token] = self.merged("".join(pair)) == pair
-        return found
+        pair = ([self.pieces[before]] if before >= 0 else []) + [self.pieces[token]]
+        return self.merged("".join(pair)) == pair
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a text in which spaces are marks already, without a start mark of its own."""
-        n = len(chunk)
-        last: list[int | None] = [None] * n  # the last token of the prefix that ends here; -1 for a foreign character
-        size = [1] * n
+        n, fits = len(chunk), self.fits
+        # By prefix length: the last token and its size. A prefix without one, the empty one or one
+        # that ends in a character foreign to all pieces, parts the text.
+        last, size = [-1] * (n + 1), [1] * (n + 1)
         for at, (length, token) in self.matches.iter(chunk):
-            if last[at] is None:
-                start = at - length + 1
-                before = last[start - 1] if start else -1
-                # A foreign character, which no match ends at, parts the text.
-                if self.compatible(-1 if before is None else before, token):
-                    last[at], size[at] = token, length
+            end = at + 1
+            if last[end] < 0:
+                before = last[end - length]
+                pair = before << 32 | token
+                fit = fits.get(pair)
+                if fit is None:
+                    fit = fits[pair] = self.compatible(before, token)
+                if fit:
+                    last[end], size[end] = token, length
         ids: list[int] = []
-        at = n - 1
-        while at >= 0:
-            token = last[at]
-            if token is None:
-                ids += [self.byte_ids[b] for b in reversed(chunk[at].encode())]
-                at -= 1
+        while n:
+            token = last[n]
+            if token < 0:
+                ids += [self.byte_ids[b] for b in reversed(chunk[n - 1].encode())]
             else:
                 ids.append(token)
-                at -= size[at]
+            n -= size[n]
         ids.reverse()
         return ids
 
     def _of(self, chunk: str) -> tuple[list[int], str, str]:
-        found = self.known.get(chunk)
+        found = self.earlier.get(chunk)
         if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
             ids = self.encode_chunk(chunk)
-            found = ids, " ".join(map(str, ids)), self._surface(ids)
-            if len(chunk) < 64:
-                self.known[chunk] = found
+            found = ids, " ".join([self.names[i] for i in ids]), self._surface(ids)
+        if len(chunk) < 64:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.earlier = {}, self.known
+            self.known[chunk] = found
         return found
 
     def chunks(self, text: str) -> list[tuple[list[int], str, str]]:
         """Ids, ids as text and decoded text of each word; none for an empty text."""
         if not text:
             return []
-        get, miss = self.known.get, self._of
-        return [get(c) or miss(c) for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
+        return [self.known.get(c) or self._of(c) for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
 
     def encode(self, text: str) -> list[int]:
         return [i for ids, _, _ in self.chunks(text) for i in ids] + [self.end]
 
     def _surface(self, ids: list[int]) -> str:
+        try:
+            return "".join([self.surfaces[i] for i in ids])
+        except KeyError:  # bytes among them
+            pass
         out, run = [], bytearray()
         for i in [*ids, None]:
             if i in self.bytes:
@@ -123,7 +129,7 @@ class Codec:
                 out.append(run.decode("utf-8", "replace"))
                 run = bytearray()
             if i in self.pieces:
-                out.append(self.pieces[i].replace(SPACE, " "))
+                out.append(self.surfaces[i])
         return "".join(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -140,7 +146,7 @@ def coded(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     path = path or public_tokenizers.path(MODEL)
     named = docs.select(id_key().alias("id"), text_of().alias("text"))
-    return map_batches(named, "id long, ids array<int>, decoded string", step, lambda: Codec(path))
+    return map_batches(named, "id long, ids array<int>, decoded string", step, lambda: Codec(path), f"codec {path}")
 
 
 def digested(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -160,7 +166,7 @@ def digested(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     path = path or public_tokenizers.path(MODEL)
     named = docs.select(id_key().alias("id"), text_of().alias("text"))
-    return map_batches(named, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string", step, lambda: Codec(path))
+    return map_batches(named, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string", step, lambda: Codec(path), f"codec {path}")
 
 
 def op9_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
