@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.session import configure, materialize
 
-__all__ = ["ID_LAST", "WORD_GAP", "id_key", "id_out", "let", "map_batches", "materialize", "range_index", "ready", "table", "text_of"]
+__all__ = ["ID_LAST", "WORD_GAP", "id_key", "id_out", "keep_first", "let", "map_batches", "materialize", "range_index", "ready", "table", "text_key", "text_of"]
 
 #: Stands for a null document id inside the operators: such a row comes after all others.
 ID_LAST = (1 << 63) - 1
@@ -50,6 +50,28 @@ def id_out(column: str) -> Column:
     return F.when(F.col(column) != ID_LAST, F.col(column))
 
 
+def text_key(column: str = "text") -> Column:
+    """A long that stands for the text: of 10 million texts two share one with a chance of 3 in a million."""
+    return F.xxhash64(text_of(column))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of one document of each class, with all columns.
+
+    ``found`` has (id, h, first_id, first_h) of every row: its id, ``text_key`` and those of the
+    document of its class that stays. Rows with the same id and text are one document. Null ids
+    say nothing, so of rows without one that have the same text a single one stays.
+    """
+    found = materialize(found)
+    first = (F.col("id") == F.col("first_id")) & (F.col("h") == F.col("first_h"))
+    gone = materialize(found.filter(~first).select(F.col("id").alias("_gone_id"), F.col("h").alias("_gone_h")).distinct())
+    left = docs.join(gone, (id_key() == F.col("_gone_id")) & (text_key() == F.col("_gone_h")), "left_anti")
+    if found.filter(first & (F.col("id") == ID_LAST)).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return left
+    nameless = left.filter(id_key() == ID_LAST).withColumn("_h", text_key()).dropDuplicates(["_h"]).drop("_h")
+    return left.filter(id_key() != ID_LAST).union(nameless)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often ``body`` mentions it."""
     return F.transform(F.array(value), body)[0]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import id_key, id_out, map_batches, materialize, range_index, table, text_of
+from tenderlake.llm.common import id_key, id_out, keep_first, map_batches, materialize, range_index, table, text_key, text_of
 from tenderlake.llm.components import components
 
 WORDS = 5
@@ -181,7 +181,7 @@ def fingerprints_with_next(docs: DataFrame, buckets: int | None = None) -> DataF
 
 
 def _bands(docs: DataFrame) -> DataFrame:
-    """(id, sha, bands): per row a digest of its text and the hashed bands of its signature."""
+    """(id, h, bands): the hashed bands of the signature of each row's text."""
 
     def step(batch: pa.RecordBatch, hasher: Hasher) -> dict:
         texts = batch.column("text").to_pylist()
@@ -189,19 +189,19 @@ def _bands(docs: DataFrame) -> DataFrame:
         keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(texts), 1))
         for k in range(ROWS):
             keys = _mix(keys * BASE + cut[:, :, k])
-        return {"id": batch.column("id"), "sha": [hashlib.sha256(t.encode()).digest() for t in texts], "bands": list(keys.view(np.int64))}
+        return {"id": batch.column("id"), "h": batch.column("h"), "bands": list(keys.view(np.int64))}
 
-    return map_batches(docs, "id long, sha binary, bands array<long>", step, Hasher, "hasher")
+    return map_batches(docs, "id long, h long, bands array<long>", step, Hasher, "hasher")
 
 
 def _windows(docs: DataFrame) -> DataFrame:
-    """(id, windows): the distinct hashed word windows of each row's text."""
+    """(node, windows): the distinct hashed word windows of each row's text."""
 
     def step(batch: pa.RecordBatch, hasher: Hasher) -> dict:
         texts = batch.column("text").to_pylist()
-        return {"id": batch.column("id"), "windows": [np.unique(hasher.shingles(hasher.word_hashes(t.encode()))).astype(np.int64) for t in texts]}
+        return {"node": batch.column("node"), "windows": [np.unique(hasher.shingles(hasher.word_hashes(t.encode()))).astype(np.int64) for t in texts]}
 
-    return map_batches(docs, "id long, windows array<long>", step, Hasher, "hasher")
+    return map_batches(docs, "node long, windows array<long>", step, Hasher, "hasher")
 
 
 def _verified(pairs: DataFrame, windows: DataFrame, least: float) -> DataFrame:
@@ -212,22 +212,25 @@ def _verified(pairs: DataFrame, windows: DataFrame, least: float) -> DataFrame:
     return both.filter(F.when(every == 0, F.lit(True)).otherwise(shared / every >= least)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
-    """(id, class_id) of every row: the smallest id its links of Jaccard ``least`` and more reach.
+def classes(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """(id, h, first_id, first_h) of every row: the first document that its links of Jaccard ``least`` and more reach.
 
-    Equal texts are one node, named by their smallest id; rows of one id are one document. Nodes
-    that share a band are held against the band's first node, which puts most of a group of near
-    copies into one class. What a band holds outside its largest class is then held against the
-    members of the other classes, so no link between classes is lost, while the pairs within a
-    class, which grow with its square, are never made.
+    ``h`` is the ``text_key``. Equal texts are one node, named by it and never by an id, so rows
+    that share an id or have none link by their own texts only. Nodes that share a band are held
+    against the band's first node, which puts most of a group of near copies into one class. What
+    a band holds outside its largest class is then held against the members of the other classes,
+    so no link between classes is lost, while the pairs within a class, which grow with its
+    square, are never made. Documents are in the order of id and ``h``.
     """
-    named = docs.select(id_key().alias("id"), text_of().alias("text"))
+    named = docs.select(id_key().alias("id"), text_key().alias("h"), text_of().alias("text"))
     signed = materialize(_bands(named))
-    nodes = signed.groupBy("sha").agg(F.min("id").alias("node"), F.first("bands").alias("bands"))
+    nodes = materialize(signed.groupBy(F.col("h").alias("node")).agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
     keyed = materialize(nodes.select(F.explode("bands").alias("band"), F.col("node").alias("id")).distinct())
     first = keyed.groupBy("band").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "first")
     met = materialize(keyed.join(first, "band"))
-    windows = materialize(_windows(named.join(met.select("id").distinct(), "id", "left_semi"))).groupBy("id").agg(F.max("windows").alias("windows"))
+    wanted = nodes.select("id", "node").join(met.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
+    one = named.withColumnRenamed("h", "node").join(wanted, ["id", "node"], "left_semi")  # one id's rows of each text, not all its copies
+    windows = materialize(_windows(one)).groupBy("node").agg(F.max("windows").alias("windows"))
     stars = materialize(_verified(met.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), windows, least))
     near = components(stars)
     classed = materialize(met.join(near, met["id"] == near["node"], "left").select("band", "id", F.coalesce("root", "id").alias("class")))
@@ -237,8 +240,20 @@ def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     other = classed.join(largest, "band").filter("class <> main").select("band", F.col("id").alias("a"), F.col("class").alias("class_a"))
     across = other.join(classed, "band").filter("class_a <> class").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
     roots = components(stars.union(_verified(across, windows, least)))
-    of_text = nodes.join(roots, "node", "left").select("sha", F.coalesce("root", "node").alias("class_id"))
-    return signed.select("id", "sha").join(of_text, "sha").select("id", "class_id")
+    rooted = materialize(nodes.select("id", "node").join(roots, "node", "left").select("id", "node", F.coalesce("root", "node").alias("root")))
+    firsts = rooted.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first"))
+    of_text = rooted.join(firsts, "root").select(F.col("node").alias("h"), F.col("first.id").alias("first_id"), F.col("first.node").alias("first_h"))
+    return signed.select("id", "h").join(of_text, "h").select("id", "h", "first_id", "first_h")
+
+
+def near_duplicates(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """(id, class_id) of every row: the smallest id in its class."""
+    return classes(docs, least).select("id", F.col("first_id").alias("class_id"))
+
+
+def keep_one(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """The rows of the first document of each class of near copies, with all columns."""
+    return keep_first(docs, classes(docs, least))
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

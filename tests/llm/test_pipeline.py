@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from tenderlake.llm import line_dedup, packing, quality_model, quality_rules, simhash
 from tenderlake.llm.common import materialize
@@ -40,3 +42,29 @@ def test_stages_and_run(spark, corpus, tmp_path):
 def test_empty_table(spark, no_docs, tmp_path):
     write(spark, (no_docs, [(1, "")]), tmp_path)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_edited_copies_go_and_unlike_texts_stay(spark):
+    rng = random.Random(4)
+    rows, edits = [], 12
+    for k in range(edits):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        changed = list(words)
+        for at in range(20, 400, 60):
+            changed[at] = f"new{k}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]  # Jaccard 361 / 431
+        assert (simhash.fingerprint(rows[-1][1]) ^ simhash.fingerprint(rows[-2][1])).bit_count() > 0
+    assert any((simhash.fingerprint(a[1]) ^ simhash.fingerprint(b[1])).bit_count() > simhash.MAX_BITS for a, b in zip(rows[::2], rows[1::2]))
+    rows += [(100, "a b c d e"), (101, "a b c d f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash"]
+    assert sorted(r.doc_id for r in stage(spark, docs, "").collect()) == [*range(0, 2 * edits, 2), 100, 101]
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    docs = spark.createDataFrame([(1, a), (None, a), (None, b), (None, c), (None, c), (7, b + " tail"), (8, c), (8, a[::-1])], "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["simhash"](spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (7, b + " tail"), (8, a[::-1]), (8, c)]
+    only = spark.createDataFrame([(None, c), (None, c), (None, a)], "doc_id long, text string")
+    assert sorted(r.text for r in dict(corpus_pipeline.STAGES)["simhash"](spark, only, "").collect()) == [a, c]
