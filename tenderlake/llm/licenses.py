@@ -54,6 +54,8 @@ TEMPLATES: dict[str, list[str]] = {
 }
 #: Cosine from which a passage counts as a licence, and a whole file as a licence file.
 LEAST = 0.6
+#: Terms weigh as in a table of so many lines with the same shares, so a notice scores the same in one of any size.
+REFERENCE_LINES = 3_000
 TERM = re.compile(r"\w+(?:[.-]\w+)*")
 COMMENT = re.compile(r"\s*(?:#|//|/?\*|--|;|%|<!--)")
 
@@ -93,7 +95,7 @@ def build_index(frequency: dict[str, int], lines: int, templates: dict[str, list
     The lightest terms of a template whose weights alone stay below ``least`` of its length
     cannot make a match; a passage must hold one of the others, the anchors.
     """
-    idf = lambda n: float(np.log((1 + lines) / (1 + n)) + 1)
+    idf = lambda n: float(np.log((1 + REFERENCE_LINES) / (1 + REFERENCE_LINES * n / max(1, lines))) + 1)
     pairs = sorted((name, text) for name, texts in templates.items() for text in texts)
     vectors = [Counter(terms(text)) for _, text in pairs]
     weight = {t: idf(frequency.get(t, 0)) for v in vectors for t in v}

@@ -91,3 +91,13 @@ def test_documents_and_empty_table(corpus, no_docs, odd_docs):
     assert licenses.inherit(licenses.scan_files(licenses.documents_as_files(docs))).count() == len(rows)
     assert licenses.inherit(licenses.scan_files(licenses.documents_as_files(no_docs))).count() == 0
     assert licenses.inherit(licenses.scan_files(licenses.documents_as_files(odd_docs))).count() == 6
+
+
+def test_a_notice_scores_the_same_in_a_larger_corpus():
+    notice = "Copyright 2020 Foo. All rights reserved."
+    share = {"all": 0.02, "rights": 0.004, "reserved": 0.004}
+    found = []
+    for lines in (5_000, 500_000, 150_000_000):
+        index = licenses.build_index({t: round(s * lines) for t, s in share.items()}, lines)
+        found.append(licenses.scan_text(notice, index)[:2])
+    assert {name for name, _ in found} == {found[0][0]} and max(s for _, s in found) - min(s for _, s in found) < 1e-9
