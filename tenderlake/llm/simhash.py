@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import id_key, id_out, map_batches, materialize, table, text_of
+from tenderlake.llm.common import id_key, id_out, keep_first, map_batches, materialize, table, text_key, text_of
 from tenderlake.llm.components import components
 
 BITS, HALF = 64, 32
@@ -39,13 +39,13 @@ def fingerprint(text: str, width: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(id, fp): the id as a non-null long and the fingerprint as a signed long, of every row."""
+    """(id, h, fp): the id as a non-null long, ``text_key`` and the fingerprint as a signed long, of every row."""
 
     def step(batch: pa.RecordBatch) -> dict:
         found = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64)
-        return {"id": batch.column("id"), "fp": found.view(np.int64)}
+        return {"id": batch.column("id"), "h": batch.column("h"), "fp": found.view(np.int64)}
 
-    return map_batches(docs.select(id_key().alias("id"), text_of().alias("text")), "id long, fp long", step)
+    return map_batches(docs.select(id_key().alias("id"), text_key().alias("h"), text_of().alias("text")), "id long, h long, fp long", step)
 
 
 def _variants(fp: Column) -> Column:
@@ -108,36 +108,43 @@ def links(fps: DataFrame, bucket: int = PAIR_BUCKET) -> DataFrame:
     return pairs.union(stars)
 
 
+def _firsts(nodes: DataFrame) -> DataFrame:
+    """(fp, first): for every fingerprint the smallest ``first`` that its links reach.
+
+    Fingerprints, not ids, are linked: rows that share an id or have none do not join the
+    components of their texts.
+    """
+    nodes = materialize(nodes)
+    roots = components(links(nodes.select("fp")))
+    rooted = materialize(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    return rooted.select("fp", "root").join(rooted.groupBy("root").agg(F.min("first").alias("first")), "root").select("fp", "first")
+
+
 def classes(prints: DataFrame) -> DataFrame:
     """(id, fp, component): every row of (id, fp) with the smallest id that its links reach.
 
-    Equal fingerprints are one node, named by its smallest id; rows are counted per node on the
-    map side, so a group of copies of any size sends one row from each task.
+    Equal fingerprints are one node; rows are counted per node on the map side, so a group of
+    copies of any size sends one row from each task.
     """
-    nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("id")))
-    found = links(nodes.select("fp"))
-    named = nodes.select(F.col("fp").alias("a"), F.col("id").alias("a_id"))
-    other = nodes.select(F.col("fp").alias("b"), F.col("id").alias("b_id"))
-    by_id = found.distinct().join(named, "a").join(other, "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-    roots = components(by_id)
-    of_fp = nodes.join(roots, nodes["id"] == roots["node"], "left").select("fp", F.coalesce("root", "id").alias("component"))
+    of_fp = _firsts(prints.groupBy("fp").agg(F.min("id").alias("first"))).withColumnRenamed("first", "component")
     return prints.join(of_fp, "fp").select("id", "fp", "component")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(id, fp, component) of every row of ``docs`` (doc_id, text, any others).
 
-    A null text is empty, an empty one has fingerprint zero and links like any other. Rows with
-    the same id are one document's. A null id stands last and is reported as the largest long.
+    A null text is empty, an empty one has fingerprint zero and links like any other. A null id
+    stands last and is reported as the largest long.
     """
-    return classes(materialize(fingerprints(docs)))
+    return classes(materialize(fingerprints(docs).select("id", "fp")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of one document of each component, that of the smallest id, with all columns."""
-    gone = near_duplicates(docs).filter("id <> component").select(F.col("id").alias("_gone_id")).distinct()
-    gone = materialize(gone)
-    return docs.join(gone, id_key() == F.col("_gone_id"), "left_anti")
+    """The rows of the first document of each component in the order of id and text key, with all columns."""
+    prints = materialize(fingerprints(docs))
+    of_fp = _firsts(prints.groupBy("fp").agg(F.min(F.struct("id", "h")).alias("first")))
+    found = prints.join(of_fp, "fp").select("id", "h", F.col("first.id").alias("first_id"), F.col("first.h").alias("first_h"))
+    return keep_first(docs, found)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

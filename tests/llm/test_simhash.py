@@ -1,5 +1,6 @@
 import xxhash
 from tenderlake.llm import simhash
+from tenderlake.llm.common import ID_LAST
 
 
 def plain(text):
@@ -60,3 +61,15 @@ def test_one_copy_stays(corpus, no_docs, odd_docs):
     assert simhash.keep_one(no_docs).count() == 0
     # The null id stands last, and rows of one id stay together.
     assert sorted(r.doc_id for r in simhash.keep_one(odd_docs).collect()) == [1, 1, 2, 2]
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (2, c + " end"), (2, b[::-1]), (3, b[::-1]), (4, c[::-1]), (4, c[::-1].upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id or 99, r.text) for r in simhash.keep_one(docs).collect())
+    roots = grouped(dict(enumerate(plain(t) for _, t in rows)))
+    assert (2, b[::-1]) in kept and (3, b[::-1]) not in kept and (99, a) not in kept and kept.count((99, b)) == 1
+    assert len(kept) == len(set(roots.values()))
+    component = {(r.id, r.fp % (1 << 64)): r.component for r in simhash.near_duplicates(docs).collect()}
+    assert component[ID_LAST, plain(b)] == ID_LAST and component[2, plain(b[::-1])] == 2 and component[ID_LAST, plain(a)] == 1
