@@ -23,10 +23,13 @@ def byte_encoder(path: str) -> tiktoken.Encoding:
     """The byte-level tokenizer of a ``tokenizers`` file, whose merges must be in the order of their ids.
 
     Printable Latin-1 characters stand for their own byte, the other bytes follow from 256 up.
-    Names of special tokens in a text are ordinary text.
+    The file's added tokens are found in texts, as ``tokenizers`` does.
     """
     with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
+        read = json.load(file)
+    model, added = read["model"], read.get("added_tokens") or []
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+        raise ValueError(f"{path}: an added token takes its neighbourhood into account")
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
     byte_of = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -34,7 +37,7 @@ def byte_encoder(path: str) -> tiktoken.Encoding:
     if any(vocab[a + b] != 256 + i for i, (a, b) in enumerate(merges)):
         raise ValueError(f"{path}: merges are not in the order of their ids")
     ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if i < 256 + len(merges)}
-    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={t["content"]: t["id"] for t in added})
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -47,7 +50,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
     def step(batch: pa.RecordBatch, encoder: tiktoken.Encoding) -> dict:
         out: dict[str, list] = {"id": [], "piece": [], "start": [], "length": [], "ids": []}
         for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids = np.append(encoder.encode_to_numpy(text, disallowed_special=()), np.uint32(end)).astype("<u4")
+            ids = np.append(encoder.encode_to_numpy(text, allowed_special="all"), np.uint32(end)).astype("<u4")
             first = len(ids) % capacity or capacity
             for piece, stop in enumerate(range(first, len(ids) + 1, capacity)):
                 start = max(0, stop - capacity) if piece else 0

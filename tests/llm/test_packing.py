@@ -76,3 +76,13 @@ def test_empty_table_and_odd_rows(no_docs, odd_docs):
     rows = packing.pack_documents(odd_docs).collect()
     assert len(rows) == 6 and len({r.sequence_id for r in rows}) == 1
     assert sorted(r.length for r in rows)[:3] == [1, 1, 1]
+
+
+def test_special_tokens_in_texts(spark):
+    end = "<|endoftext|>"
+    texts = [f"{end} at the start", f"in the {end} middle", f"hello{end}world {end}{end}", f"at the end {end}", end, "<|endoftext| no", f"<{end}>"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in packing.pack_documents(docs).collect():
+        ids = [*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, 0]
+        assert (r.length, r.ids_crc32) == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
