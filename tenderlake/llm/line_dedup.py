@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import id_key, id_out, map_batches, materialize, table, text_of
+from tenderlake.llm.common import id_key, id_out, map_batches, materialize, table, text_key, text_of
 
 #: Shorter lines recur by chance and stay. Words are runs without blanks and control spacing.
 MIN_WORDS = 5
@@ -37,21 +37,22 @@ def line_hash(words: list[bytes]) -> bytes:
 
 
 def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """(id, line, h, keys) of every line with enough words: its place, a 128-bit hash of its words, half keys."""
+    """(id, t, line, h, keys) of every line with enough words: its place, a 128-bit hash of its words, half keys."""
 
     def step(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"id": [], "line": [], "h": [], "keys": []}
-        for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        out: dict[str, list] = {"id": [], "t": [], "line": [], "h": [], "keys": []}
+        for doc, t, text in zip(*(batch.column(c).to_pylist() for c in ("id", "t", "text")), strict=True):
             for at, line in enumerate(text.encode().split(b"\n")):
                 words = line.split()
                 if len(words) >= min_words:
                     out["id"].append(doc)
+                    out["t"].append(t)
                     out["line"].append(at)
                     out["h"].append(line_hash(words))
                     out["keys"].append(half_keys(words) if len(words) >= near_words else [])
         return out
 
-    return map_batches(docs, "id long, line int, h binary, keys array<long>", step)
+    return map_batches(docs, "id long, t long, line int, h binary, keys array<long>", step)
 
 
 def deletion_variants(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,105 +79,112 @@ def within_one(a: list[str], b: list[str]) -> bool:
 
 
 def _candidates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(id, line, text): the first places of distinct lines that share a half with another one."""
-    keyed = distinct.select(F.explode("keys").alias("key"), "id", "line")
+    """(id, t, line, text): the first places of distinct lines that share a half with another one."""
+    keyed = distinct.select(F.explode("keys").alias("key"), "id", "line", "t")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    places = keyed.join(shared, "key", "left_semi").select("id", "line").distinct()
-    of_doc = materialize(places.groupBy("id").agg(F.collect_list("line").alias("lines")))  # a document's own lines
+    places = keyed.join(shared, "key", "left_semi").select("id", "line", "t").distinct()
+    of_doc = materialize(places.groupBy("id", "t").agg(F.collect_list("line").alias("lines")))  # a document's own lines
 
     def step(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"id": [], "line": [], "text": []}
-        for doc, wanted, text in zip(*(batch.column(c).to_pylist() for c in ("id", "lines", "text")), strict=True):
+        out: dict[str, list] = {"id": [], "t": [], "line": [], "text": []}
+        for doc, t, wanted, text in zip(*(batch.column(c).to_pylist() for c in ("id", "t", "lines", "text")), strict=True):
             lines = text.split("\n")
             for at in wanted:
-                if at < len(lines):  # a row that repeats the id may have another text
-                    out["id"].append(doc)
-                    out["line"].append(at)
-                    out["text"].append(lines[at])
+                out["id"].append(doc)
+                out["t"].append(t)
+                out["line"].append(at)
+                out["text"].append(lines[at])
         return out
 
-    joined = map_batches(docs.join(of_doc, "id"), "id long, line int, text string", step)
-    return materialize(joined.groupBy("id", "line").agg(F.first("text").alias("text")))
+    joined = map_batches(docs.join(of_doc, ["id", "t"]), "id long, t long, line int, text string", step)
+    return materialize(joined.groupBy("id", "t", "line").agg(F.first("text").alias("text")))  # rows of one id and text are equal
 
 
-def _variants(candidates: DataFrame) -> DataFrame:
-    """(v1, v2, place, id, line): hashed variants; place -1 is the line itself, else the deleted word."""
+def _variants(candidates: DataFrame, near_words: int) -> DataFrame:
+    """(v1, v2, place, id, line, t): hashed variants; place -1 is the line itself, else the deleted word.
+
+    A line of fewer than ``near_words`` words stands for itself only.
+    """
 
     def step(batch: pa.RecordBatch) -> dict:
-        parts: list[list] = [[], [], [], [], []]
-        for doc, at, text in zip(*(batch.column(c).to_pylist() for c in ("id", "line", "text")), strict=True):
-            one, two = deletion_variants(text.encode().split())
-            n = len(one)
-            for part, values in zip(parts, (one, two, np.arange(-1, n - 1, dtype=np.int32), np.full(n, doc), np.full(n, at, np.int32)), strict=True):
-                part.append(values)
-        return {k: np.concatenate(v) for k, v in zip(("v1", "v2", "place", "id", "line"), parts, strict=True)}
+        parts: list[list] = [[], [], [], [], [], []]
+        for doc, t, at, text in zip(*(batch.column(c).to_pylist() for c in ("id", "t", "line", "text")), strict=True):
+            words = text.encode().split()
+            n = len(words) + 1 if len(words) >= near_words else 1
+            one, two = (x[:n] for x in deletion_variants(words))
+            values = (one, two, np.arange(-1, n - 1, dtype=np.int32), np.full(n, doc), np.full(n, at, np.int32), np.full(n, t))
+            for part, v in zip(parts, values, strict=True):
+                part.append(v)
+        return {k: np.concatenate(v) for k, v in zip(("v1", "v2", "place", "id", "line", "t"), parts, strict=True)}
 
-    return map_batches(candidates, "v1 long, v2 long, place int, id long, line int", step)
+    return map_batches(candidates, "v1 long, v2 long, place int, id long, line int, t long", step)
 
 
-def _near(candidates: DataFrame) -> DataFrame:
-    """(id, line, of_id, of_line): lines with an earlier one within one word edit.
+def _near(candidates: DataFrame, near_words: int) -> DataFrame:
+    """(id, t, line, h, of_id, of_line): lines with an earlier one within one word edit.
 
     Lines with the same variant by deletion at the same place differ in that one word; all of
     such a group have its first line within reach, so each looks at that alone. A line equal to
     a variant of others differs from each by an insertion; it looks at the first of them, and
-    they at it. So work grows with the variants, not with pairs. Each match is verified on words.
+    they at it. So work grows with the variants, not with pairs. Each match is verified on words,
+    of which the longer line has at least ``near_words``.
     """
-    v = materialize(_variants(candidates))
-    e = F.struct("id", "line")
+    v = materialize(_variants(candidates, near_words))
+    e = F.struct("id", "line", "t")
     cut = v.filter("place >= 0")
     groups = cut.groupBy("v1", "v2", "place").agg(F.min(e).alias("of"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    replaced = cut.join(groups, ["v1", "v2", "place"]).filter(F.col("of") < e).select("id", "line", "of")
+    replaced = cut.join(groups, ["v1", "v2", "place"]).filter(F.col("of") < e).select("id", "line", "t", "of")
     mixed = materialize(
         v.groupBy("v1", "v2")
         .agg(F.min(F.when(F.col("place") < 0, e)).alias("whole"), F.min(F.when(F.col("place") >= 0, e)).alias("longer"))
         .filter("whole IS NOT NULL AND longer IS NOT NULL")
     )
-    longer = cut.join(mixed, ["v1", "v2"]).filter(F.col("whole") < e).select("id", "line", F.col("whole").alias("of"))
-    shorter = mixed.filter("longer < whole").select("whole.id", "whole.line", F.col("longer").alias("of"))
-    found = replaced.union(longer).union(shorter).groupBy("id", "line").agg(F.min("of").alias("of"))
-    own = candidates.select("id", "line", "text")
-    other = candidates.select(F.col("id").alias("of_id"), F.col("line").alias("of_line"), F.col("text").alias("of_text"))
+    longer = cut.join(mixed, ["v1", "v2"]).filter(F.col("whole") < e).select("id", "line", "t", F.col("whole").alias("of"))
+    shorter = mixed.filter("longer < whole").select("whole.id", "whole.line", "whole.t", F.col("longer").alias("of"))
+    found = replaced.union(longer).union(shorter).groupBy("id", "line", "t").agg(F.min("of").alias("of"))
+    own = candidates.select("id", "line", "t", "text")
+    other = candidates.select(F.col("id").alias("of_id"), F.col("line").alias("of_line"), F.col("t").alias("of_t"), F.col("text").alias("of_text"))
     pairs = (
-        found.select("id", "line", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"))
-        .join(own, ["id", "line"])
-        .join(other, ["of_id", "of_line"])
+        found.select("id", "line", "t", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"), F.col("of.t").alias("of_t"))
+        .join(own, ["id", "line", "t"])
+        .join(other, ["of_id", "of_line", "of_t"])
     )
 
     def step(batch: pa.RecordBatch) -> dict:
         texts = zip(batch.column("text").to_pylist(), batch.column("of_text").to_pylist(), strict=True)
         words = [(a.encode().split(), b.encode().split()) for a, b in texts]
         good = [within_one(a, b) for a, b in words]
-        held = {c: batch.column(c).filter(pa.array(good)) for c in ("id", "line", "of_id", "of_line")}
+        held = {c: batch.column(c).filter(pa.array(good)) for c in ("id", "t", "line", "of_id", "of_line")}
         return held | {"h": [line_hash(a) for (a, _), g in zip(words, good, strict=True) if g]}
 
-    return map_batches(pairs, "id long, line int, h binary, of_id long, of_line int", step)
+    return map_batches(pairs, "id long, t long, line int, h binary, of_id long, of_line int", step)
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """(id, line, h, of_id, of_line): every line to drop, its hash, and an earlier one it repeats.
-
-    Order is by document id and line number, both from 0 up; a null id stands last. Lines of at
-    least ``min_words`` words repeat an earlier line with the same words; lines of at least
-    ``near_words`` also one that is one word edit away, itself dropped or not. Null or empty
-    texts have no such line. Rows with the same id and text are one document. Of rows that share
-    an id with other texts, null ones included, each loses only lines with the hash given; near
-    matches are then sought for one of these texts.
+    """(id, t, line, h, of_id, of_line): every line to drop, its hash, and an earlier one it repeats.
+
+    Order is by document id, line number, both from 0 up, and ``t``, the ``text_key`` of the
+    document; a null id stands last. Lines of at least ``min_words`` words repeat an earlier line
+    with the same words; where the longer has at least ``near_words``, also one that is one word
+    edit away, itself dropped or not. Null or empty texts have no such line. Rows with the same
+    id and text are one document; rows that share an id with other texts, null ones included, are
+    documents of their own.
     """
-    named = docs.select(id_key().alias("id"), text_of().alias("text"))
+    named = docs.select(id_key().alias("id"), text_key().alias("t"), text_of().alias("text"))
     lines = materialize(lines_of(named, min_words, near_words))
     distinct = materialize(
-        lines.groupBy("h").agg(F.min(F.struct("id", "line")).alias("of"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
+        lines.groupBy("h").agg(F.min(F.struct("id", "line", "t")).alias("of"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
     )
-    firsts = distinct.filter("n > 1").select("h", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"))
-    exact = lines.join(firsts, "h").filter("id <> of_id OR line <> of_line").select("id", "line", "h", "of_id", "of_line")
-    near = _near(_candidates(named, distinct.select("of.id", "of.line", "keys")))
+    firsts = distinct.filter("n > 1").select("h", "of")
+    exact = lines.join(firsts, "h").filter(F.struct("id", "line", "t") != F.col("of"))
+    exact = exact.select("id", "t", "line", "h", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"))
+    near = _near(_candidates(named, distinct.select("of.id", "of.line", "of.t", "keys")), near_words)
     return exact.union(near).distinct()
 
 
 def drops_by_document(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """(id, drops): per document with dropped lines their numbers and the earlier places, in order."""
-    return repeated_lines(docs, min_words, near_words).groupBy("id").agg(
+    """(id, t, drops): per document with dropped lines their numbers and the earlier places, in order."""
+    return repeated_lines(docs, min_words, near_words).groupBy("id", "t").agg(
         F.sort_array(F.collect_list(F.struct("line", "of_id", "of_line", "h"))).alias("drops")
     )
 
@@ -187,9 +195,9 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
     A document may be left with an empty text; none is dropped.
     """
     drops = materialize(drops_by_document(docs, min_words, near_words)).select(
-        F.col("id").alias("_drop_id"), F.col("drops.line").alias("_drop_lines"), F.col("drops.h").alias("_drop_hashes")
+        F.col("id").alias("_drop_id"), F.col("t").alias("_drop_t"), F.col("drops.line").alias("_drop_lines"), F.col("drops.h").alias("_drop_hashes")
     )
-    joined = docs.join(drops, id_key() == F.col("_drop_id"), "left").drop("_drop_id")
+    joined = docs.join(drops, (id_key() == F.col("_drop_id")) & (text_key() == F.col("_drop_t")), "left").drop("_drop_id", "_drop_t")
     columns = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,9 +222,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, how many go, which, and the documents that hold the earlier ones."""
     docs = table(spark, sf_dir, "documents")
     drops = drops_by_document(docs)
-    sizes = docs.select(id_key().alias("id"), F.size(F.split(text_of(), "\n")).cast("long").alias("n_lines"))
+    sizes = docs.select(id_key().alias("id"), text_key().alias("t"), F.size(F.split(text_of(), "\n")).cast("long").alias("n_lines"))
     lines = F.coalesce("drops.line", F.array().cast("array<int>"))
-    return sizes.join(drops, "id", "left").select(
+    return sizes.join(drops, ["id", "t"], "left").select(
         id_out("id").alias("doc_id"),
         "n_lines",
         F.size(lines).cast("long").alias("n_dropped"),

@@ -80,3 +80,11 @@ def test_rows_that_share_an_id_with_other_texts(spark):
     docs = spark.createDataFrame([(1, line), (2, line), (2, other), (None, other), (None, line + " more words")], "doc_id long, text string")
     texts = sorted((r.doc_id or 99, r.text) for r in line_dedup.drop_repeated_lines(docs).collect())
     assert texts == [(1, line), (2, ""), (2, other), (99, ""), (99, line + " more words")]
+
+
+def test_near_lines_of_rows_that_share_an_id(spark):
+    frames = [" ".join(f"{x}{i}" for i in range(12)) for x in "abcdefgh"]
+    rows = [(None, f) for f in frames] + [(3, f.replace("5", "changed", 1)) for f in frames] + [(None, frames[0] + "\nmore")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id or 99, r.text) for r in line_dedup.drop_repeated_lines(docs).collect())
+    assert kept == sorted([r for r in rows if r[0]] + [(99, "")] * 8 + [(99, "more")])
