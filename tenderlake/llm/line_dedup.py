@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from tenderlake.llm.common import id_key, id_out, map_batches, materialize, table, text_key, text_of
 
-#: Shorter lines recur by chance and stay. Words are runs without blanks and control spacing.
-MIN_WORDS = 5
-#: From this length on one word inserted, deleted or replaced still counts as the same line.
-NEAR_WORDS = 10
+#: Shorter lines stay: those without a word. Words are runs without blanks and control spacing.
+MIN_WORDS = 1
+#: If the longer of two lines has so many words, one word inserted, deleted or replaced still counts
+#: as the same line: a fifth of it at most.
+NEAR_WORDS = 5
 #: Odd multipliers of the two word-sequence hashes, modulo 2**64.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -23,12 +24,14 @@ MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 def half_keys(words: list[bytes]) -> list[int]:
     """Keys of which two sequences within one word edit share at least one.
 
-    With h half the shorter length, rounded down, an edit behind the first h words leaves these
-    equal, and one before leaves the last h equal.
+    With m the shorter length and h half of it, rounded down, an edit behind the first h words
+    leaves these equal, and one before leaves the last m - h equal. A sequence is the shorter or
+    equal one with m its length, the longer one with m a word less; keys hold m.
     """
     n, keys = len(words), []
-    for h in {n // 2, (n - 1) // 2}:
-        keys += [xxhash.xxh3_64_intdigest(b" ".join(words[:h]), 1), xxhash.xxh3_64_intdigest(b" ".join(words[n - h :]), 2)]
+    for m in (n - 1, n):
+        h = m // 2
+        keys += [xxhash.xxh3_64_intdigest(b" ".join(words[:h]), 2 * m), xxhash.xxh3_64_intdigest(b" ".join(words[n - m + h :]), 2 * m + 1)]
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
@@ -37,7 +40,10 @@ def line_hash(words: list[bytes]) -> bytes:
 
 
 def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """(id, t, line, h, keys) of every line with enough words: its place, a 128-bit hash of its words, half keys."""
+    """(id, t, line, h, keys) of every line with enough words: its place, a 128-bit hash of its words, half keys.
+
+    A line one word short of ``near_words`` has keys too: it may be a longer one without a word.
+    """
 
     def step(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"id": [], "t": [], "line": [], "h": [], "keys": []}
@@ -49,7 +55,7 @@ def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
                     out["t"].append(t)
                     out["line"].append(at)
                     out["h"].append(line_hash(words))
-                    out["keys"].append(half_keys(words) if len(words) >= near_words else [])
+                    out["keys"].append(half_keys(words) if len(words) >= near_words - 1 else [])
         return out
 
     return map_batches(docs, "id long, t long, line int, h binary, keys array<long>", step)

@@ -88,3 +88,12 @@ def test_near_lines_of_rows_that_share_an_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted((r.doc_id or 99, r.text) for r in line_dedup.drop_repeated_lines(docs).collect())
     assert kept == sorted([r for r in rows if r[0]] + [(99, "")] * 8 + [(99, "more")])
+
+
+def test_short_lines(spark):
+    rows = [(1, "All rights reserved.\nShare\n\none two three four"), (2, "Share\n\nall of it stays"), (3, "All rights  reserved.\none two new three four")]
+    rows += [(4, "a b c d e f"), (5, "a b X d e f\na b X Y e f"), (6, "v w x y z q r s t"), (7, "v w x y z q new r s t"), (8, "one two three\n\n \t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs).collect()}
+    want = dict(rows) | {2: "\nall of it stays", 3: "", 5: "", 7: ""}
+    assert kept == want
