@@ -16,12 +16,9 @@ WINDOW = 10
 BLOCK_BYTES = 64 << 20
 #: Bytes that a broadcast window takes besides its words and item ids.
 ROW_BYTES = 100
-#: A word of a lower-cased text: letters, digits and everything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words before A-Z are lower-cased.
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-
-FOUND = "key binary, spans array<struct<start: int, stop: int>>, items array<string>"
+#: Letters of either case, digits and everything beyond ASCII make words.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def lowered(text: Column) -> Column:
@@ -30,7 +27,7 @@ def lowered(text: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lowered(text), GAP), "")
 
 
 def same_text(text: Column) -> Column:
@@ -38,8 +35,12 @@ def same_text(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def _window_hash(words: Column, at: Column, width: int) -> Column:
-    return F.xxhash64(F.lit(width), *[F.get(words, at + k) for k in range(width)])
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _window_hash(hashes: Column, at: Column, width: int) -> Column:
+    return F.xxhash64(F.lit(width), *[F.get(hashes, at + k) for k in range(width)])
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -55,36 +56,35 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
         F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - width + 1), lambda at: F.slice("w", at, width))).alias("w"),
     )
     distinct = cut.groupBy("width", F.array_join("w", " ").alias("words")).agg(F.array_sort(F.collect_set("item")).alias("items"))
-    w = F.split("words", " ")
-    hashed = reduce(lambda made, n: made.when(F.col("width") == n, _window_hash(w, F.lit(0), n)), range(2, window + 1), F.when(F.col("width") == 1, _window_hash(w, F.lit(0), 1)))
-    return distinct.select("width", hashed.alias("h"), "words", "items")
+    hashes = _word_hashes(F.split("words", " "))
+    h = reduce(lambda made, n: made.when(F.col("width") == n, _window_hash(hashes, F.lit(0), n)), range(1, window + 1), F.when(F.lit(False), F.lit(0).cast("long")))
+    return distinct.select("width", h.alias("h"), "words", "items")
 
 
 def _hits(docs: DataFrame, windows: DataFrame, widths: list[int]) -> DataFrame:
-    """(key, at, width, items): every place of a document where one of ``windows`` stands, verified on its words.
+    """(key, at, n, items): every place of a document where one of ``windows`` stands, and one row at -1 with its number of words.
 
     Hashes are compared inside the scan, the words of a place only where its hash is in the set.
     """
 
     def places(words: Column) -> Column:
-        def of(width: int) -> Column:
-            hashed = F.transform(
-                F.sequence(F.lit(0), F.size(words) - width),
-                lambda at: F.struct(at.alias("at"), F.lit(width).alias("n"), _window_hash(words, at, width).alias("h")),
-            )
-            return F.when(F.size(words) >= width, hashed).otherwise(F.slice(hashed_type, 1, 0))
+        size = F.struct(F.lit(-1).alias("at"), F.size(words).alias("n"), F.lit(None).cast("long").alias("h"))
 
-        hashed_type = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("h")))
-        return F.concat(*[of(w) for w in widths])
+        def of(hashes: Column, width: int) -> Column:
+            every = F.sequence(F.lit(0), F.greatest(F.size(hashes) - width, F.lit(0)))
+            hashed = F.transform(every, lambda at: F.struct(at.alias("at"), F.lit(width).alias("n"), _window_hash(hashes, at, width).alias("h")))
+            return F.when(F.size(hashes) >= width, hashed).otherwise(F.slice(F.array(size), 1, 0))
+
+        return let(_word_hashes(words), lambda hashes: F.concat(F.array(size), *[of(hashes, w) for w in widths]))
 
     text = text_of()
     cut = docs.select(same_text(text).alias("key"), words_of(text).alias("w")).withColumn("places", let(F.col("w"), places))
     # An outer explode: for an inner one the planner would work out all places twice, once to see that there are any.
-    spread = cut.select("key", "w", F.explode_outer("places").alias("p")).select("key", "w", "p.at", "p.n", "p.h")
-    met = spread.join(F.broadcast(windows), "h")
+    spread = cut.select("key", "w", F.explode_outer("places").alias("p")).select("key", "w", "p.at", "p.n", F.col("p.h").alias("place_h"))
     # Not written as an equality, which would become a join key and be worked out at every place.
     same = F.array_contains(F.array("words"), F.array_join(F.slice("w", F.col("at") + 1, F.col("n")), " "))
-    return met.filter(same).select("key", "at", "width", "items")
+    met = spread.join(F.broadcast(windows), (F.col("place_h") == F.col("h")) & same, "left")
+    return met.filter((F.col("at") < 0) | F.col("words").isNotNull()).select("key", "at", "n", "items")
 
 
 def _merged(spans: Column) -> Column:
@@ -99,30 +99,32 @@ def _merged(spans: Column) -> Column:
     return let(places, runs)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(key, spans, items) of every distinct text of ``docs`` in which a window of ``benchmark`` stands.
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, n_words, spans, items) of every distinct text of ``docs``, for the windows of ``benchmark`` that stand in it.
 
     ``key`` is ``same_text``; ``spans`` are places of words from 0, end excluded, merged and in
     order; ``items`` are the ids, as sorted strings, of all items with a window in the text.
-    Copies of a text are found together, whatever their ids. The set of windows is broadcast in
-    blocks of a checked size, each with its own scan, so a benchmark of any size keeps the bound.
-    Empty tables, null and empty texts give no rows; other columns may have any names.
+    Copies of a text are one row, whatever their ids. The set of windows is broadcast in blocks
+    of a checked size, each with its own scan, so a benchmark of any size keeps the bound.
+    Null and empty texts have no words; an empty table gives no rows, an empty benchmark no
+    spans; other columns may have any names.
     """
-    spark = docs.sparkSession
     windows = materialize(item_windows(benchmark, window))
     held = F.sum(F.length("words") + F.aggregate("items", F.lit(0), lambda n, i: n + F.length(i) + 16) + ROW_BYTES)
     size = windows.agg(held.alias("bytes"), F.array_sort(F.collect_set("width")).alias("widths")).first()
-    if not size["bytes"]:
-        return spark.createDataFrame([], FOUND)
-    blocks = -(-size["bytes"] // block_bytes)
+    blocks = max(1, -(-(size["bytes"] or 0) // block_bytes))
     parts = [windows if blocks == 1 else windows.filter(F.pmod("h", F.lit(blocks)) == b) for b in range(blocks)]
     hits = reduce(DataFrame.union, [_hits(docs, part, size["widths"]) for part in parts])
-    span = F.struct(F.col("at").alias("start"), (F.col("at") + F.col("width")).alias("stop"))
-    return materialize(
-        hits.groupBy("key")
-        .agg(F.collect_set(span).alias("spans"), F.collect_set("items").alias("items"))
-        .select("key", _merged(F.col("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
+    span = F.when(F.col("at") >= 0, F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("stop")))
+    found = hits.groupBy("key").agg(
+        F.max(F.when(F.col("at") < 0, F.col("n"))).alias("n_words"), F.collect_set(span).alias("spans"), F.collect_set("items").alias("items")
     )
+    return found.select("key", "n_words", _merged(F.col("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``scan`` with a window, written to the shared folder."""
+    return materialize(scan(docs, benchmark, window, block_bytes).filter(F.size("spans") > 0))
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -151,7 +153,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
             stops = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.size(words)))
             return F.concat(gaps[0], F.array_join(F.zip_with(starts, stops, piece), ""))
 
-        return let(F.regexp_extract_all(text, F.lit(WORD_ANY_CASE), F.lit(0)), lambda w: let(F.split(text, WORD_ANY_CASE), lambda g: keep(w, g)))
+        return let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: let(F.split(text, WORD), lambda g: keep(w, g)))
 
     joined = held.join(found, "key", "left")
     left = F.when(F.isnull("spans"), F.col("row.text")).otherwise(cut(F.col("spans")))
@@ -164,22 +166,14 @@ def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     Null and empty texts have no words; rows that share an id or have none are rows of their own.
     """
     docs = table(spark, sf_dir, "documents")
-    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    of_text = found.select(
-        "key",
-        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]).alias("hit"),
-        F.size("items").cast("long").alias("met"),
-        F.sha2(F.array_join("items", ","), 256).alias("digest"),
-    )
-    text = text_of()
-    sizes = docs.select("doc_id", same_text(text).alias("key"), F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("long").alias("n_words"))
-    n_hit = F.coalesce("hit", F.lit(0).cast("long"))
-    return sizes.join(of_text, "key", "left").select(
+    found = materialize(scan(docs, table(spark, sf_dir, "benchmark")))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return docs.select("doc_id", same_text(text_of()).alias("key")).join(found, "key").select(
         "doc_id",
-        "n_words",
+        F.col("n_words").cast("long").alias("n_words"),
         n_hit.alias("n_hit"),
-        F.coalesce("met", F.lit(0).cast("long")).alias("n_items"),
-        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
 
