@@ -18,7 +18,7 @@ from tenderlake.llm.common import map_batches, materialize, table
 
 LETTERS = string.ascii_lowercase + "".join(map(chr, range(0xC0, 0x100)))
 #: Letters are hashed to so many symbols: a word of length n has about 2 * n * SYMBOLS reduced neighbours.
-SYMBOLS = 16
+SYMBOLS = 8
 #: A reduced word of more words than this is met by the neighbours of the words themselves instead.
 CROWD = 64
 #: A word counts if it has so many letters and occurs so often; its form is so many times as frequent.
