@@ -18,9 +18,9 @@ from tenderlake.llm.common import id_key, id_out, materialize, table, text_of
 #: The filters in the order of their bits; the last one rejects copies of a text under a smaller id.
 FILTERS = "ABCDE"
 #: Texts drawn to find the boundaries of ranges, so many of their first code points, and most ranges.
-DRAWS, PREFIX, MOST_RANGES = 4096, 1024, 1024
-#: Bytes of text that one trie should hold.
-TRIE_BYTES = 32 << 20
+DRAWS, PREFIX, MOST_RANGES = 8192, 1024, 1024
+#: Bytes of text that one trie should hold at most; small tables still get two tries per shuffle partition.
+TRIE_BYTES = 16 << 20
 #: Texts of which a map task remembers the smallest id that it has sent.
 REMEMBERED = 100_000
 #: Rows that need no trie any more are dealt over so many keys.
@@ -114,9 +114,9 @@ def _ranges(texts: DataFrame, trie_bytes: int) -> tuple[list[str], list[int]]:
     are ranges, all ranges are cut into more parts, so a trie keeps its size at any size of table.
     """
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    tries = max(1, -(-size // trie_bytes))
-    if tries == 1:
+    if not size:
         return [], [1]
+    tries = max(-(-size // trie_bytes), 2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     drawn = texts.filter(F.rand(12) * size < F.octet_length("text") * F.lit(float(DRAWS))).select(F.substring("text", 1, PREFIX)).collect()
     cuts, parts = boundaries((r[0] for r in drawn), min(tries, MOST_RANGES))
     return cuts, [p * -(-tries // MOST_RANGES) for p in parts]
@@ -250,7 +250,8 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
 _LETTERS = "(SELECT unnest(string_split('A B C D E', ' ')) AS f)"
 ORACLE_SQL = rf"""
 WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
-    parts AS (SELECT *, regexp_extract_all(t, '[^ 	-]+') AS w,
+    parts AS (SELECT *, regexp_extract_all(t, '[^ 	-
+]+') AS w,
         coalesce(doc_id, 9223372036854775807) > min(coalesce(doc_id, 9223372036854775807)) OVER (PARTITION BY t) AS copy FROM texts),
     marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
     failed AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
