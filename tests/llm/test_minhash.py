@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -93,3 +94,17 @@ def test_range_index_is_a_binary_search(spark):
     for part in (pairs, pairs[:1], []):
         for r in rows.select("a", "b", range_index(F.col("a"), F.col("b"), part).alias("n")).collect():
             assert r.n == sum(p <= (r.a, r.b) for p in part)
+
+
+def test_edited_copies_are_one_class_and_unlike_texts_are_not(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        changed = list(words)
+        for at in range(20, 400, 60):
+            changed[at] = f"new{k}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]  # Jaccard 361 / 431
+    rows += [(100, "a b c d e"), (101, "a b c d f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in minhash.keep_one(docs).collect()) == [*range(0, 24, 2), 100, 101]
