@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderlake.llm import line_dedup, minhash, packing, quality_model, quality_rules
+from tenderlake.llm import line_dedup, packing, quality_model, quality_rules, simhash
 from tenderlake.llm.common import materialize, ready, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -36,14 +36,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: texts whose five-word windows have a Jaccard of 0.8 or more.
+    """One document of each group whose SimHash fingerprints of 3-word shingles link at 2 or fewer differing bits.
 
-    At 0.8 about 10 of the 64 bits of a SimHash differ; segments that leave as many room are too
-    short to tell texts apart. So candidates share a MinHash band, which finds all but one pair
-    in 10,000 at 0.8 and more above, and the windows of each are compared.
+    The first one in the order of id and text stays. Null and empty texts have the fingerprint
+    zero and link like any other; rows that share an id or have none are documents of their own.
     """
     ready(spark)
-    return minhash.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
