@@ -1,9 +1,9 @@
-"""Exact grouped quantiles that stay distributed however large one group is.
+"""Exact grouped quantiles by range partitions over (group, value).
 
 Spark's own ``percentile`` keeps every distinct value of a group in the memory of one task. Here
-equal values are counted on the map side, the distinct ones are dealt out by group and a slice of
-the number line, and ranked there; the sizes of the slices before it place a slice in its group.
-One plan serves groups of every size.
+equal values are counted on the map side and the distinct ones are range-partitioned by group and
+value, so a group of any size and any distribution is cut into ranges of about equal numbers of
+values. The sizes of the ranges say which of them hold the wanted ranks; only those are ranked.
 """
 
 from __future__ import annotations
@@ -14,17 +14,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Slices per factor e of a value's size: neighbours in a slice differ by about a tenth of a percent.
-SLICES = 1024
+from tenderlake.session import materialize
 
 Extra = tuple[Column, Callable[[Column], Column]]
 
 
-def _slice(value: Column) -> Column:
-    """A number that never falls while ``value`` rises; null for null, the largest for NaN."""
-    size = F.signum(value) * F.log1p(F.abs(value)) * F.lit(SLICES)
-    bounded = F.greatest(F.lit(-1e9), F.least(F.lit(1e9), F.floor(size).cast("double")))
-    return F.when(value.isNotNull(), F.when(F.isnan(value), F.lit(2_000_000_000)).otherwise(bounded.cast("int")))
+def ranged_counts(df: DataFrame, keys: list[str], value: str, extras: dict[str, Extra]) -> DataFrame:
+    """(_g, _q_v, _q_cnt, _q_part, extras): the distinct values of every group, how often they are there, and their range.
+
+    ``_g`` is a struct of the keys, which joins null keys too. Values of a group rise with
+    ``_q_part``. Ranges hold distinct rows only, so they can always be cut evenly; the number of a
+    range is read more than once, and only a written table makes all reads agree.
+    """
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_all"))
+    counted = df.groupBy(group.alias("_g"), F.col(value).cast("double").alias("_q_v")).agg(
+        F.count(value).alias("_q_cnt"), *[first.alias(name) for name, (first, _) in extras.items()]
+    )
+    return materialize(counted.repartitionByRange("_g", "_q_v").withColumn("_q_part", F.spark_partition_id()))
 
 
 def exact_quantiles(
@@ -37,39 +43,35 @@ def exact_quantiles(
     """One row per group: each ``outputs`` name holds the linear-interpolated quantile.
 
     ``extras`` maps a name to (aggregate over rows, aggregate merging two of those), computed in
-    the same pass. Null values do not count; a null key is a group. Nothing runs until the result
-    is used.
+    the same pass. Null values do not count; a null key is a group. Equal values are counted and
+    written in ranges at once; the rest runs when the result is used.
     """
     extras = extras or {}
-    valued = df.withColumn("_v", F.col(value).cast("double")).withColumn("_slice", _slice(F.col("_v")))
-    counted = valued.groupBy(*keys, "_slice", "_v").agg(
-        F.count("_v").alias("_cnt"), *[first.alias(name) for name, (first, _) in extras.items()]
+    stored = ranged_counts(df, keys, value, extras)
+    merged = [merge(F.col(name)).alias(name) for name, (_, merge) in extras.items()]
+    # One row per range and group in it: a group has at most as many as there are ranges.
+    sizes = stored.groupBy("_g", "_q_part").agg(F.sum("_q_cnt").alias("_q_size"), *merged)
+    groups = sizes.groupBy("_g").agg(F.sum("_q_size").alias("_q_n"), *merged)
+    whole = Window.partitionBy("_g")
+    before = whole.orderBy("_q_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.select(
+        "_g", "_q_part", "_q_size", F.coalesce(F.sum("_q_size").over(before), F.lit(0)).alias("_q_before"), F.sum("_q_size").over(whole).alias("_q_n")
     )
-    within = Window.partitionBy(*keys, "_slice")
-    upward = within.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counted.withColumn("_end", F.sum("_cnt").over(upward))
-    # At most as many rows per group as there are slices, whatever the group's size.
-    whole = Window.partitionBy(*keys)
-    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counted.groupBy(*keys, "_slice").agg(F.sum("_cnt").alias("_size")).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_slice").alias("_k_slice"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        F.sum("_size").over(whole).alias("_n"),
-    )
-    pairs = [*((k, f"_k_{k}") for k in keys), ("_slice", "_k_slice")]
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in pairs])
-    ranked = placed.join(offsets, same).withColumn("_end", F.col("_end") + F.col("_before"))
+    ranks = []
+    for p in outputs.values():
+        position = (F.col("_q_n") - 1) * F.lit(p)
+        ranks.append((F.floor(position), F.ceil(position)))
+    holds = [(r >= F.col("_q_before")) & (r < F.col("_q_before") + F.col("_q_size")) for pair in ranks for r in pair]
+    wanted = placed.filter(reduce(lambda a, b: a | b, holds)).select("_g", "_q_part", "_q_before", "_q_n")
+    upward = Window.partitionBy("_g", "_q_part").orderBy("_q_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = stored.select("_g", "_q_part", "_q_v", "_q_cnt").join(wanted, ["_g", "_q_part"]).withColumn("_q_end", F.sum("_q_cnt").over(upward) + F.col("_q_before"))
     picked = []
-    for i, p in enumerate(outputs.values()):
-        position = (F.col("_n") - 1) * F.lit(p)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            held = (rank >= F.col("_end") - F.col("_cnt")) & (rank < F.col("_end"))
-            picked.append(F.max(F.when(held, F.col("_v"))).alias(f"_{side}{i}"))
-    merged = ranked.groupBy(*keys).agg(
-        F.max("_n").alias("_n"), *picked, *[merge(F.col(name)).alias(name) for name, (_, merge) in extras.items()]
-    )
-    return merged.select(*keys, *_weighted(outputs), *extras)
+    for i, pair in enumerate(ranks):
+        for side, rank in zip(("lo", "hi"), pair):
+            held = (rank >= F.col("_q_end") - F.col("_q_cnt")) & (rank < F.col("_q_end"))
+            picked.append(F.max(F.when(held, F.col("_q_v"))).alias(f"_{side}{i}"))
+    found = groups.join(ranked.groupBy("_g").agg(*picked), "_g", "left")
+    return found.select(*[F.col(f"_g.`{k}`") for k in keys], *_weighted(outputs), *extras)
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str, **kwargs) -> DataFrame:
@@ -79,7 +81,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str, **kwargs
 def _weighted(outputs: dict[str, float]) -> list[Column]:
     columns = []
     for i, (name, p) in enumerate(outputs.items()):
-        position = (F.col("_n") - 1) * F.lit(p)
+        position = (F.col("_q_n") - 1) * F.lit(p)
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         columns.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
     return columns

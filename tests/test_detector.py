@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.operators.anomaly import IsolationForest, RobustScaler, average_path, isolation_score, robust_stats
 from tenderlake.operators.features import FEATURES
-from tenderlake.operators.perturb import KINDS, perturb
+from tenderlake.operators.perturb import KINDS, lowest, perturb
 from tenderlake.plans.score import explanation
 
 NAMES = ["value_ratio_group", "bidders_ratio_modality", "agency_hhi"]
@@ -109,3 +109,12 @@ def test_perturbation_is_seeded_and_bounded(full):
     assert chosen(1) == chosen(1) != chosen(2)
     with pytest.raises(ValueError):
         perturb(full, 51, 1)
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3, 7, 500, 2999, 3000])
+def test_lowest_draws_with_ties(spark, k):
+    rows = [(i, 0.5 if i % 3 == 0 else (0.25 + (i % 7) * 2.0**-52 if i % 2 else i / 4096)) for i in range(3000)]
+    drawn = spark.createDataFrame(rows, "id long, draw double").repartition(5)
+    found = lowest(drawn, k, ["id"])
+    assert sorted(r.id for r in found.collect()) == sorted(i for i, _ in sorted(rows, key=lambda r: (r[1], r[0]))[:k])
+    assert "Limit" not in found._jdf.queryExecution().toString()

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tenderlake.operators.quantiles import exact_median, exact_quantiles
+from tenderlake.operators.quantiles import exact_median, exact_quantiles, ranged_counts
 from tenderlake.operators.ranking import keep_last, number_rows
 
 
@@ -58,11 +58,28 @@ def test_values_of_every_sign_and_size(spark):
     np.testing.assert_allclose([row[f"p{i}"] for i in range(len(values))][1:-1], sorted(values)[1:-1])
 
 
-def test_building_runs_no_job(spark, skewed):
-    tracker = spark.sparkContext.statusTracker()
-    before = len(tracker.getJobIdsForGroup(None))
-    exact_median(skewed[1], ["g"], "v", "m")
-    assert len(tracker.getJobIdsForGroup(None)) == before
+@pytest.mark.parametrize("value", ["id / 2e8", "exp(id / 1e4)", "1e9 + id", "CASE WHEN id < 150000 THEN id / 1e12 ELSE id END"])
+def test_no_task_holds_much_more_than_its_share(spark, value):
+    """One group of 200,000 distinct values, however close, is cut evenly."""
+    df = spark.range(200_000).select(F.lit(1).alias("g"), F.expr(value).alias("v"))
+    parts = 16
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ranged_counts(df, ["g"], "v", {}).groupBy("_g", "_q_part").count().collect()]
+        row = exact_quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.999}).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 200_000 and max(sizes) < 2 * 200_000 / parts
+    np.testing.assert_allclose(row[1:], np.percentile(df.toPandas()["v"], [25, 50, 99.9]), rtol=1e-12)
+
+
+def test_without_keys_all_rows_are_one_group(spark):
+    df = spark.createDataFrame([(1.0,), (4.0,), (None,), (2.0,)], "v double")
+    row = exact_quantiles(df, [], "v", {"m": 0.5}, extras={"n": (F.count(F.lit(1)), F.sum)}).collect()
+    assert [tuple(r) for r in row] == [(2.0, 4)]
 
 
 def test_row_numbers_are_dense_and_ordered_under_ties(spark):
