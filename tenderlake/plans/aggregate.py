@@ -20,9 +20,10 @@ def aggregate_series(tables: Tables) -> int:
 
 
 def aggregate_suppliers(spark: SparkSession, silver: str, tables: Tables) -> tuple[int, int]:
-    """Rebuilds both supplier rankings from silver items; the total reads the written series."""
+    """Rebuilds both supplier rankings from silver items in one commit; the total reads the written series."""
     if not path_exists(spark, f"{silver}/item"):
         return 0, 0
-    series = tables.replace("supplier_series", supplier_series(read_silver(spark, silver, "item")))
-    total = tables.replace("supplier_total", supplier_total(series))
+    with tables.commit():
+        series = tables.replace("supplier_series", supplier_series(read_silver(spark, silver, "item")))
+        total = tables.replace("supplier_total", supplier_total(series))
     return series.count(), total.count()

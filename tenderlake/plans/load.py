@@ -55,8 +55,14 @@ def load(spark: SparkSession, silver: str, tables: Tables, periods: list[str]) -
     All periods go through one pass per table, with the outcome of loading them one after the
     other in period order. Only the partitions holding a touched notice are rewritten. Running
     it again changes nothing. If the pass fails, the periods are tried one by one: what is wrong
-    with one is its own log row, its tables stay as they were, and the others are loaded.
+    with one is its own log row, its tables stay as they were, and the others are loaded. All
+    tables and the log change in one commit: a load that dies has changed nothing.
     """
+    with tables.commit():
+        return _load(spark, silver, tables, periods)
+
+
+def _load(spark: SparkSession, silver: str, tables: Tables, periods: list[str]) -> DataFrame:
     started = _now()
     errors: dict[str, str | None] = dict.fromkeys(periods)
 
@@ -101,9 +107,13 @@ def load(spark: SparkSession, silver: str, tables: Tables, periods: list[str]) -
 def _merge(tables: Tables, notices: DataFrame, items: DataFrame, bids: DataFrame) -> DataFrame:
     """Applies the batches and returns rows inserted per period.
 
-    Everything is computed and written aside before the first table changes, so an input that
-    cannot be read or a computation that fails leaves all tables as they were.
+    If anything fails, the tables stay as they were before these batches.
     """
+    with tables.attempt():
+        return _merge_all(tables, notices, items, bids)
+
+
+def _merge_all(tables: Tables, notices: DataFrame, items: DataFrame, bids: DataFrame) -> DataFrame:
     batches = {
         "modality": merge.modality_batch(notices),
         "agency": merge.agency_batch(notices),

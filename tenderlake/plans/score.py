@@ -42,10 +42,15 @@ def rank_scores(scored: DataFrame) -> DataFrame:
 
 
 def score(spark: SparkSession, silver: str, tables: Tables, seed: int = DEFAULT_SEED) -> int:
-    """Scores silver, keeps the loaded notices, and replaces the previous scores.
+    """Scores silver, keeps the loaded notices, and replaces the previous scores and their run record in one commit.
 
     With no data at all the former scores stay.
     """
+    with tables.commit():
+        return _score(spark, silver, tables, seed)
+
+
+def _score(spark: SparkSession, silver: str, tables: Tables, seed: int) -> int:
     notices, items, bids = (read_silver(spark, silver, t) for t in ("notice", "item", "bid"))
     matrix = materialize(neutralize(feature_matrix(notices, items, bids, stage=materialize)))
     if matrix.isEmpty():

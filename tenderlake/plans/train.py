@@ -43,10 +43,16 @@ def training_points(series: DataFrame, min_train: int, h: int) -> DataFrame:
 def train(tables: Tables, grouping: str = "agency", h: int = 12) -> TrainResult:
     """Forecasts ``h`` months of every eligible series; replaces the last run of the grouping.
 
-    An empty series table still replaces the run, with no forecasts.
+    An empty series table still replaces the run, with no forecasts. Forecasts and the record of
+    the run change in one commit.
     """
     if grouping not in GROUPINGS:
         raise ValueError(f"grouping must be one of {GROUPINGS}, got {grouping!r}")
+    with tables.commit():
+        return _train(tables, grouping, h)
+
+
+def _train(tables: Tables, grouping: str, h: int) -> TrainResult:
     started = time.perf_counter()
     run_id, run_type = new_run_id(), f"forecast:{grouping}"
     spark = tables.spark
