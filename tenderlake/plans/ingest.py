@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.schemas import SILVER
 from tenderlake.session import materialize
-from tenderlake.sources.archives import ERROR, PARTIAL, STATUS, parse_lines, read_archives, unpack
+from tenderlake.sources.archives import ERROR, PARTIAL, STATUS, parse_lines, read_archives, unpack_blocks
 from tenderlake.sources.silver import clear_silver, write_silver
 
 
@@ -29,7 +29,7 @@ def ingest(spark: SparkSession, bronze: str, silver: str, periods: list[str]) ->
     The report has a row for each of them. Where there is no usable archive it says so, and what
     silver held of that month is left alone.
     """
-    staged = materialize(unpack(read_archives(spark, bronze, periods)), partition_by="table")
+    staged = materialize(unpack_blocks(read_archives(spark, bronze, periods)), partition_by="table")
     report = materialize(ingest_report(staged))
     # One report row per requested month.
     found = {row["period"]: row for row in report.collect()}

@@ -16,6 +16,12 @@ def any_match(spark: SparkSession, pattern: str) -> bool:
     return bool(matches(spark, pattern))
 
 
+def empty_matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Files without a byte."""
+    fs, jpath = hadoop_path(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(jpath) or [] if s.isFile() and s.getLen() == 0]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, jpath = hadoop_path(spark, path)
     fs.delete(jpath, True)

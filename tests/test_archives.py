@@ -1,6 +1,8 @@
 import datetime
 import io
+import random
 import zipfile
+import zlib
 from decimal import Decimal as D
 
 import pytest
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 from tenderlake.catalog.bundles import build_archive
 from tenderlake.plans.ingest import ingest
 from tenderlake.schemas import SILVER, TABLE_HEADERS
-from tenderlake.sources.archives import is_intact, member_type, parse_lines, records, recover_members, unpack
+from tenderlake.sources import archives as A
+from tenderlake.sources.archives import member_type, parse_lines, read_archives, records, unpack, unpack_blocks
 from tenderlake.sources.silver import read_silver
 
 PERIOD = "202401"
@@ -28,6 +31,43 @@ def archive(cut=False, lines=LINES, period=PERIOD):
     return build_archive(period, lines, cut)
 
 
+@pytest.fixture
+def bronze(tmp_path):
+    folder = tmp_path / "bronze"
+    folder.mkdir()
+    return folder
+
+
+def member(content, start, stop, checksum=None, length=None, step=5):
+    """One member read from parts of ``step`` bytes: (name, body, end), None if it is not whole."""
+    parts = ((at, content[at : at + step]) for at in range(start // step * step, len(content), step))
+    found = A._Member(parts, start, stop, checksum, length)
+    try:
+        found.open()
+        body = b"".join(found.chunks())
+    except (A._Damaged, zlib.error):
+        return None
+    return found.name, body, found.ends
+
+
+def is_intact(content):
+    listed = A._directory(len(content), content)
+    if not listed:
+        return A._is_empty(len(content), content)
+    return all(member(content, start, stop, checksum, length) for start, stop, _, checksum, length in listed)
+
+
+def recover_members(content):
+    """The walk from member to member."""
+    found, at = {}, content.find(A.HEADER_MARK)
+    while at >= 0:
+        whole = member(content, at, len(content))
+        if whole:
+            found[member_type(whole[0])] = whole[1]
+        at = content.find(A.HEADER_MARK, whole[2] if whole else at + 1)
+    return found
+
+
 def frame(spark, *contents):
     rows = [(p, f"{p}.zip", c) for p, c in contents]
     return spark.createDataFrame(rows, "period string, path string, content binary")
@@ -90,6 +130,72 @@ def harmed(flag=None, method=None):
     return bytes(content)
 
 
+def test_large_sizes_and_directories(monkeypatch):
+    """Members with 64-bit sizes, and a directory longer than the end of the archive that is looked at."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(40):
+            with z.open(f"{PERIOD}_M{i}.csv", "w", force_zip64=True) as f:
+                f.write(b"line;%d\n" % i * 50)
+    content = buffer.getvalue()
+    assert is_intact(content) and set(recover_members(content[:-30])) == {f"M{i}" for i in range(40)}
+    assert A._directory(len(content), content[-500:]) is None
+    assert len(A._directory(len(content), content[len(content) // 2 :])) == 40
+
+
+def test_a_directory_beyond_the_end_is_fetched(spark):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr(f"{PERIOD}_ParticipantesLicitação.csv", ";".join(TABLE_HEADERS["bid"]).encode("latin-1") + b"\n1;2;3;4;5;6;SIM\n")
+        for i in range(60):
+            z.writestr(f"{PERIOD}_Other{i}.csv", "x")
+    blocks = A.as_blocks(frame(spark, (PERIOD, buffer.getvalue()), ("202402", b"no archive"), ("202403", archive())))
+    claims = A.directories(blocks, tail=300)
+    assert sorted(r["count"] for r in claims.groupBy("archive").count().collect()) == [4, 61]
+
+
+def test_archives_in_many_blocks_and_tasks(spark, bronze, tmp_path, monkeypatch):
+    """Files cut into splits and blocks in their middle; each member of an archive is one stream."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzáé\n") for _ in range(rng.randint(1, 30))).replace("\n", rng.choice(["", " "]))
+    lines = {t: [";".join(f'"{i} {word()}"' for _ in TABLE_HEADERS[t]) for i in range(3000)] for t in ("notice", "item", "bid")}
+    whole = archive(lines=lines)
+    (bronze / "202401.zip").write_bytes(whole)
+    (bronze / "202402.zip").write_bytes(archive(lines=lines, cut=True))
+    (bronze / "202403.zip").write_bytes(whole[:1000] + b"\xff" * 50 + whole[1050:])
+    (bronze / "202404.zip").write_bytes(b"")
+    monkeypatch.setattr(A, "BLOCK", 5000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        blocks = read_archives(spark, str(bronze), [f"20240{i}" for i in range(1, 6)])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert blocks.filter("period = '202401' AND length(body) > 0").count() > 20
+    held = sorted((r["at"], r.body) for r in blocks.filter("period = '202401'").collect())
+    assert b"".join(body for _, body in held) == whole
+    rows = unpack_blocks(blocks).collect()
+    assert {r.period: r.outcome for r in rows if r.table == "status"} == {"202401": "intact", "202402": "partial", "202403": "partial", "202404": "error"}
+    got = {}
+    for r in rows:
+        if r.table != "status":
+            got.setdefault((r.period, r.table), []).append((r.line_no, r.line))
+    assert set(got) == {("202401", t) for t in lines} | {("202402", "notice"), ("202402", "item"), ("202403", "item"), ("202403", "bid")}
+    for (_, table), found in got.items():
+        assert [line for _, line in sorted(found)] == lines[table] and sorted(n for n, _ in found) == list(range(3000))
+
+
+def test_files_of_one_month_keep_their_order(spark, bronze, tmp_path):
+    item = lambda code: {"item": [f'"001";"0010";"5";"{code}";"Papel";1,0;1,0;"111";"Fulano"']}
+    (bronze / "202401-b.zip").write_bytes(archive(lines=item("second")))
+    (bronze / "202401-a.zip").write_bytes(archive(lines=item("first")))
+    silver = str(tmp_path / "silver")
+    report = ingest(spark, str(bronze), silver, ["202401"]).first()
+    assert report.error is None and report.item_rows == 2
+    rows = read_silver(spark, silver, "item").orderBy("line_no").collect()
+    assert [r.item_code for r in rows] == ["first", "second"] and rows[1].line_no == A.ARCHIVE_LINES
+
+
 def test_any_unreadable_archive_is_a_status_row(spark):
     blank = {"bid": ["  ", "\t"]}
     buffer = io.BytesIO()
@@ -167,13 +273,6 @@ def outcomes(report):
     return {r.period: r for r in report.collect()}
 
 
-@pytest.fixture
-def bronze(tmp_path):
-    folder = tmp_path / "bronze"
-    folder.mkdir()
-    return folder
-
-
 def test_ingest_reports_every_period_and_stops_for_none(spark, bronze, tmp_path):
     (bronze / "202401.zip").write_bytes(archive())
     (bronze / "202402.zip").write_bytes(archive(cut=True, period="202402"))
