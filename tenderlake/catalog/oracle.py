@@ -368,6 +368,32 @@ ORACLE: dict[str, str] = {
         USING (notice_no, unit_id, modality_id)""",
         SQL_NOTICES, *BIDS, REVISED_NOTICES, REVISED_BIDS,
     ),
+    "load_log": sql(
+        f"""SELECT period, period || '_silver' AS file, 'success' AS status, rows_read, rows_read AS rows_inserted,
+               CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_rejected, CAST(NULL AS VARCHAR) AS error,
+               period = '{REPLACED}' AS newest, CASE WHEN period = '{REPLACED}' THEN (SELECT count(*) FROM notices) END AS notices FROM sizes
+        UNION ALL SELECT period, period || '_silver', 'error', rows_read, 0, 0, rows_read,
+               (SELECT count(*) FROM notices WHERE period = '{REPLACED}' AND status = 'F') || ' notices lack a required column',
+               false, (SELECT count(*) FROM notices WHERE period <> '{REPLACED}') FROM sizes WHERE period = '{REPLACED}'
+        UNION ALL SELECT '209912', '209912_silver', 'error', 0, 0, 0, 0, 'no notices in silver; its archive has to be ingested before', false, NULL""",
+        SQL_NOTICES, *ITEMS, SQL_BIDS,
+        """sizes AS (SELECT period, count(*) AS rows_read FROM (SELECT period FROM notices UNION ALL SELECT period FROM items
+             UNION ALL SELECT period FROM bids) GROUP BY ALL)""",
+    ),
+    "train_runs": sql(
+        f"""SELECT run_type, series_key, target, target_period, records, algorithm, window_start, window_end, horizon, min_train, series_trained, series_dropped
+        FROM (SELECT DISTINCT 'forecast:agency' AS run_type, series_key, target, {month_after("last", "step")} AS target_period
+              FROM points, lim, (SELECT unnest(range(1, {HORIZON + 1})) AS step) WHERE n >= {MIN_TRAIN + HORIZON}
+              UNION ALL SELECT 'forecast:global', 'global', unnest(['quantity', 'value']), {month_after("last", "step")}
+              FROM lim, (SELECT unnest(range(1, 4)) AS step)),
+             (SELECT count(DISTINCT series_key) FILTER (n >= {MIN_TRAIN + HORIZON}) AS long, count(DISTINCT series_key) AS every FROM points),
+             (SELECT 1::BIGINT AS records, 'seasonal autoregression' AS algorithm, min(period) AS window_start, max(period) AS window_end, {MIN_TRAIN} AS min_train FROM notices),
+             (SELECT * FROM (VALUES ('forecast:agency', {HORIZON}), ('forecast:global', 3)) AS h(of_type, horizon)),
+             LATERAL (SELECT CAST(CASE of_type WHEN 'forecast:global' THEN 1 ELSE long END AS INTEGER) AS series_trained,
+                             CAST(CASE of_type WHEN 'forecast:global' THEN 0 ELSE every - long END AS INTEGER) AS series_dropped)
+        WHERE of_type = run_type""",
+        SQL_NOTICES, AGENCY_POINTS,
+    ),
     "forecast_frame": sql(
         f"""SELECT DISTINCT series_key, target, CAST(step AS INTEGER) AS step,
                {month_after("last", "step")} AS target_period, true AS sound

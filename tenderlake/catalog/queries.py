@@ -28,9 +28,9 @@ from tenderlake.operators.quality import integrity_report
 from tenderlake.operators.ranking import keep_last, latest, number_rows
 from tenderlake.functions.periods import listing
 from tenderlake.plans.ingest import unpacked_as_silver, ingest_report
-from tenderlake.plans.load import load
+from tenderlake.plans.load import last_ingestion, load
 from tenderlake.plans.score import explanation, rank_scores, score_matrix
-from tenderlake.plans.train import backtest, training_points
+from tenderlake.plans.train import backtest, train, training_points
 from tenderlake.schemas import KEY, SERVING
 from tenderlake.session import materialize, scratch_folder
 from tenderlake.sources.archives import parse_lines, unpack
@@ -383,6 +383,48 @@ def run_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notice.join(bids, KEY, "left")
 
 
+@query("load_log")
+def run_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a load in which one month lacks a column and one is missing, and of that month loaded again when mended."""
+    root = scratch_folder(spark)
+    silver, tables = f"{root}/silver", Tables(spark, f"{root}/serving")
+    notices = samples.notices(spark, sf_dir)
+    torn = F.when((F.col("period") != REPLACED) | (F.col("status") != "F"), F.col("agency_name"))
+    write_silver(notices.withColumn("agency_name", torn), silver, "notice")
+    write_silver(samples.items(spark, sf_dir), silver, "item")
+    write_silver(samples.bids(spark, sf_dir), silver, "bid")
+    periods = sorted(row["period"] for row in notices.select("period").distinct().collect())  # months
+    load(spark, silver, tables, [*periods, "209912"])
+    rows = {"failed": tables.read("notice").count()}
+    write_silver(notices.filter(F.col("period") == REPLACED), silver, "notice")
+    load(spark, silver, tables, [REPLACED])
+    rows["success"] = tables.read("notice").count()
+    log = tables.read("ingestion_log")
+    newest = last_ingestion(tables).select("period", "finished_at", F.lit(True).alias("newest"))
+    return log.join(newest, ["period", "finished_at"], "left").select(
+        "period", "file", "status", "rows_read", "rows_inserted", "rows_updated", "rows_rejected", "error",
+        F.coalesce("newest", F.lit(False)).alias("newest"),
+        F.when(F.col("period") == REPLACED, F.when(F.col("status") == "success", rows["success"]).otherwise(rows["failed"])).cast("long").alias("notices"),
+    )
+
+
+@query("train_runs")
+def run_train_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is stored after three training runs, the second in place of the first: forecasts with the record of their run."""
+    tables = Tables(spark, f"{scratch_folder(spark)}/serving")
+    tables.replace("monthly_series", _counts_and_totals(spark, sf_dir))
+    for grouping, h in (("agency", 3), ("agency", HORIZON), ("global", 3)):
+        train(tables, grouping, h)
+    runs = tables.read("model_run")
+    of_type = runs.groupBy("run_type").agg(F.count(F.lit(1)).alias("records"))
+    number = lambda text, name: F.get_json_object(text, f"$.{name}").cast("int").alias(name)
+    record = runs.join(of_type, "run_type").select(
+        "run_id", "run_type", "records", "algorithm", "window_start", "window_end",
+        number("params", "horizon"), number("params", "min_train"), number("metrics", "series_trained"), number("metrics", "series_dropped"),
+    )
+    return tables.read("forecast").select("run_id", "run_type", "series_key", "target", "target_period").join(record, ["run_id", "run_type"], "left").drop("run_id")
+
+
 @query("latest_batch")
 def run_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     notices = samples.notices(spark, sf_dir)
