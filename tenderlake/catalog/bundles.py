@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 
 from tenderlake.catalog import samples
 from tenderlake.schemas import MEMBER_TABLES, SILVER, TABLE_HEADERS
+from tenderlake.session import scratch_folder
 from tenderlake.sources.archives import ENCODING
+from tenderlake.sources.files import matches, rename
 
 
 def _text(field: T.StructField) -> Column:
@@ -48,6 +50,32 @@ def build_archive(period: str, lines: dict[str, list[str]], cut: bool) -> bytes:
     return buffer.getvalue()[:keep] if cut else buffer.getvalue()
 
 
+def write_archives(lines: DataFrame, bronze: str) -> None:
+    """Files ``<period>-<part>-….zip`` of (period, part, table, line) rows, written by Spark and then named.
+
+    An Arrow batch becomes one archive for each period and part that it holds, so an archive is
+    bounded however many rows a period has. The text writer ends each with a line feed, which
+    readers of archives pass over.
+    """
+    spark = lines.sparkSession
+
+    def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for (period, part), group in batch.groupby(["period", "part"]):
+                members = {t: of["line"].tolist() for t, of in group.groupby("table")}
+                rows.append((period, part, build_archive(period, members, False)))
+            yield pd.DataFrame(rows, columns=["period", "part", "content"])
+
+    made = lines.repartition("period", "part").sortWithinPartitions("period", "part").mapInPandas(bundle, "period string, part string, content binary")
+    staged = scratch_folder(spark)
+    made.withColumn("content", F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).partitionBy("period", "part").text(staged)
+    # Only names pass through the driver: a few files for each month.
+    for n, path in enumerate(matches(spark, f"{staged}/period=*/part=*/part-*")):
+        period, part = (folder.split("=")[1] for folder in path.split("/")[-3:-1])
+        rename(spark, path, f"{bronze}/{period}-{part}-{n:06d}.zip")
+
+
 def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(period, path, content): every record of the samples, those of December in cut archives.
 

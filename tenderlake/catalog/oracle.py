@@ -368,6 +368,13 @@ ORACLE: dict[str, str] = {
         USING (notice_no, unit_id, modality_id)""",
         SQL_NOTICES, *BIDS, REVISED_NOTICES, REVISED_BIDS,
     ),
+    "bronze_ingest": sql(
+        f"""SELECT 'notice' AS "table", {KEY}, period, CAST(NULL AS VARCHAR) AS code, CASE status WHEN 'F' THEN 'REVISED' ELSE status END AS who,
+               CAST(value AS DOUBLE) AS number, 'intact' AS outcome FROM notices
+        UNION ALL SELECT 'item', {KEY}, period, item_code, winner_id, CAST(unit_value AS DOUBLE), 'intact' FROM items
+        UNION ALL SELECT 'bid', {KEY}, period, item_code, bidder_id, CAST(is_winner AS DOUBLE), 'intact' FROM bids""",
+        SQL_NOTICES, *ITEMS, SQL_BIDS,
+    ),
     "load_log": sql(
         f"""SELECT period, period || '_silver' AS file, 'success' AS status, rows_read, rows_read AS rows_inserted,
                CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_rejected, CAST(NULL AS VARCHAR) AS error,

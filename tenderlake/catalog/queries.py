@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from tenderlake.operators.perturb import perturb
 from tenderlake.operators.quality import integrity_report
 from tenderlake.operators.ranking import keep_last, latest, number_rows
 from tenderlake.functions.periods import listing
-from tenderlake.plans.ingest import unpacked_as_silver, ingest_report
+from tenderlake.plans.ingest import ingest, ingest_report, unpacked_as_silver
 from tenderlake.plans.load import last_ingestion, load
 from tenderlake.plans.score import explanation, rank_scores, score_matrix
 from tenderlake.plans.train import backtest, train, training_points
@@ -595,3 +596,26 @@ def run_archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("bids"), F.count_if("is_winner").alias("winning_bids"), F.count_distinct("bidder_id").alias("bidders")
     )
     return amounts.join(winners, "period", "left")
+
+
+@query("bronze_ingest")
+def run_bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive files written, ingested and read back row by row; each month has a second file that revises notices of the first."""
+    root = scratch_folder(spark)
+    notices = samples.notices(spark, sf_dir)
+    revised = notices.filter("status = 'F'").withColumn("status", F.lit("REVISED"))
+    frames = [("a", "notice", notices), ("b", "notice", revised), ("a", "item", samples.items(spark, sf_dir)), ("a", "bid", samples.bids(spark, sf_dir))]
+    lines = reduce(DataFrame.unionByName, [bundles.csv_lines(df, t).withColumn("part", F.lit(part)) for part, t, df in frames])
+    bundles.write_archives(lines, f"{root}/bronze")
+    periods = sorted(row["period"] for row in notices.select("period").distinct().collect())  # months
+    report = ingest(spark, f"{root}/bronze", f"{root}/silver", periods)
+    outcome = report.select("period", F.coalesce("error", F.when(F.col("partial"), "partial").otherwise("intact")).alias("outcome"))
+    silver = {t: read_silver(spark, f"{root}/silver", t) for t in ("notice", "item", "bid")}
+
+    def rows(table: str, code: str, who: str, number: str) -> DataFrame:
+        text = lambda c: F.lit(None).cast("string") if not c else F.col(c)
+        df = keep_last(silver[table], KEY, ["line_no"]) if table == "notice" else silver[table]
+        return df.select(F.lit(table).alias("table"), *KEY, "period", text(code).alias("code"), text(who).alias("who"), F.col(number).cast("double").alias("number"))
+
+    every = rows("notice", "", "status", "value").union(rows("item", "item_code", "winner_id", "unit_value")).union(rows("bid", "item_code", "bidder_id", "is_winner"))
+    return every.join(outcome, "period")

@@ -27,6 +27,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, source = hadoop_path(spark, path)
+    _, target = hadoop_path(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise FileExistsError(to)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as a whole."""
     fs, jpath = hadoop_path(spark, path)
