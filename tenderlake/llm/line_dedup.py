@@ -17,36 +17,22 @@ MIN_WORDS = 1
 #: If the longer of two lines has so many words, one word inserted, deleted or replaced still counts
 #: as the same line: a fifth of it at most.
 NEAR_WORDS = 5
-#: Odd multipliers of the two word-sequence hashes, modulo 2**64.
-MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-
-
-def half_keys(words: list[bytes]) -> list[int]:
-    """Keys of which two sequences within one word edit share at least one.
-
-    With m the shorter length and h half of it, rounded down, an edit behind the first h words
-    leaves these equal, and one before leaves the last m - h equal. A sequence is the shorter or
-    equal one with m its length, the longer one with m a word less; keys hold m.
-    """
-    n, keys = len(words), []
-    for m in (n - 1, n):
-        h = m // 2
-        keys += [xxhash.xxh3_64_intdigest(b" ".join(words[:h]), 2 * m), xxhash.xxh3_64_intdigest(b" ".join(words[n - m + h :]), 2 * m + 1)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+#: Odd multiplier of the hash of a sequence of words, modulo 2**64.
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+#: Lines of which a task remembers that it has sent their variants.
+REMEMBERED = 200_000
 
 
 def line_hash(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
-def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """(id, t, line, h, keys) of every line with enough words: its place, a 128-bit hash of its words, half keys.
-
-    A line one word short of ``near_words`` has keys too: it may be a longer one without a word.
-    """
+def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
+    """(id, t, line, h) of every line with enough words: its place and a 128-bit hash of its words."""
 
     def step(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"id": [], "t": [], "line": [], "h": [], "keys": []}
+        out: dict[str, list] = {"id": [], "t": [], "line": [], "h": []}
         for doc, t, text in zip(*(batch.column(c).to_pylist() for c in ("id", "t", "text")), strict=True):
             for at, line in enumerate(text.encode().split(b"\n")):
                 words = line.split()
@@ -55,24 +41,31 @@ def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
                     out["t"].append(t)
                     out["line"].append(at)
                     out["h"].append(line_hash(words))
-                    out["keys"].append(half_keys(words) if len(words) >= near_words - 1 else [])
         return out
 
-    return map_batches(docs, "id long, t long, line int, h binary, keys array<long>", step)
+    return map_batches(docs, "id long, t long, line int, h binary", step)
 
 
-def deletion_variants(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of the sequence (first row) and of it without each of its words, in linear time."""
-    n = len(words)
-    digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(n, 2)
-    out = []
-    for column, m in zip(digest.T, MULTIPLIERS, strict=True):
-        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, m, np.uint64)]), dtype=np.uint64)
-        before = np.concatenate([[np.uint64(0)], np.cumsum(column * powers, dtype=np.uint64)])
-        inverse = np.uint64(pow(m, -1, 1 << 64))
-        without = before[:-1] + (before[-1] - before[1:]) * inverse
-        out.append(np.concatenate([[before[-1]], without]).view(np.int64))
-    return out[0], out[1]
+def short_hash(h: bytes) -> int:
+    """The first half of a line's hash as a long; joins use it where a false match is verified away."""
+    return int.from_bytes(h[:8], "big", signed=True)
+
+
+def deletion_variants(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the line, place, hash) of every line itself, at place -1, and of it without each of its words, in linear time."""
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    starts = np.cumsum(sizes) - sizes
+    digest = np.fromiter((xxhash.xxh3_64_intdigest(w) for words in lines for w in words), np.uint64, int(sizes.sum()))
+    line = np.repeat(np.arange(len(lines)), sizes)
+    place = np.arange(len(digest)) - starts[line]
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(sizes.max(initial=1)), MULTIPLIER, np.uint64)]), dtype=np.uint64)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(digest * powers[place], dtype=np.uint64)])
+    whole = sums[starts + sizes] - sums[starts]
+    at = np.arange(len(digest))
+    without = (sums[at] - sums[starts][line]) + (sums[(starts + sizes)[line]] - sums[at + 1]) * INVERSE
+    # The number of words is part of the hash: of all lines only those of one length share one.
+    hashes = np.concatenate([whole * MULTIPLIER ^ sizes.astype(np.uint64), without * MULTIPLIER ^ (sizes[line] - 1).astype(np.uint64)])
+    return np.concatenate([np.arange(len(lines)), line]), np.concatenate([np.full(len(lines), -1), place]), hashes
 
 
 def within_one(a: list[str], b: list[str]) -> bool:
@@ -84,12 +77,55 @@ def within_one(a: list[str], b: list[str]) -> bool:
     return a[k + (len(a) >= len(b)) :] == b[k + (len(b) >= len(a)) :]
 
 
-def _candidates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(id, t, line, text): the first places of distinct lines that share a half with another one."""
-    keyed = distinct.select(F.explode("keys").alias("key"), "id", "line", "t")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    places = keyed.join(shared, "key", "left_semi").select("id", "line", "t").distinct()
-    of_doc = materialize(places.groupBy("id", "t").agg(F.collect_list("line").alias("lines")))  # a document's own lines
+def _variants(docs: DataFrame, near_words: int) -> DataFrame:
+    """(v, place, r): the hashed variants of the lines of ``docs``, ``r`` being the ``short_hash`` of the line.
+
+    A line of ``near_words - 1`` words stands for itself only: it may be a longer one without a
+    word. Of equal lines a task sends one until it has remembered ``REMEMBERED`` others.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in batches:
+            lines: list[list[bytes]] = []
+            refs: list[int] = []
+            if len(sent) > REMEMBERED:
+                sent.clear()
+            for text in batch.column("text").to_pylist():
+                for line in text.encode().split(b"\n"):
+                    words = line.split()
+                    if len(words) >= near_words - 1:
+                        r = short_hash(line_hash(words))
+                        if r not in sent:
+                            sent.add(r)
+                            lines.append(words)
+                            refs.append(r)
+            if lines:
+                line, place, v = deletion_variants(lines)
+                whole = np.fromiter(map(len, lines), np.int64, len(lines)) >= near_words
+                keep = (place < 0) | whole[line]
+                columns = (v[keep].view(np.int64), place[keep].astype(np.int32), np.array(refs, np.int64)[line[keep]])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["v", "place", "r"])
+
+    return docs.select("text").mapInArrow(run, "v long, place int, r long")
+
+
+def _members(docs: DataFrame, distinct: DataFrame, near_words: int) -> DataFrame:
+    """(v, place, e): the variants that different lines share, one of them by a deletion, with the first place of each line.
+
+    All variants are dealt out by their hash once; finding the shared ones and their lines reads
+    the same shuffle, and only these few lines are looked up.
+    """
+    dealt = _variants(docs, near_words).repartition("v")
+    shared = dealt.groupBy("v").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.max("place").alias("last")).filter("low < high AND last >= 0").select("v")
+    met = materialize(dealt.join(shared, "v").distinct())
+    of = distinct.select("r", F.col("of").alias("e"))
+    return materialize(met.join(of, "r").select("v", "place", "e").distinct())
+
+
+def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(e, text) of lines by their place."""
+    of_doc = materialize(places.distinct().groupBy(F.col("e.id").alias("id"), F.col("e.t").alias("t")).agg(F.collect_list("e.line").alias("lines")))
 
     def step(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"id": [], "t": [], "line": [], "text": []}
@@ -102,68 +138,45 @@ def _candidates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
                 out["text"].append(lines[at])
         return out
 
-    joined = map_batches(docs.join(of_doc, ["id", "t"]), "id long, t long, line int, text string", step)
-    return materialize(joined.groupBy("id", "t", "line").agg(F.first("text").alias("text")))  # rows of one id and text are equal
+    found = map_batches(docs.join(of_doc, ["id", "t"]), "id long, t long, line int, text string", step)
+    e = F.struct("id", "line", "t").alias("e")
+    return materialize(found.groupBy("id", "t", "line").agg(F.first("text").alias("text")).select(e, "text"))  # rows of one id and text are equal
 
 
-def _variants(candidates: DataFrame, near_words: int) -> DataFrame:
-    """(v1, v2, place, id, line, t): hashed variants; place -1 is the line itself, else the deleted word.
-
-    A line of fewer than ``near_words`` words stands for itself only.
-    """
-
-    def step(batch: pa.RecordBatch) -> dict:
-        parts: list[list] = [[], [], [], [], [], []]
-        for doc, t, at, text in zip(*(batch.column(c).to_pylist() for c in ("id", "t", "line", "text")), strict=True):
-            words = text.encode().split()
-            n = len(words) + 1 if len(words) >= near_words else 1
-            one, two = (x[:n] for x in deletion_variants(words))
-            values = (one, two, np.arange(-1, n - 1, dtype=np.int32), np.full(n, doc), np.full(n, at, np.int32), np.full(n, t))
-            for part, v in zip(parts, values, strict=True):
-                part.append(v)
-        return {k: np.concatenate(v) for k, v in zip(("v1", "v2", "place", "id", "line", "t"), parts, strict=True)}
-
-    return map_batches(candidates, "v1 long, v2 long, place int, id long, line int, t long", step)
-
-
-def _near(candidates: DataFrame, near_words: int) -> DataFrame:
+def _near(docs: DataFrame, members: DataFrame) -> DataFrame:
     """(id, t, line, h, of_id, of_line): lines with an earlier one within one word edit.
 
     Lines with the same variant by deletion at the same place differ in that one word; all of
     such a group have its first line within reach, so each looks at that alone. A line equal to
     a variant of others differs from each by an insertion; it looks at the first of them, and
-    they at it. So work grows with the variants, not with pairs. Each match is verified on words,
-    of which the longer line has at least ``near_words``.
+    they at it. So work grows with the variants, not with pairs. Each match is verified on words.
     """
-    v = materialize(_variants(candidates, near_words))
-    e = F.struct("id", "line", "t")
-    cut = v.filter("place >= 0")
-    groups = cut.groupBy("v1", "v2", "place").agg(F.min(e).alias("of"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    replaced = cut.join(groups, ["v1", "v2", "place"]).filter(F.col("of") < e).select("id", "line", "t", "of")
+    cut = members.filter("place >= 0")
+    groups = cut.groupBy("v", "place").agg(F.min("e").alias("of"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    replaced = cut.join(groups, ["v", "place"]).filter(F.col("of") < F.col("e")).select("e", "of")
     mixed = materialize(
-        v.groupBy("v1", "v2")
-        .agg(F.min(F.when(F.col("place") < 0, e)).alias("whole"), F.min(F.when(F.col("place") >= 0, e)).alias("longer"))
+        members.groupBy("v")
+        .agg(F.min(F.when(F.col("place") < 0, F.col("e"))).alias("whole"), F.min(F.when(F.col("place") >= 0, F.col("e"))).alias("longer"))
         .filter("whole IS NOT NULL AND longer IS NOT NULL")
     )
-    longer = cut.join(mixed, ["v1", "v2"]).filter(F.col("whole") < e).select("id", "line", "t", F.col("whole").alias("of"))
-    shorter = mixed.filter("longer < whole").select("whole.id", "whole.line", "whole.t", F.col("longer").alias("of"))
-    found = replaced.union(longer).union(shorter).groupBy("id", "line", "t").agg(F.min("of").alias("of"))
-    own = candidates.select("id", "line", "t", "text")
-    other = candidates.select(F.col("id").alias("of_id"), F.col("line").alias("of_line"), F.col("t").alias("of_t"), F.col("text").alias("of_text"))
-    pairs = (
-        found.select("id", "line", "t", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"), F.col("of.t").alias("of_t"))
-        .join(own, ["id", "line", "t"])
-        .join(other, ["of_id", "of_line", "of_t"])
+    longer = cut.join(mixed, "v").filter(F.col("whole") < F.col("e")).select("e", F.col("whole").alias("of"))
+    shorter = mixed.filter("longer < whole").select(F.col("whole").alias("e"), F.col("longer").alias("of"))
+    found = materialize(replaced.union(longer).union(shorter).distinct())
+    texts = _texts(docs, found.select("e").union(found.select(F.col("of").alias("e"))))
+    pairs = found.join(texts, "e").join(texts.select(F.col("e").alias("of"), F.col("text").alias("of_text")), "of").select(
+        "e.id", "e.t", "e.line", "text", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"), F.col("of.t").alias("of_t"), "of_text"
     )
 
     def step(batch: pa.RecordBatch) -> dict:
         texts = zip(batch.column("text").to_pylist(), batch.column("of_text").to_pylist(), strict=True)
         words = [(a.encode().split(), b.encode().split()) for a, b in texts]
         good = [within_one(a, b) for a, b in words]
-        held = {c: batch.column(c).filter(pa.array(good)) for c in ("id", "t", "line", "of_id", "of_line")}
+        held = {c: batch.column(c).filter(pa.array(good)) for c in ("id", "t", "line", "of_id", "of_line", "of_t")}
         return held | {"h": [line_hash(a) for (a, _), g in zip(words, good, strict=True) if g]}
 
-    return map_batches(pairs, "id long, t long, line int, h binary, of_id long, of_line int", step)
+    verified = map_batches(pairs, "id long, t long, line int, h binary, of_id long, of_line int, of_t long", step)
+    first = verified.groupBy("id", "t", "line", "h").agg(F.min(F.struct("of_id", "of_line", "of_t")).alias("of"))
+    return first.select("id", "t", "line", "h", "of.of_id", "of.of_line")
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
@@ -177,14 +190,13 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int
     documents of their own.
     """
     named = docs.select(id_key().alias("id"), text_key().alias("t"), text_of().alias("text"))
-    lines = materialize(lines_of(named, min_words, near_words))
-    distinct = materialize(
-        lines.groupBy("h").agg(F.min(F.struct("id", "line", "t")).alias("of"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
-    )
+    lines = materialize(lines_of(named, min_words))
+    distinct = lines.groupBy("h").agg(F.min(F.struct("id", "line", "t")).alias("of"), F.count(F.lit(1)).alias("n"))
+    distinct = materialize(distinct.withColumn("r", F.conv(F.substring(F.hex("h"), 1, 16), 16, -10).cast("long")))
     firsts = distinct.filter("n > 1").select("h", "of")
     exact = lines.join(firsts, "h").filter(F.struct("id", "line", "t") != F.col("of"))
     exact = exact.select("id", "t", "line", "h", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"))
-    near = _near(_candidates(named, distinct.select("of.id", "of.line", "of.t", "keys")), near_words)
+    near = _near(named, _members(named, distinct, near_words))
     return exact.union(near).distinct()
 
 

@@ -65,14 +65,27 @@ def test_word_edit(a, b, same):
     assert line_dedup.within_one(a.split(), b.split()) is same
 
 
-def test_half_keys_of_neighbours_meet():
+def test_variants_of_neighbours_meet():
     words = [str(i).encode() for i in range(13)]
     for n in range(1, 13):
         base = words[:n]
         for k in range(n):
             for other in (base[:k] + base[k + 1 :], base[:k] + [b"x"] + base[k + 1 :], base[:k] + [b"x"] + base[k:]):
                 if other:
-                    assert set(line_dedup.half_keys(base)) & set(line_dedup.half_keys(other))
+                    line, place, v = line_dedup.deletion_variants([[b"z"] * 3, base, other])
+                    one, two = ({(int(p), int(h)) for x, p, h in zip(line, place, v) if x == i} for i in (1, 2))
+                    assert len(one) == n + 1
+                    whole = {h for p, h in one | two if p < 0}
+                    # Equal but for one word: the same variant at that place. One word more: the other line as a whole.
+                    assert any(p >= 0 for p, _ in one & two) if len(other) == n else any(p >= 0 and h in whole for p, h in one | two)
+    line, place, v = line_dedup.deletion_variants([words, words[:12], words[1:]])
+    assert v[(line == 0) & (place == 12)] == v[(line == 1) & (place < 0)] and v[(line == 0) & (place == 0)] == v[(line == 2) & (place < 0)]
+
+
+def test_many_copies_of_a_line_and_a_small_memory(spark, corpus, monkeypatch):
+    docs, rows = corpus
+    monkeypatch.setattr(line_dedup, "REMEMBERED", 3)
+    assert {(r.id, r.line) for r in line_dedup.repeated_lines(docs).collect()} == plain(rows)
 
 
 def test_rows_that_share_an_id_with_other_texts(spark):
