@@ -28,22 +28,51 @@ def line_hash(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
-def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, t, line, h) of every line with enough words: its place and a 128-bit hash of its words."""
+def half_keys(words: list[bytes]) -> list[int]:
+    """Keys of which two sequences within one word edit share at least one.
+
+    With m the shorter length and h half of it, rounded down, an edit behind the first h words
+    leaves these equal, and one before leaves the last m - h equal. A sequence is the shorter or
+    equal one with m its length, the longer one with m a word less; keys hold m. So the keys are
+    the first and last half for m a word less, then for m the length.
+    """
+    n, keys = len(words), []
+    for m in (n - 1, n):
+        h = m // 2
+        keys += [xxhash.xxh3_64_intdigest(b" ".join(words[:h]), 2 * m), xxhash.xxh3_64_intdigest(b" ".join(words[n - m + h :]), 2 * m + 1)]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
 
-    def step(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"id": [], "t": [], "line": [], "h": []}
-        for doc, t, text in zip(*(batch.column(c).to_pylist() for c in ("id", "t", "text")), strict=True):
-            for at, line in enumerate(text.encode().split(b"\n")):
-                words = line.split()
-                if len(words) >= min_words:
-                    out["id"].append(doc)
-                    out["t"].append(t)
-                    out["line"].append(at)
-                    out["h"].append(line_hash(words))
-        return out
 
-    return map_batches(docs, "id long, t long, line int, h binary", step)
+def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
+    """(id, t, line, h, r, keys) of every line with enough words: its place, a 128-bit hash of its words, the
+    ``short_hash`` of that, and half keys.
+
+    A line one word short of ``near_words`` has keys too: it may be a longer one without a word.
+    Of equal lines one in a task has keys, until it has remembered ``REMEMBERED`` others.
+    """
+    schema = "id long, t long, line int, h binary, r long, keys array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            rows: list[tuple] = []
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            for doc, t, text in zip(*(batch.column(c).to_pylist() for c in ("id", "t", "text")), strict=True):
+                for at, line in enumerate(text.encode().split(b"\n")):
+                    words = line.split()
+                    if len(words) >= min_words:
+                        h = line_hash(words)
+                        r = short_hash(h)
+                        new = len(words) >= near_words - 1 and r not in seen
+                        if new:
+                            seen.add(r)
+                        rows.append((doc, t, at, h, r, half_keys(words) if new else None))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64()))
+            names = ["id", "t", "line", "h", "r", "keys"]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds)], names=names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def short_hash(h: bytes) -> int:
@@ -77,73 +106,66 @@ def within_one(a: list[str], b: list[str]) -> bool:
     return a[k + (len(a) >= len(b)) :] == b[k + (len(b) >= len(a)) :]
 
 
-def _variants(docs: DataFrame, near_words: int) -> DataFrame:
-    """(v, place, r): the hashed variants of the lines of ``docs``, ``r`` being the ``short_hash`` of the line.
+def _candidates(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(id, t, line, roles, text): the first places of lines that share a half with a different line.
 
-    A line of ``near_words - 1`` words stands for itself only: it may be a longer one without a
-    word. Of equal lines a task sends one until it has remembered ``REMEMBERED`` others.
+    ``roles`` has a bit for each of the line's half keys that is shared. Keys are dealt out once,
+    the shared ones and their lines read the same shuffle.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
-        for batch in batches:
-            lines: list[list[bytes]] = []
-            refs: list[int] = []
-            if len(sent) > REMEMBERED:
-                sent.clear()
-            for text in batch.column("text").to_pylist():
-                for line in text.encode().split(b"\n"):
-                    words = line.split()
-                    if len(words) >= near_words - 1:
-                        r = short_hash(line_hash(words))
-                        if r not in sent:
-                            sent.add(r)
-                            lines.append(words)
-                            refs.append(r)
-            if lines:
-                line, place, v = deletion_variants(lines)
-                whole = np.fromiter(map(len, lines), np.int64, len(lines)) >= near_words
-                keep = (place < 0) | whole[line]
-                columns = (v[keep].view(np.int64), place[keep].astype(np.int32), np.array(refs, np.int64)[line[keep]])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["v", "place", "r"])
-
-    return docs.select("text").mapInArrow(run, "v long, place int, r long")
-
-
-def _members(docs: DataFrame, distinct: DataFrame, near_words: int) -> DataFrame:
-    """(v, place, e): the variants that different lines share, one of them by a deletion, with the first place of each line.
-
-    All variants are dealt out by their hash once; finding the shared ones and their lines reads
-    the same shuffle, and only these few lines are looked up.
-    """
-    dealt = _variants(docs, near_words).repartition("v")
-    shared = dealt.groupBy("v").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.max("place").alias("last")).filter("low < high AND last >= 0").select("v")
-    met = materialize(dealt.join(shared, "v").distinct())
-    of = distinct.select("r", F.col("of").alias("e"))
-    return materialize(met.join(of, "r").select("v", "place", "e").distinct())
-
-
-def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(e, text) of lines by their place."""
-    of_doc = materialize(places.distinct().groupBy(F.col("e.id").alias("id"), F.col("e.t").alias("t")).agg(F.collect_list("e.line").alias("lines")))
+    dealt = lines.select("r", F.posexplode("keys").alias("role", "key")).repartition("key")
+    shared = dealt.groupBy("key").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.max("role").alias("last")).filter("low < high AND last >= 0").select("key")
+    bit = F.call_function("shiftleft", F.lit(1), F.col("role"))
+    roles = materialize(dealt.join(shared, "key").groupBy("r").agg(F.bit_or(bit).alias("roles")))
+    places = distinct.join(roles, "r").select("of.id", "of.line", "of.t", "roles")
+    of_doc = materialize(places.groupBy("id", "t").agg(F.collect_list(F.struct("line", "roles")).alias("lines")))  # a document's own lines
 
     def step(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"id": [], "t": [], "line": [], "text": []}
+        out: dict[str, list] = {"id": [], "t": [], "line": [], "roles": [], "text": []}
         for doc, t, wanted, text in zip(*(batch.column(c).to_pylist() for c in ("id", "t", "lines", "text")), strict=True):
             lines = text.split("\n")
-            for at in wanted:
-                out["id"].append(doc)
-                out["t"].append(t)
-                out["line"].append(at)
-                out["text"].append(lines[at])
+            for row in wanted:
+                for name, value in (("id", doc), ("t", t), ("line", row["line"]), ("roles", row["roles"]), ("text", lines[row["line"]])):
+                    out[name].append(value)
         return out
 
-    found = map_batches(docs.join(of_doc, ["id", "t"]), "id long, t long, line int, text string", step)
-    e = F.struct("id", "line", "t").alias("e")
-    return materialize(found.groupBy("id", "t", "line").agg(F.first("text").alias("text")).select(e, "text"))  # rows of one id and text are equal
+    joined = map_batches(docs.join(of_doc, ["id", "t"]), "id long, t long, line int, roles int, text string", step)
+    return materialize(joined.dropDuplicates(["id", "t", "line"]))  # rows of one id and text are equal
+
+
+def _variants(candidates: DataFrame, near_words: int) -> DataFrame:
+    """(v, place, id, line, t): hashed variants; place -1 is the line itself, else the deleted word.
+
+    Lines that share a half differ in the other one, so only its words are deleted. A line of
+    fewer than ``near_words`` words stands for itself only.
+    """
+
+    def step(batch: pa.RecordBatch) -> dict:
+        lines = [text.encode().split() for text in batch.column("text").to_pylist()]
+        n = np.fromiter(map(len, lines), np.int64, len(lines))
+        first_less, last_less, first, last = (batch.column("roles").to_numpy() >> k & 1 == 1 for k in range(4))
+        far = np.int64(1 << 40)
+        behind = np.minimum(np.where(first, n // 2, far), np.where(first_less, (n - 1) // 2, far))
+        before = np.maximum(np.where(last, n // 2, 0), np.where(last_less, (n - 1) // 2 + 1, 0))
+        line, place, v = deletion_variants(lines)
+        whole = (place < 0) & (first | last)[line]
+        keep = whole | (place >= 0) & (n >= near_words)[line] & ((place < before[line]) | (place >= behind[line]))
+        out = {"v": v[keep].view(np.int64), "place": place[keep].astype(np.int32)}
+        return out | {c: batch.column(c).to_numpy()[line[keep]] for c in ("id", "line", "t")}
+
+    return map_batches(candidates, "v long, place int, id long, line int, t long", step)
+
+
+def _members(candidates: DataFrame, near_words: int) -> DataFrame:
+    """(v, place, e): the variants that different lines share, one of them by a deletion.
+
+    Variants are dealt out by their hash once; the shared ones and their lines read the same shuffle.
+    """
+    dealt = _variants(candidates, near_words).select("v", "place", F.struct("id", "line", "t").alias("e")).repartition("v")
+    shared = dealt.groupBy("v").agg(F.min("e").alias("low"), F.max("e").alias("high"), F.max("place").alias("last")).filter("low < high AND last >= 0").select("v")
+    return materialize(dealt.join(shared, "v").distinct())
 
 
-def _near(docs: DataFrame, members: DataFrame) -> DataFrame:
+def _near(candidates: DataFrame, members: DataFrame) -> DataFrame:
     """(id, t, line, h, of_id, of_line): lines with an earlier one within one word edit.
 
     Lines with the same variant by deletion at the same place differ in that one word; all of
@@ -162,7 +184,7 @@ def _near(docs: DataFrame, members: DataFrame) -> DataFrame:
     longer = cut.join(mixed, "v").filter(F.col("whole") < F.col("e")).select("e", F.col("whole").alias("of"))
     shorter = mixed.filter("longer < whole").select(F.col("whole").alias("e"), F.col("longer").alias("of"))
     found = materialize(replaced.union(longer).union(shorter).distinct())
-    texts = _texts(docs, found.select("e").union(found.select(F.col("of").alias("e"))))
+    texts = candidates.select(F.struct("id", "line", "t").alias("e"), "text")
     pairs = found.join(texts, "e").join(texts.select(F.col("e").alias("of"), F.col("text").alias("of_text")), "of").select(
         "e.id", "e.t", "e.line", "text", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"), F.col("of.t").alias("of_t"), "of_text"
     )
@@ -190,13 +212,13 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int
     documents of their own.
     """
     named = docs.select(id_key().alias("id"), text_key().alias("t"), text_of().alias("text"))
-    lines = materialize(lines_of(named, min_words))
-    distinct = lines.groupBy("h").agg(F.min(F.struct("id", "line", "t")).alias("of"), F.count(F.lit(1)).alias("n"))
-    distinct = materialize(distinct.withColumn("r", F.conv(F.substring(F.hex("h"), 1, 16), 16, -10).cast("long")))
+    lines = materialize(lines_of(named, min_words, near_words))
+    distinct = materialize(lines.groupBy("h").agg(F.min(F.struct("id", "line", "t")).alias("of"), F.count(F.lit(1)).alias("n"), F.min("r").alias("r")))
     firsts = distinct.filter("n > 1").select("h", "of")
     exact = lines.join(firsts, "h").filter(F.struct("id", "line", "t") != F.col("of"))
     exact = exact.select("id", "t", "line", "h", F.col("of.id").alias("of_id"), F.col("of.line").alias("of_line"))
-    near = _near(named, _members(named, distinct, near_words))
+    candidates = _candidates(named, lines, distinct)
+    near = _near(candidates, _members(candidates, near_words))
     return exact.union(near).distinct()
 
 

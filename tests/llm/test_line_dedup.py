@@ -65,6 +65,16 @@ def test_word_edit(a, b, same):
     assert line_dedup.within_one(a.split(), b.split()) is same
 
 
+def test_half_keys_of_neighbours_meet():
+    words = [str(i).encode() for i in range(13)]
+    for n in range(1, 13):
+        base = words[:n]
+        for k in range(n):
+            for other in (base[:k] + base[k + 1 :], base[:k] + [b"x"] + base[k + 1 :], base[:k] + [b"x"] + base[k:]):
+                if other:
+                    assert set(line_dedup.half_keys(base)) & set(line_dedup.half_keys(other))
+
+
 def test_variants_of_neighbours_meet():
     words = [str(i).encode() for i in range(13)]
     for n in range(1, 13):
