@@ -128,7 +128,8 @@ def _candidates(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataF
                     out[name].append(value)
         return out
 
-    joined = map_batches(docs.join(of_doc, ["id", "t"]), "id long, t long, line int, roles int, text string", step)
+    # The documents asked for grow with the table, so they are never broadcast, not even while they are few.
+    joined = map_batches(docs.join(of_doc.hint("merge"), ["id", "t"]), "id long, t long, line int, roles int, text string", step)
     return materialize(joined.dropDuplicates(["id", "t", "line"]))  # rows of one id and text are equal
 
 
