@@ -257,6 +257,11 @@ def keep_one(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every row of ``documents`` and of its edited text; a null text is empty.
+
+    Rows follow each other by falling id, a null id first, rows of one id by their text; a
+    single row follows itself. An empty table gives no rows.
+    """
     found = fingerprints_with_next(table(spark, sf_dir, "documents"))
     return found.select(
         id_out("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"

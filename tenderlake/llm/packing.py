@@ -181,4 +181,9 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
 
 
 def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every row of ``documents`` with its sequence and place; a null or empty text is its end id alone.
+
+    Rows that share an id or have none are packed each, equal lengths in the order of id and
+    piece; an empty table gives no rows.
+    """
     return pack_documents(table(spark, sf_dir, "documents"))

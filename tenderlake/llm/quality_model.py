@@ -200,6 +200,11 @@ def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every row of ``documents``; null and empty texts are scored by the statistics of no words.
+
+    Equal texts score alike; without labels, or with labels of one kind, all scores are alike. An
+    empty table gives no rows.
+    """
     stats, model = learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored(stats, model, "doc_id").select(
         "doc_id",

@@ -173,6 +173,10 @@ def measure(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int =
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every row of ``documents``; null and empty texts have no words and fail.
+
+    Repeated rows are judged each, a null id stays null; an empty table gives no rows.
+    """
     return measure(table(spark, sf_dir, "documents"))
 
 

@@ -170,5 +170,9 @@ def digested(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op9_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of every row of ``documents``; a null or empty text is its end id alone.
+
+    Each row is encoded by itself, whatever its id; an empty table gives no rows.
+    """
     found = digested(table(spark, sf_dir, "documents"))
     return found.select(id_out("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")

@@ -90,6 +90,10 @@ def text_records(docs: DataFrame) -> DataFrame:
 
 
 def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of ``documents`` with its shard and slot under the law ``bytes``; a null text has size 8.
+
+    Rows that share an id or have none are records of their own; an empty table gives no rows.
+    """
     sharded = shard(text_records(table(spark, sf_dir, "documents")))
     return sharded.select(
         id_out("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",

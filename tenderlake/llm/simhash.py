@@ -148,6 +148,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every row of ``documents``; null and empty texts have fingerprint zero.
+
+    A null id stands last; a component without any id is reported as null. Rows that share an id
+    link by their own texts; an empty table gives no rows.
+    """
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         id_out("id").alias("doc_id"),

@@ -215,6 +215,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op5_segment_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read back from the archive of ``pages``, a row for each of its rows; a null html is an empty payload.
+
+    Repeated rows get a record each, a null id is reported as null; an empty table gives no rows.
+    """
     pages = table(spark, sf_dir, "pages")
     path = f"{scratch_root(spark)}/tenderlake/{uuid.uuid4().hex}"
     write_archive(pages, path)
