@@ -13,7 +13,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects; null and empty texts have no words and go."""
     ready(spark)
     return quality_rules.apply_rules(docs)
 
@@ -30,7 +30,10 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that repeat an earlier one."""
+    """All documents, without the lines that repeat an earlier one.
+
+    Null texts stay null, a text may be left empty; rows with one id and text are one document.
+    """
     ready(spark)
     return line_dedup.drop_repeated_lines(docs)
 
@@ -46,7 +49,7 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every token piece with its sequence and place."""
+    """Every token piece with its sequence and place; a null or empty text is its end id alone."""
     ready(spark)
     return packing.pack_documents(docs)
 
