@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tenderlake.catalog.queries import CUT, HORIZON, LONG_TRAIN, MIN_GROUP, MIN_TRAIN, REPLACED, SEED
+from tenderlake.catalog.queries import CUT, FIT_AHEAD, HORIZON, LONG_TRAIN, MIN_GROUP, MIN_TRAIN, ORDERS, REPLACED, SEED, WALK_NODES, WALK_ROWS
 from tenderlake.catalog.samples import SQL_BIDS, SQL_ITEMS, SQL_LINES, SQL_NOTICES
+from tenderlake.operators.anomaly import DRAW_PRIME, SUBSAMPLE, TREES, average_path
 from tenderlake.operators.features import FEATURES, NEUTRAL
 
 KEY = "notice_no, unit_id, modality_id"
@@ -205,6 +206,17 @@ _checks = {
     "series_count_difference": "SELECT 0",
 }
 
+def _fit(lags: list[int]) -> str:
+    """One order: coefficients and the first steps, whose own last values are the steps before them."""
+    steps, last = [], "y1"
+    for k in range(1, FIT_AHEAD + 1):
+        terms = ["c", *([f"p1 * ({last})"] if 1 in lags else []), *([f"p12 * z{k}"] if 12 in lags else [])]
+        last = " + ".join(terms)
+        steps.append(f"round({last}, 6) AS step_{k}")
+    return f"""SELECT series_key, target, '{"+".join(map(str, lags))}' AS lags, m AS n, round(p1, 6) AS phi_1, round(p12, 6) AS phi_12,
+        round(c, 6) AS level, round(e, 6) AS noise, {", ".join(steps)} FROM fit_{"_".join(map(str, lags))} JOIN ends USING (series_key, target)"""
+
+
 ORACLE: dict[str, str] = {
     "parse_br_decimal_date": """
         SELECT o_orderkey,
@@ -468,6 +480,60 @@ ORACLE: dict[str, str] = {
              JOIN points l ON l.series_key = t.series_key AND l.target = t.target AND l.pos = o - 1
              WHERE o >= {MIN_TRAIN})""",
     ),
+    "backtest_frame": sql(
+        """SELECT series_key, target, count(*) AS points, count(*) AS answered, count(DISTINCT o) AS windows,
+               CAST(min(o) AS INTEGER) AS first_origin, round(sum(y), 4) AS observed, count(*) FILTER (y = 0) AS mape_skipped,
+               round(nullif(avg(abs(y - p)), 0), 4) AS baseline_mae, true AS sound
+        FROM paired GROUP BY ALL""",
+        SQL_NOTICES, AGENCY_POINTS,
+        f"""tests AS (SELECT *, n - {HORIZON} * CAST(ceil((n - pos) / {HORIZON}) AS BIGINT) AS o FROM points)""",
+        f"""paired AS (SELECT t.series_key, t.target, o, t.observed AS y, s.observed AS p FROM tests t
+             JOIN points s ON s.series_key = t.series_key AND s.target = t.target AND s.pos = o - 12 + (t.pos - o) % 12
+             WHERE o >= {MIN_TRAIN})""",
+    ),
+    "forecast_fit": sql(
+        " UNION ALL ".join(_fit(lags) for lags in ORDERS),
+        SQL_NOTICES, AGENCY_POINTS,
+        f"""part AS (SELECT series_key, target, pos, n, observed / avg(observed) OVER (PARTITION BY series_key, target) AS y
+             FROM points WHERE n >= {MIN_TRAIN + HORIZON})""",
+        """lagged AS (SELECT *, lag(y, 1) OVER w AS l1, lag(y, 12) OVER w AS l12 FROM part
+             WINDOW w AS (PARTITION BY series_key, target ORDER BY pos))""",
+        """fit_1 AS (SELECT series_key, target, count(*) AS m, regr_slope(y, l1) AS p1, NULL::DOUBLE AS p12,
+             regr_intercept(y, l1) AS c, sqrt(greatest(var_pop(y) - regr_slope(y, l1) * covar_pop(y, l1), 0)) AS e
+             FROM lagged WHERE l1 IS NOT NULL GROUP BY ALL)""",
+        """fit_12 AS (SELECT series_key, target, count(*) AS m, NULL::DOUBLE AS p1, regr_slope(y, l12) AS p12,
+             regr_intercept(y, l12) AS c, sqrt(greatest(var_pop(y) - regr_slope(y, l12) * covar_pop(y, l12), 0)) AS e
+             FROM lagged WHERE l12 IS NOT NULL GROUP BY ALL)""",
+        """both_sums AS (SELECT series_key, target, count(*) AS m, avg(y) AS ay, avg(l1) AS a1, avg(l12) AS a12, var_pop(y) AS vy,
+             var_pop(l1) AS v1, var_pop(l12) AS v12, covar_pop(l1, l12) AS c112, covar_pop(y, l1) AS cy1, covar_pop(y, l12) AS cy12
+             FROM lagged WHERE l12 IS NOT NULL GROUP BY ALL)""",
+        """fit_1_12 AS (SELECT series_key, target, m, p1, p12, ay - p1 * a1 - p12 * a12 AS c,
+             sqrt(greatest(vy - p1 * cy1 - p12 * cy12, 0)) AS e
+             FROM (SELECT *, (v12 * cy1 - c112 * cy12) / (v1 * v12 - c112 ** 2) AS p1,
+                             (v1 * cy12 - c112 * cy1) / (v1 * v12 - c112 ** 2) AS p12 FROM both_sums))""",
+        """ends AS (SELECT series_key, target, max(y) FILTER (pos = n - 1) AS y1, max(y) FILTER (pos = n - 12) AS z1,
+             max(y) FILTER (pos = n - 11) AS z2, max(y) FILTER (pos = n - 10) AS z3 FROM part GROUP BY ALL)""",
+    ),
+    "forest_draws": sql(
+        f"""SELECT {KEY}, CAST(t AS INTEGER) AS tree, CAST(position AS INTEGER) AS position FROM (
+            SELECT *, row_number() OVER (PARTITION BY t ORDER BY (a + (t + 1) * b + (t + 1) * (t + 1) * c) % {DRAW_PRIME}, b) AS position
+            FROM numbers, (SELECT unnest(range({TREES})) AS t)) WHERE position <= {SUBSAMPLE}""",
+        SQL_NOTICES,
+        f"""digests AS (SELECT {KEY}, md5('{SEED}|tree|' || notice_no || '|' || unit_id || '|' || modality_id) AS d FROM notices)""",
+        f"""numbers AS (SELECT {KEY}, {", ".join(f"CAST('0x' || substr(d, {at}, 10) AS BIGINT) AS {n}" for n, at in zip("abc", (1, 11, 21)))}
+             FROM digests)""",
+    ),
+    "forest_walk": sql(
+        f"""SELECT {KEY}, round(2.0 ** -(avg(depth) / {float(average_path(WALK_ROWS))!r}), 9) AS score FROM walk_3 GROUP BY ALL""",
+        *ALL_FEATURES, NEUTRAL_MATRIX,
+        "nodes(tree, node, feature, threshold, lft, rgt, depth) AS (VALUES " + ", ".join(map(str, WALK_NODES)) + ")",
+        f"walk_0 AS (SELECT {KEY}, [{', '.join(f'CAST({f} AS DOUBLE)' for f in FEATURES)}] AS x, nodes.* FROM neutral, nodes WHERE node = 0)",
+        *[
+            f"""walk_{level + 1} AS (SELECT w.notice_no, w.unit_id, w.modality_id, w.x, nodes.* FROM walk_{level} w JOIN nodes ON nodes.tree = w.tree
+             AND nodes.node = CASE WHEN w.feature < 0 OR w.x[w.feature + 1] <= w.threshold THEN w.lft ELSE w.rgt END)"""
+            for level in range(3)
+        ],
+    ),
     "robust_scale": sql(
         f"SELECT {KEY}, {', '.join(f'round({z(f)}, 5) AS {f}' for f in FEATURES)} FROM neutral, stats",
         *ALL_FEATURES, NEUTRAL_MATRIX, STATS,

@@ -21,7 +21,8 @@ from tenderlake.operators.aggregates import (
     supplier_total,
     with_agency,
 )
-from tenderlake.operators.anomaly import RobustScaler, isolation_score
+from tenderlake.operators.anomaly import NODE_SCHEMA, IsolationForest, RobustScaler, average_path, isolation_score, subsamples
+from tenderlake.operators.autoregression import fit_orders, forecast_orders
 from tenderlake.operators.forecast import forecast
 from tenderlake.operators.metrics import error_metrics
 from tenderlake.operators.perturb import perturb
@@ -31,7 +32,7 @@ from tenderlake.functions.periods import listing
 from tenderlake.plans.ingest import ingest, ingest_report, unpacked_as_silver
 from tenderlake.plans.load import last_ingestion, load
 from tenderlake.plans.score import explanation, rank_scores, score_matrix
-from tenderlake.plans.train import backtest, train, training_points
+from tenderlake.plans.train import backtest, backtest_pairs, train, training_points
 from tenderlake.schemas import KEY, SERVING
 from tenderlake.session import materialize, scratch_folder
 from tenderlake.sources.archives import parse_lines, unpack
@@ -46,6 +47,27 @@ HORIZON = 12
 MIN_TRAIN = 24
 LONG_TRAIN = 68
 REPLACED = "199507"
+#: Orders at which autoregressions are compared: last month, the same month a year ago, both.
+ORDERS = ([1], [12], [1, 12])
+FIT_AHEAD = 3
+WALK_ROWS = 256
+
+
+def _walk_nodes() -> list[tuple[int, int, int, float, int, int, float]]:
+    """A node table by rule: per attribute a tree of three levels, whose last inner node of the second level is a leaf."""
+    nodes = []
+    for tree in range(len(X.FEATURES)):
+        for node in range(15):
+            level = (node + 1).bit_length() - 1
+            leaf = level == 3 or node == 6
+            feature = -1 if leaf else (tree + 3 * node) % len(X.FEATURES)
+            left, right = (node, node) if leaf else (2 * node + 1, 2 * node + 2)
+            depth = float(level + average_path(1 + (tree + node) % 5)) if leaf else float(level)
+            nodes.append((tree, node, feature, 0.0 if leaf else 0.3137 + 0.2713 * node + 0.0517 * tree, left, right, depth))
+    return nodes
+
+
+WALK_NODES = _walk_nodes()
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -504,6 +526,40 @@ def run_backtest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backtest(_points(spark, sf_dir), HORIZON)
 
 
+@query("forecast_fit")
+def run_forecast_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Autoregressions of the given orders with what they forecast, as parts of the mean of their series."""
+    points = materialize(_points(spark, sf_dir))
+
+    def fitted(lags: list[int]) -> DataFrame:
+        at = {k: F.col("phi")[i] for i, k in enumerate(lags)}
+        ahead = forecast_orders(points, lags, FIT_AHEAD).groupBy("series_key", "target").pivot("step", list(range(1, FIT_AHEAD + 1))).agg(F.first("predicted"))
+        part = lambda c, digits=6: F.round(F.col(c) / F.col("mean"), digits)
+        return fit_orders(points, lags).join(ahead, ["series_key", "target"]).select(
+            "series_key", "target", F.lit("+".join(map(str, lags))).alias("lags"), "n",
+            *[F.round(at.get(k, F.lit(None).cast("double")), 6).alias(f"phi_{k}") for k in (1, 12)],
+            part("intercept").alias("level"), F.round(F.sqrt("variance") / F.col("mean"), 6).alias("noise"),
+            *[part(str(k)).alias(f"step_{k}") for k in range(1, FIT_AHEAD + 1)],
+        )
+
+    return reduce(DataFrame.unionByName, [fitted(lags) for lags in ORDERS])
+
+
+@query("backtest_frame")
+def run_backtest_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for every backtest whatever the fit: its points and windows, what is skipped, the baseline's error."""
+    paired = materialize(backtest_pairs(_points(spark, sf_dir), HORIZON))
+    by = ["series_key", "target"]
+    errors = error_metrics(paired, by, "observed", "predicted", "baseline")
+    answered = F.count_if(F.col("predicted") >= 0)
+    held = paired.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("points"), answered.alias("answered"), F.count_distinct("origin").alias("windows"),
+        F.min("origin").alias("first_origin"), F.round(F.sum("observed"), 4).alias("observed"),
+    )
+    baseline = F.round(F.col("mae") / F.col("mase"), 4).alias("baseline_mae")
+    return held.join(errors, by).select(*held.columns, "mape_skipped", baseline, (F.col("mae") <= F.col("rmse") * (1 + 1e-12)).alias("sound"))
+
+
 # --- detector -----------------------------------------------------------------------------
 
 
@@ -541,6 +597,22 @@ def run_isolation_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*KEY, "score")
 
 
+@query("forest_draws")
+def run_forest_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notices that each tree of the forest grows from, in the order of their draws."""
+    notices = samples.notices(spark, sf_dir).select(*KEY)
+    rows = subsamples(notices, [], KEY, SEED, notices.count())
+    return rows.select(*KEY, F.col("_tree").alias("tree"), F.col("_position").alias("position"))
+
+
+@query("forest_walk")
+def run_forest_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all notices by a stored node table."""
+    stored = materialize(spark.createDataFrame(WALK_NODES, NODE_SCHEMA))
+    forest = IsolationForest.of_nodes(stored, X.FEATURES, WALK_ROWS)
+    return forest.score(_neutral_matrix(spark, sf_dir).select(*KEY, *X.FEATURES)).select(*KEY, F.round("score", 9).alias("score"))
+
+
 @query("score_job")
 def run_score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, scaler = score_matrix(_neutral_matrix(spark, sf_dir), SEED)

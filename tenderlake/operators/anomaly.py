@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,10 +79,10 @@ def average_path(n: np.ndarray | float) -> np.ndarray:
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, depth double"
 
 
-def _grow(sample: pd.DataFrame, features: list[str], seed: int, subsample: int) -> pd.DataFrame:
-    """One random tree over the rows of the sample with the lowest draw."""
+def _grow(sample: pd.DataFrame, features: list[str], seed: int) -> pd.DataFrame:
+    """One random tree over the rows of its subsample."""
     tree = int(sample["_tree"].iloc[0])
-    x = sample.sort_values(["_draw", "_tie"]).head(subsample)[features].to_numpy(float)
+    x = sample.sort_values("_position")[features].to_numpy(float)
     rng = np.random.default_rng([seed, tree])
     limit = int(np.ceil(np.log2(max(len(x), 2))))
     nodes: list[list[float]] = []
@@ -109,21 +109,38 @@ def _grow(sample: pd.DataFrame, features: list[str], seed: int, subsample: int)
     return out
 
 
-def _hashed(seed: int, *cols: Column) -> Column:
-    """Reproducible uniform draw in [0, 1] from a row's key."""
-    return F.xxhash64(F.lit(seed), *cols) / F.lit(2.0**64) + F.lit(0.5)
+#: Draws are whole numbers below this prime.
+DRAW_PRIME = 2**31 - 1
 
 
 def drawn_rows(matrix: DataFrame, features: list[str], key: list[str], seed: int, trees: int, share: float) -> DataFrame:
-    """(features, _tie, _tree, _draw): the rows whose draw for a tree is below ``share``.
+    """(features, key, _tie, _tree, _draw): the rows whose draw for a tree is in the lowest ``share``.
 
-    A row goes to the shuffle only for the trees that have drawn it.
+    A digest of seed and key gives a row three numbers, its draw for a tree is their quadratic in
+    the tree's number: uniform over the rows, and independent between any three trees. A row goes
+    to the shuffle only for the trees that have drawn it.
     """
-    keys = [F.col(k) for k in key]
-    hit = lambda tree: _hashed(seed + 1, tree, *keys)
-    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: hit(tree) < F.lit(share))
-    rows = matrix.select(*[F.col(f).cast("double").alias(f) for f in features], *key, F.explode(chosen).alias("_tree"))
-    return rows.select(*features, F.xxhash64(*keys).alias("_tie"), "_tree", hit(F.col("_tree")).alias("_draw"))
+    digest = F.md5(F.concat_ws("|", F.lit(f"{seed}|tree"), *[F.col(k).cast("string") for k in key]))
+    number = lambda start: F.conv(F.substring("_digest", start, 10), 16, 10).cast("long")
+    rows = matrix.select(*[F.col(f).cast("double").alias(f) for f in features], *key, digest.alias("_digest"))
+    rows = rows.select(*features, *key, number(1).alias("_a"), number(11).alias("_b"), number(21).alias("_c"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("_tree"))
+    at = F.col("_tree").cast("long") + 1
+    draw = (F.col("_a") + at * F.col("_b") + at * at * F.col("_c")) % DRAW_PRIME
+    drawn = rows.select(*features, *key, F.col("_b").alias("_tie"), "_tree", draw.alias("_draw"))
+    return drawn.filter(F.col("_draw") < int(np.ceil(share * DRAW_PRIME)))
+
+
+def subsamples(
+    matrix: DataFrame, features: list[str], key: list[str], seed: int, n: int, trees: int = TREES, subsample: int = SUBSAMPLE
+) -> DataFrame:
+    """What every tree grows from: the ``subsample`` rows with its lowest draws, numbered by ``_position``.
+
+    ``n`` is the number of rows; about four subsamples per tree are shuffled, whatever it is.
+    """
+    drawn = drawn_rows(matrix, features, key, seed, trees, min(1.0, 4.0 * subsample / n))
+    position = F.row_number().over(Window.partitionBy("_tree").orderBy("_draw", "_tie"))
+    return drawn.withColumn("_position", position).filter(F.col("_position") <= subsample)
 
 
 def _scores(x: np.ndarray, arrays: tuple[np.ndarray, ...], levels: int, scale: float) -> np.ndarray:
@@ -180,13 +197,19 @@ class IsolationForest:
         if nulls:
             raise ValueError(f"nulls in {nulls}: fill them before fitting")
 
-        drawn = drawn_rows(matrix, features, key, seed, trees, min(1.0, 4.0 * subsample / n))
-
         def grow(sample: pd.DataFrame) -> pd.DataFrame:
-            return _grow(sample, features, seed, subsample)
+            return _grow(sample, features, seed)
 
-        nodes = drawn.groupBy("_tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
-        nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
+        rows = subsamples(matrix, features, key, seed, n, trees, subsample)
+        return cls.of_nodes(rows.groupBy("_tree").applyInPandas(grow, NODE_SCHEMA), features, min(n, subsample))
+
+    @classmethod
+    def of_nodes(cls, nodes: DataFrame, features: list[str], subsample: int) -> IsolationForest:
+        """The forest of a node table, as grown or as stored; ``subsample`` rows have grown each tree.
+
+        A node names its children by their number in the tree; a leaf has feature -1 and its own number twice.
+        """
+        nodes = nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
         root = nodes.index.to_series().where(nodes["node"] == 0).ffill().to_numpy(int)
         return cls(
             features=features,
@@ -196,8 +219,8 @@ class IsolationForest:
             right=nodes["right"].to_numpy() + root,
             depth=nodes["depth"].to_numpy(),
             roots=np.unique(root),
-            levels=int(np.ceil(np.log2(max(min(n, subsample), 2)))),
-            scale=float(average_path(min(n, subsample))),
+            levels=int(np.ceil(np.log2(max(subsample, 2)))),
+            scale=float(average_path(subsample)),
         )
 
     def score(self, matrix: DataFrame, name: str = "score", inputs: list[str] | None = None) -> DataFrame:

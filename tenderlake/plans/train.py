@@ -88,10 +88,15 @@ def _train(tables: Tables, grouping: str, h: int) -> TrainResult:
     return TrainResult(counts["eligible"], counts["dropped"], written)
 
 
-def backtest(points: DataFrame, h: int = 12, min_train: int = MIN_TRAIN) -> DataFrame:
-    """Errors per series and target of the model, relative to the seasonal naive baseline."""
+def backtest_pairs(points: DataFrame, h: int = 12, min_train: int = MIN_TRAIN) -> DataFrame:
+    """Every test point with the model's prediction and that of the seasonal naive baseline."""
     naive = backtest_naive(points, h, min_train).withColumnRenamed("predicted", "baseline")
     model = backtest_forecast(points, h, min_train)
     # A point that the model does not answer stays and is refused by the metrics.
-    paired = naive.join(model, ["series_key", "target", "origin", "step"], "left")
+    return naive.join(model, ["series_key", "target", "origin", "step"], "left")
+
+
+def backtest(points: DataFrame, h: int = 12, min_train: int = MIN_TRAIN) -> DataFrame:
+    """Errors per series and target of the model, relative to the seasonal naive baseline."""
+    paired = backtest_pairs(points, h, min_train)
     return error_metrics(paired, ["series_key", "target"], "observed", "predicted", "baseline")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tenderlake.operators.anomaly import IsolationForest, RobustScaler, average_path, isolation_score, robust_stats
+from tenderlake.operators.anomaly import IsolationForest, RobustScaler, average_path, isolation_score, robust_stats, subsamples
 from tenderlake.operators.features import FEATURES
 from tenderlake.operators.perturb import KINDS, lowest, perturb
 from tenderlake.plans.score import explanation
@@ -45,6 +45,33 @@ def test_one_row_and_constant_columns(matrix):
     assert len(set(scores(constant))) == 1
 
 
+def test_subsamples_are_uniform_and_independent(spark):
+    n, trees, size = 6000, 40, 64
+    rows = subsamples(spark.range(n).repartition(7), [], ["id"], 9, n, trees, size).collect()
+    by_tree = {t: sorted((r._position, int(r.id)) for r in rows if r._tree == t) for t in range(trees)}
+    assert all([p for p, _ in of] == list(range(1, size + 1)) for of in by_tree.values())
+    held = [{i for _, i in of} for of in by_tree.values()]
+    assert all(len(ids) == size for ids in held)
+    # Two trees share size * size / n rows on average, and no part of the ids is preferred.
+    shared = np.mean([len(a & b) for k, a in enumerate(held) for b in held[:k]])
+    assert abs(shared - size * size / n) < 0.15
+    parts = np.bincount([i * 8 // n for ids in held for i in ids], minlength=8)
+    assert parts.min() > 240 and parts.max() < 400
+    again = subsamples(spark.range(n), [], ["id"], 9, n, trees, size)
+    assert sorted((r._tree, r._position, r.id) for r in again.collect()) == sorted((r._tree, r._position, r.id) for r in rows)
+
+
+def test_stored_nodes_score_as_grown(spark):
+    nodes = [(0, 0, 0, 0.5, 1, 2, 0.0), (0, 1, -1, 0.0, 1, 1, 1.0), (0, 2, 1, 3.0, 3, 4, 1.0), (0, 3, -1, 0.0, 3, 3, 2.0),
+             (0, 4, -1, 0.0, 4, 4, 6.0), (1, 0, -1, 0.0, 0, 0, 4.0)]
+    stored = spark.createDataFrame(nodes, "tree int, node int, feature int, threshold double, left int, right int, depth double")
+    forest = IsolationForest.of_nodes(stored.repartition(3), ["a", "b"], 4)
+    rows = spark.createDataFrame([(0.5, 9.0), (0.6, 3.0), (0.6, 3.1)], ["a", "b"])
+    got = {(r.a, r.b): r.score for r in forest.score(rows).collect()}
+    want = {at: 2.0 ** -((d + 4.0) / 2 / float(average_path(4))) for at, d in {(0.5, 9.0): 1, (0.6, 3.0): 2, (0.6, 3.1): 6}.items()}
+    assert got == pytest.approx(want)
+
+
 def test_average_path():
     np.testing.assert_allclose(average_path([1, 2]), [0, 1])
     assert 10 < float(average_path(256)) < 10.5

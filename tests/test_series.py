@@ -139,6 +139,14 @@ def test_forecast_protocol():
         predict(SEASONAL, 0)
 
 
+def test_forecast_of_plain_series_is_exact():
+    np.testing.assert_allclose(predict(np.full(30, 4.5), 12), np.full((3, 12), 4.5))
+    line = np.arange(48) * 2.5 + 10
+    np.testing.assert_allclose(predict(line, 12)[0], np.arange(48, 60) * 2.5 + 10, rtol=1e-6)
+    cycle = np.tile([5.0, 9, 1, 7, 3, 8, 2, 6, 4, 11, 10, 12], 4)
+    np.testing.assert_allclose(predict(cycle, 12)[0], cycle[:12], rtol=1e-6)
+
+
 def test_forecast_handles_noise():
     rng = np.random.default_rng(0)
     for _ in range(100):
