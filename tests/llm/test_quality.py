@@ -4,11 +4,13 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
+
 from tenderlake.llm import quality_model, quality_rules
 
 
 def plain(text):
-    words = (text or "").replace("　", "x").split() if False else [w for w in __import__("re").split("[\x20\x09-\x0d]+", text or "") if w]
+    words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", text or "") if w]
     lines = [x for x in (text or "").split("\n") if __import__("re").search("[^\x20\x09-\x0d]", x)]
     grams = Counter(zip(words, words[1:], words[2:]))
     covered = {i + k for i in range(len(words) - 2) if grams[tuple(words[i : i + 3])] > 1 for k in range(3)}
@@ -46,6 +48,23 @@ def test_cascade_keeps_columns_and_ignores_order(corpus, no_docs, odd_docs):
     assert quality_rules.measure(odd_docs).filter("base_failed").count() == 6
 
 
+def test_costly_rules_stand_behind_cheap_ones(spark):
+    # No row has an id: rows are drawn by their text too.
+    docs = spark.createDataFrame([(None, f"{i} " + "a b c d e f g " * 300) for i in range(900)], "doc_id long, text string")
+    cheap = quality_rules.Rule("cheap", lambda text, words, lines: F.size(words) > 100)
+    never = quality_rules.Rule("never", lambda text, words, lines: F.size(words) < 0)
+    costly = quality_rules.Rule("costly", lambda text, words, lines: 20 * quality_rules.repeated_words(words) > F.size(words))
+    for given in ([costly, never, cheap], [never, cheap, costly]):
+        assert [r.name for r in quality_rules.cascade_order(docs, given, 400)] == ["cheap", "costly", "never"]
+
+
+def test_gain_ignores_noise():
+    a, b, c = (quality_rules.Rule(n, lambda text, words, lines: F.lit(True)) for n in "abc")
+    names = lambda *measured: [r.name for r in quality_rules.by_gain(list(measured), 0.2)]
+    assert names((a, 0.5, 0.001), (b, 0.5, -0.01), (c, 0.6, 0.015)) == ["c", "a", "b"]
+    assert names((a, 0.5, 0.4), (b, 0.1, 0.0), (c, 0.0, 0.0)) == ["b", "a", "c"]
+
+
 def test_sql_counterpart(corpus):
     docs, rows = corpus
     connection = duckdb.connect()
