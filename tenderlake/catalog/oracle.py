@@ -483,7 +483,7 @@ ORACLE: dict[str, str] = {
     "backtest_frame": sql(
         """SELECT series_key, target, count(*) AS points, count(*) AS answered, count(DISTINCT o) AS windows,
                CAST(min(o) AS INTEGER) AS first_origin, round(sum(y), 4) AS observed, count(*) FILTER (y = 0) AS mape_skipped,
-               round(nullif(avg(abs(y - p)), 0), 4) AS baseline_mae, true AS sound
+               round(nullif(avg(abs(y - p)), 0), 6) AS baseline_mae, true AS sound
         FROM paired GROUP BY ALL""",
         SQL_NOTICES, AGENCY_POINTS,
         f"""tests AS (SELECT *, n - {HORIZON} * CAST(ceil((n - pos) / {HORIZON}) AS BIGINT) AS o FROM points)""",

@@ -556,7 +556,7 @@ def run_backtest_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("points"), answered.alias("answered"), F.count_distinct("origin").alias("windows"),
         F.min("origin").alias("first_origin"), F.round(F.sum("observed"), 4).alias("observed"),
     )
-    baseline = F.round(F.col("mae") / F.col("mase"), 4).alias("baseline_mae")
+    baseline = F.round(F.col("mae") / F.col("mase"), 6).alias("baseline_mae")
     return held.join(errors, by).select(*held.columns, "mape_skipped", baseline, (F.col("mae") <= F.col("rmse") * (1 + 1e-12)).alias("sound"))
 
 
