@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.session import configure, materialize
 
-__all__ = ["ID_LAST", "WORD_GAP", "id_key", "id_out", "keep_first", "let", "map_batches", "materialize", "range_index", "ready", "table", "text_key", "text_of"]
+__all__ = ["ID_LAST", "WORD_GAP", "id_key", "id_out", "keep_first", "let", "map_batches", "materialize", "range_index", "ready", "table", "text_key", "text_of", "unused"]
 
 #: Stands for a null document id inside the operators: such a row comes after all others.
 ID_LAST = (1 << 63) - 1
@@ -55,6 +55,14 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(text_of(column))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of one document of each class, with all columns.
 
@@ -64,11 +72,12 @@ def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     found = materialize(found)
     first = (F.col("id") == F.col("first_id")) & (F.col("h") == F.col("first_h"))
-    gone = materialize(found.filter(~first).select(F.col("id").alias("_gone_id"), F.col("h").alias("_gone_h")).distinct())
-    left = docs.join(gone, (id_key() == F.col("_gone_id")) & (text_key() == F.col("_gone_h")), "left_anti")
+    gone_id, gone_h, key = (unused(docs, n) for n in ("gone_id", "gone_h", "text_key"))
+    gone = materialize(found.filter(~first).select(F.col("id").alias(gone_id), F.col("h").alias(gone_h)).distinct())
+    left = docs.join(gone, (id_key() == F.col(gone_id)) & (text_key() == F.col(gone_h)), "left_anti")
     if found.filter(first & (F.col("id") == ID_LAST)).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         return left
-    nameless = left.filter(id_key() == ID_LAST).withColumn("_h", text_key()).dropDuplicates(["_h"]).drop("_h")
+    nameless = left.filter(id_key() == ID_LAST).withColumn(key, text_key()).dropDuplicates([key]).drop(key)
     return left.filter(id_key() != ID_LAST).union(nameless)
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import let, materialize, table, text_of
+from tenderlake.llm.common import let, materialize, table, text_of, unused
 
 #: Words of a window; an item with fewer words is one window of its own length.
 WINDOW = 10
@@ -129,8 +129,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` whose text holds no window, with all columns."""
-    found = contaminated(docs, benchmark, window).select(F.col("key").alias("_found_key"))
-    return docs.join(found, same_text(text_of()) == F.col("_found_key"), "left_anti")
+    key = unused(docs, "found_key")
+    found = contaminated(docs, benchmark, window).select(F.col("key").alias(key))
+    return docs.join(found, same_text(text_of()) == F.col(key), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import id_key, id_out, map_batches, materialize, table, text_key, text_of
+from tenderlake.llm.common import id_key, id_out, map_batches, materialize, table, text_key, text_of, unused
 
 #: Shorter lines stay: those without a word. Words are runs without blanks and control spacing.
 MIN_WORDS = 1
@@ -235,17 +235,18 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
 
     A document may be left with an empty text; none is dropped.
     """
+    of_id, of_text, gone_lines, gone_hashes = (unused(docs, n) for n in ("drop_id", "drop_text", "drop_lines", "drop_hashes"))
     drops = materialize(drops_by_document(docs, min_words, near_words)).select(
-        F.col("id").alias("_drop_id"), F.col("t").alias("_drop_t"), F.col("drops.line").alias("_drop_lines"), F.col("drops.h").alias("_drop_hashes")
+        F.col("id").alias(of_id), F.col("t").alias(of_text), F.col("drops.line").alias(gone_lines), F.col("drops.h").alias(gone_hashes)
     )
-    joined = docs.join(drops, (id_key() == F.col("_drop_id")) & (text_key() == F.col("_drop_t")), "left").drop("_drop_id", "_drop_t")
+    joined = docs.join(drops, (id_key() == F.col(of_id)) & (text_key() == F.col(of_text)), "left").drop(of_id, of_text)
     columns = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = dict(zip(batch.schema.names, batch.columns, strict=True))
             texts = column["text"].to_pylist()
-            drop = zip(column["_drop_lines"].to_pylist(), column["_drop_hashes"].to_pylist(), strict=True)
+            drop = zip(column[gone_lines].to_pylist(), column[gone_hashes].to_pylist(), strict=True)
             for at, (gone, hashes) in enumerate(drop):
                 if gone and texts[at] is not None:
                     of = dict(zip(gone, hashes, strict=True))

@@ -69,3 +69,23 @@ def test_rows_without_an_id_are_documents_of_their_own(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (7, b.upper()), (8, a[::-1]), (8, c)]
     only = spark.createDataFrame([(None, c), (None, c), (None, a)], "doc_id long, text string")
     assert sorted(r.text for r in dict(corpus_pipeline.STAGES)["simhash"](spark, only, "").collect()) == [a, c]
+
+
+def test_odd_rows_and_clashing_names_through_all_stages(spark, tmp_path):
+    """Rows without ids or texts, repeated rows, one very long text and columns named as the stages might name theirs."""
+    rng = random.Random(9)
+    prose = lambda n: "\n".join(" ".join(f"w{rng.randrange(10**5)}" for _ in range(20)) for _ in range(n))
+    texts = [prose(6) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (3, texts[4]), (None, prose(5)), (None, prose(5)), (None, None), (50, ""), (51, prose(6000))]
+    names = ["gone_id", "gone_h", "GONE_ID_", "text_key", "drop_id", "drop_text", "drop_lines", "drop_hashes", "found_key", "_h", "h", "id", "words"]
+    docs = spark.createDataFrame([(i, t, *([7] * len(names))) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(12)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, str(tmp_path)))
+        assert docs.columns == ["doc_id", "text", *names], name
+        assert all(r[n] == 7 for r in docs.collect() for n in names), name
+    kept = sorted((r.doc_id if r.doc_id is not None else -1) for r in docs.collect())
+    assert kept == sorted([-1, -1, *range(12), 3, 3, 51])  # rows of one id and text are one document, another text is another
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len({r.doc_id for r in packed}) == 14 and max(r.length for r in packed) <= packing.CAPACITY
