@@ -660,7 +660,7 @@ def run_archive_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("archive_ingest")
 def run_archive_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items and bids read back from archives: amounts and winners per period."""
-    silver = unpacked_as_silver(materialize(unpack(bundles.archives(spark, sf_dir)), partition_by="table"))
+    silver = unpacked_as_silver(unpack(bundles.archives(spark, sf_dir)))
     amounts = silver["item"].groupBy("period").agg(
         F.count(F.lit(1)).alias("items"), F.sum(F.col("quantity") * F.col("unit_value")).cast("double").alias("amount")
     )

@@ -185,6 +185,40 @@ def test_archives_in_many_blocks_and_tasks(spark, bronze, tmp_path, monkeypatch)
         assert [line for _, line in sorted(found)] == lines[table] and sorted(n for n, _ in found) == list(range(3000))
 
 
+def test_an_archive_of_one_block_is_unpacked_where_it_is(spark, monkeypatch):
+    def meet(batches):
+        assert not any(batch.num_rows for batch in batches), "members were dealt out"
+        return iter(())
+
+    monkeypatch.setattr(A, "_decode", meet)
+    rows = [(PERIOD, "a.zip", archive()), (PERIOD, "b.zip", archive(cut=True)), (PERIOD, "c.zip", b"junk"), (PERIOD, "d.zip", b"")]
+    out = unpack(spark.createDataFrame(rows, "period string, path string, content binary"))
+    found = {(r["path"], r["table"]): r["n"] for r in out.groupBy("path", "table").agg(F.count("*").alias("n")).collect()}
+    assert found == {
+        ("a.zip", "status"): 1, ("a.zip", "notice"): 2, ("a.zip", "item"): 2, ("a.zip", "bid"): 2,
+        ("b.zip", "status"): 1, ("b.zip", "notice"): 2, ("b.zip", "item"): 2, ("c.zip", "status"): 1, ("d.zip", "status"): 1,
+    }
+
+
+def test_only_its_own_bytes_travel_to_a_member(spark, monkeypatch):
+    def weigh(batches):
+        for batch in batches:
+            for name, body in zip(batch.column("archive").to_pylist(), batch.column("body").to_pylist()):
+                yield A.pa.RecordBatch.from_pandas(A.pd.DataFrame({"archive": [name], "line_no": [len(body)]}))
+
+    content = archive()
+    half = len(content) // 2
+    blocks = spark.createDataFrame(
+        [("a", PERIOD, "a.zip", len(content), at, content[at : at + half + 1]) for at in (0, half + 1)], A.BLOCKS
+    )
+    monkeypatch.setattr(A, "_decode", weigh)
+    monkeypatch.setattr(A, "UNPACKED", "archive string, line_no long")
+    claims = A.directories(blocks)
+    assert claims.count() == 4
+    total = A._members(blocks, claims, A._listed).agg(F.sum("line_no")).first()[0]
+    assert 0 < total <= len(content)
+
+
 def test_files_of_one_month_keep_their_order(spark, bronze, tmp_path):
     item = lambda code: {"item": [f'"001";"0010";"5";"{code}";"Papel";1,0;1,0;"111";"Fulano"']}
     (bronze / "202401-b.zip").write_bytes(archive(lines=item("second")))
