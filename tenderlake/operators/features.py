@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.functions.periods import month
 from tenderlake.functions.scalars import PLAUSIBILITY_CUT, is_identity, is_plausible, ratio
-from tenderlake.operators.quantiles import exact_median
+from tenderlake.operators.quantiles import exact_median, with_median
 from tenderlake.operators.ranking import keep_last
 from tenderlake.schemas import KEY
 
@@ -61,19 +61,30 @@ def value_ratio(
     )
 
 
-def bidder_pairs(bids: DataFrame) -> DataFrame:
-    """Bids reduced to one row per notice and bidder; every participation attribute starts here."""
+def bidder_pairs(bids: DataFrame, by: list[str] = KEY) -> DataFrame:
+    """Bids reduced to one row per notice and bidder; every participation attribute starts here.
+
+    ``by`` may name more that a notice determines.
+    """
     position = F.lit(0).cast("long")
     if {"period", "line_no"} <= set(bids.columns):
         # Position in the source, files in period order.
         position = F.col("period").cast("long") * F.lit(10**11) + F.col("line_no")
-    return bids.groupBy(*KEY, "bidder_id").agg(
+    return bids.groupBy(*by, "bidder_id").agg(
         F.count("is_winner").alias("bids"),
         F.count_if("is_winner").alias("wins"),
         F.min(F.when(F.col("is_winner"), position)).alias("first_win"),
     )
 
 
+def known_pairs(bids: DataFrame, base: DataFrame) -> DataFrame:
+    """``bidder_pairs`` of the notices in ``base``, with their agency.
+
+    Bids meet their notice first: they are then dealt out by its key, and so are the pairs.
+    """
+    return bidder_pairs(bids.join(base.select(*KEY, "agency_id"), KEY), [*KEY, "agency_id"])
+
+
 def participation(pairs: DataFrame) -> DataFrame:
     """Distinct bidders (a missing id counts as one), winners, and the first identifiable winner."""
     candidate = F.when(
@@ -106,8 +117,12 @@ def no_winner() -> F.Column:
 
 def supplier_record(pairs: DataFrame, base: DataFrame) -> DataFrame:
     """Per agency and identified supplier: wins and win rate over its bids there."""
-    disputes = pairs.filter(is_identity(F.col("bidder_id"))).join(base.select(*KEY, "agency_id"), KEY)
-    return disputes.groupBy("agency_id", F.col("bidder_id").alias("winner_id")).agg(
+    return disputes_record(pairs.join(base.select(*KEY, "agency_id"), KEY))
+
+
+def disputes_record(pairs: DataFrame) -> DataFrame:
+    """``supplier_record`` of pairs that have their agency."""
+    return pairs.filter(is_identity(F.col("bidder_id"))).groupBy("agency_id", F.col("bidder_id").alias("winner_id")).agg(
         F.sum("wins").alias("wins"),
         ratio(F.sum("wins"), F.sum("bids")).alias("winner_win_rate"),
     )
@@ -131,11 +146,9 @@ def item_features(items: DataFrame, cut: float = PLAUSIBILITY_CUT) -> DataFrame:
     """Per notice: largest price ratio among plausible items, and whether any is implausible."""
     marked = mark_plausible(items.select(*KEY, "item_code", "quantity", "unit_value"), cut)
     marked = marked.drop("quantity")
-    typical = exact_median(
-        marked.filter("plausible and unit_value > 0"), ["item_code"], "unit_value", "_typical"
-    )
+    priced = F.when(F.col("plausible") & (F.col("unit_value") > 0), F.col("unit_value"))
     return (
-        marked.join(typical, "item_code", "left")
+        with_median(marked, ["item_code"], priced, "_typical")
         .groupBy(*KEY)
         .agg(
             F.max(F.when(F.col("plausible"), ratio(F.col("unit_value"), F.col("_typical")))).alias(
@@ -172,14 +185,14 @@ def feature_matrix(
     """
     keep = stage or (lambda df: df)
     base = keep(notice_base(notices))
-    pairs = keep(bidder_pairs(bids))
-    record = keep(supplier_record(pairs, base))
+    pairs = keep(known_pairs(bids, base.select(*KEY, "agency_id")))
+    record = keep(disputes_record(pairs))
     # Joins on the natural key first: they share one partitioning. The sides after that are
     # group statistics, which the adaptive planner broadcasts only when they are small.
-    bidders = keep(participation(pairs))
-    rows = base.join(bidders, KEY, "left").join(item_features(items, cut), KEY, "left")
+    counted = keep(base.join(participation(pairs), KEY, "left"))
+    rows = counted.join(item_features(items, cut), KEY, "left")
     rows = rows.join(record.select("agency_id", "winner_id", "winner_win_rate"), ["agency_id", "winner_id"], "left")
-    rows = bidders_ratio(rows, bidders.join(base.select(*KEY), KEY))
+    rows = bidders_ratio(rows, counted.filter("n_bidders is not null"))
     rows = value_ratio(rows, base, min_group)
     rows = rows.join(concentration(record), "agency_id", "left")
     rows = rows.join(seasonal(base), ["agency_id", "period"], "left")

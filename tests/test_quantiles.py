@@ -1,9 +1,13 @@
 """Exact quantiles against numpy."""
 
+import random
+import statistics
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tenderlake.operators import quantiles
 from tenderlake.operators.quantiles import exact_median, exact_quantiles, ranged_counts
 from tenderlake.operators.ranking import keep_last, number_rows
 
@@ -93,3 +97,33 @@ def test_row_numbers_are_dense_and_ordered_under_ties(spark):
 def test_keep_last_keeps_whole_rows(spark, rows):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, None), (2, 1, "c"), (None, 1, "n")], "k int, o int, x string")
     assert rows(keep_last(df, ["k"], ["o"]), "k", "o", "x") == [(1, 2, None), (2, 1, "c"), (None, 1, "n")]
+
+
+def test_medians_of_rows_in_ranges(spark, monkeypatch):
+    """Groups within a range, across ranges and too large to be held, nulls in keys and values, equal values."""
+    monkeypatch.setattr(quantiles, "PASSING", 300)
+    rng = random.Random(5)
+    rows = [(f"g{g:03d}", g % 3, rng.choice([None, 1.0, rng.random()])) for g in range(200) for _ in range(rng.randint(1, 9))]
+    rows += [("hot", 1, rng.choice([2.5, rng.random()])) for _ in range(4000)] + [(None, 1, 1.0), ("g000", None, 2.0), ("empty", 0, None)]
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "id int, a string, b int, v double").repartition(7)
+    groups = {}
+    for a, b, v in rows:
+        groups.setdefault((a, b), []).extend([] if v is None else [v])
+    out = quantiles.with_median(df, ["a", "b"], F.col("v"), "m").collect()
+    assert sorted(r["id"] for r in out) == list(range(len(rows)))
+    for r in out:
+        a, b, v = rows[r["id"]]
+        values = groups[a, b]
+        assert (r["a"], r["b"], r["v"]) == (a, b, v)
+        wanted = None if a is None or b is None or not values else statistics.median(values)
+        assert r["m"] == (None if wanted is None else pytest.approx(wanted, rel=1e-15))
+
+
+def test_only_groups_at_the_ends_of_ranges_are_ranked(spark, monkeypatch):
+    ranked = []
+    exact = quantiles.exact_median
+    monkeypatch.setattr(quantiles, "exact_median", lambda df, *args, **kwargs: (ranked.append(df.select("g").distinct().count()), exact(df, *args, **kwargs))[1])
+    df = spark.range(20_000).select((F.col("id") % 1000).alias("g"), F.col("id").alias("v"))
+    out = quantiles.with_median(df, ["g"], F.col("v"), "m")
+    assert out.filter("m != g + 9500").isEmpty() and out.count() == 20_000
+    assert ranked and ranked[0] <= 2 * spark.sparkContext.defaultParallelism
