@@ -133,9 +133,10 @@ def replace_children(stored: DataFrame, batches: DataFrame, notices: DataFrame)
         notices.select(*KEY, "period", "_since")
         .join(last, KEY)
         .filter(F.col("_last") >= F.col("_since"))
-        .select(*KEY, "period", F.col("_last").alias(SEQ))
+        .select(*KEY, "period", "_last")
     )
-    return rows.join(owners, [*KEY, SEQ]).select(*columns, "period")
+    # On the natural key, by which the owners lie already.
+    return rows.join(owners, KEY).filter(F.col(SEQ) == F.col("_last")).select(*columns, "period")
 
 
 def accounting(read: DataFrame, inserted: DataFrame) -> DataFrame:

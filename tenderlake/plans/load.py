@@ -146,7 +146,8 @@ def _merge_all(tables: Tables, notices: DataFrame, items: DataFrame, bids: DataF
     for name, rows, owners in children:
         held = [r["period"] for r in owners.select("period").distinct().collect()]
         before = tables.read(name).filter(F.col("period").isin(held))
-        facts[name] = materialize(merge.replace_children(before, rows, owners))
+        # Read by its write alone, and a write that fails is taken back with all others.
+        facts[name] = merge.replace_children(before, rows, owners)
 
     for name, rows in dimensions.items():
         tables.replace(name, rows)

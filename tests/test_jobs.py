@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tenderlake.functions.periods import listing
 from tenderlake.operators import merge
 from tenderlake.operators.quality import integrity_report
+from tenderlake.plans import load as plan
 from tenderlake.plans.aggregate import aggregate_series, aggregate_suppliers
 from tenderlake.plans.load import last_ingestion, load
 from tenderlake.plans.score import score
@@ -77,6 +78,16 @@ def test_load_fills_dimensions_and_facts(spark, lake, january):
     assert {r.agency_id: r.parent_agency_id for r in tables.read("agency").collect()} == {"2": "1", "1": "1"}
 
 
+def test_children_are_written_once(spark, lake, monkeypatch):
+    silver, tables = lake
+    staged, real = [], plan.materialize
+    monkeypatch.setattr(plan, "materialize", lambda df, *args: staged.append(df.columns) or real(df, *args))
+    put(spark, silver, notice=[notice("1", "202401", 0)], item=[item("1", "202401", 0)], bid=[bid("1", "202401", 0)])
+    load(spark, silver, tables, ["202401"])
+    assert staged and not any("item_code" in columns for columns in staged)
+    assert counts(tables, ("notice", "item", "bid")) == {"notice": 1, "item": 1, "bid": 1}
+
+
 def test_load_logs_every_period(spark, lake, january):
     log = {r.period: r for r in lake[1].read("ingestion_log").collect()}
     good, bad = log["202401"], log["209912"]
