@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -31,10 +31,16 @@ def _text(field: T.StructField) -> Column:
     return F.coalesce(quoted, F.lit(""))
 
 
-def csv_lines(df: DataFrame, table: str) -> DataFrame:
-    """(period, table, line) of a silver-shaped frame."""
-    fields = [_text(SILVER[table][name]) for name in TABLE_HEADERS[table].values()]
-    return df.select("period", F.lit(table).alias("table"), F.concat_ws(";", *fields).alias("line"))
+def _line(table: str) -> Column:
+    return F.concat_ws(";", *[_text(SILVER[table][name]) for name in TABLE_HEADERS[table].values()])
+
+
+def csv_lines(df: DataFrame, *tables: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(period, table, line) of a frame with the columns of a silver table; of several, a line of each per row."""
+    if len(tables) > 1:
+        made = F.array(*[F.struct(F.lit(t).alias("table"), _line(t).alias("line")) for t in tables])
+        return df.select("period", *keep, F.inline(made))
+    return df.select("period", *keep, F.lit(tables[0]).alias("table"), _line(tables[0]).alias("line"))
 
 
 def build_archive(period: str, lines: dict[str, list[str]], cut: bool) -> bytes:
@@ -54,8 +60,9 @@ def write_archives(lines: DataFrame, bronze: str) -> None:
     """Files ``<period>-<part>-….zip`` of (period, part, table, line) rows, written by Spark and then named.
 
     An Arrow batch becomes one archive for each period and part that it holds, so an archive is
-    bounded however many rows a period has. The text writer ends each with a line feed, which
-    readers of archives pass over.
+    bounded however many rows a period has. Lines are bundled where they are: those of a period
+    should follow each other in their task, or archives are small. The text writer ends each with
+    a line feed, which readers of archives pass over.
     """
     spark = lines.sparkSession
 
@@ -67,7 +74,7 @@ def write_archives(lines: DataFrame, bronze: str) -> None:
                 rows.append((period, part, build_archive(period, members, False)))
             yield pd.DataFrame(rows, columns=["period", "part", "content"])
 
-    made = lines.repartition("period", "part").sortWithinPartitions("period", "part").mapInPandas(bundle, "period string, part string, content binary")
+    made = lines.mapInPandas(bundle, "period string, part string, content binary")
     staged = scratch_folder(spark)
     made.withColumn("content", F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).partitionBy("period", "part").text(staged)
     # Only names pass through the driver: a few files for each month.

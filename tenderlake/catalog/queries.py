@@ -675,10 +675,13 @@ def run_bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive files written, ingested and read back row by row; each month has a second file that revises notices of the first."""
     root = scratch_folder(spark)
     notices = samples.notices(spark, sf_dir)
-    revised = notices.filter("status = 'F'").withColumn("status", F.lit("REVISED"))
-    frames = [("a", "notice", notices), ("b", "notice", revised), ("a", "item", samples.items(spark, sf_dir)), ("a", "bid", samples.bids(spark, sf_dir))]
-    lines = reduce(DataFrame.unionByName, [bundles.csv_lines(df, t).withColumn("part", F.lit(part)) for part, t, df in frames])
-    bundles.write_archives(lines, f"{root}/bronze")
+    ordered = notices.sortWithinPartitions("period")
+    revisions = F.when(F.col("status") == "F", F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))
+    parts = ordered.withColumn("part", F.explode(revisions))
+    parts = parts.withColumn("status", F.when(F.col("part") == "b", "REVISED").otherwise(F.col("status")))
+    of_notices = bundles.csv_lines(parts, "notice", keep=["part"])
+    of_lines = bundles.csv_lines(samples.items_and_bids(spark, sf_dir), "item", "bid").withColumn("part", F.lit("a"))
+    bundles.write_archives(of_notices.unionByName(of_lines), f"{root}/bronze")
     periods = sorted(row["period"] for row in notices.select("period").distinct().collect())  # months
     report = ingest(spark, f"{root}/bronze", f"{root}/silver", periods)
     outcome = report.select("period", F.coalesce("error", F.when(F.col("partial"), "partial").otherwise("intact")).alias("outcome"))
@@ -686,8 +689,11 @@ def run_bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def rows(table: str, code: str, who: str, number: str) -> DataFrame:
         text = lambda c: F.lit(None).cast("string") if not c else F.col(c)
-        df = keep_last(silver[table], KEY, ["line_no"]) if table == "notice" else silver[table]
+        df = silver[table]
+        if table == "notice":
+            df = keep_last(df.select(*KEY, "period", "line_no", who, number), KEY, ["line_no"])
         return df.select(F.lit(table).alias("table"), *KEY, "period", text(code).alias("code"), text(who).alias("who"), F.col(number).cast("double").alias("number"))
 
     every = rows("notice", "", "status", "value").union(rows("item", "item_code", "winner_id", "unit_value")).union(rows("bid", "item_code", "bidder_id", "is_winner"))
-    return every.join(outcome, "period")
+    # A row per month; planned by its size only after the rows have been shuffled for it.
+    return every.join(F.broadcast(outcome), "period")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.schemas import KEY, MONEY
@@ -79,37 +79,46 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _line_no() -> F.Column:
+def _line_no() -> Column:
     return (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_no")
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).select(
-        *KEY,
-        "item_code",
+def _of_item() -> list[Column]:
+    return [
         F.concat(F.lit("Item "), "item_code").alias("description"),
         F.col("l_quantity").cast(MONEY).alias("quantity"),
         F.col("l_extendedprice").cast(MONEY).alias("unit_value"),
         F.col("supplier_id").alias("winner_id"),
         F.concat(F.lit("Supplier "), "supplier_id").alias("winner_name"),
-        _line_no(),
-        "period",
-    )
+    ]
 
 
-def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _of_bid() -> list[Column]:
     """One bid per line; modality 5 is a direct purchase with a single bidder per notice."""
     direct = F.lpad("unit_id", 14, "0")
     bidder = F.when(F.col("modality_id") == 5, direct).otherwise(F.col("supplier_id"))
-    return _lines(spark, sf_dir).select(
-        *KEY,
-        "item_code",
+    return [
         bidder.alias("bidder_id"),
         F.concat(F.lit("Supplier "), bidder).alias("bidder_name"),
         (F.col("l_returnflag") == "R").alias("is_winner"),
-        _line_no(),
-        "period",
-    )
+    ]
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select(*KEY, "item_code", *_of_item(), _line_no(), "period")
+
+
+def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select(*KEY, "item_code", *_of_bid(), _line_no(), "period")
+
+
+def items_and_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item and the bid of every line side by side, so that orders and lines meet once.
+
+    The rows of a task come by period: sorted here, they are narrower than anything made of them.
+    """
+    lines = _lines(spark, sf_dir).sortWithinPartitions("period")
+    return lines.select(*KEY, "item_code", *_of_item(), *_of_bid(), "period")
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ def ingest(spark: SparkSession, bronze: str, silver: str, periods: list[str]) ->
     silver held of that month is left alone.
     """
     # Its lines are written; what is added to them here costs less than writing them again.
-    staged = unpack_blocks(read_archives(spark, bronze, periods))
+    staged = unpack_blocks(read_archives(spark, bronze, periods), by_period=True)
     report = materialize(ingest_report(staged))
     # One report row per requested month.
     found = {row["period"]: row for row in report.collect()}
@@ -38,7 +38,7 @@ def ingest(spark: SparkSession, bronze: str, silver: str, periods: list[str]) ->
     for table in SILVER:
         filled = [p for p in usable if found[p][f"{table}_rows"]]
         if filled:
-            write_silver(parse_lines(staged, table).filter(F.col("period").isin(filled)), silver, table)
+            write_silver(parse_lines(staged, table).filter(F.col("period").isin(filled)), silver, table, dealt=True)
         for period in set(usable) - set(filled):
             clear_silver(spark, silver, table, period)
     requested = spark.createDataFrame([(p,) for p in periods], "period string")

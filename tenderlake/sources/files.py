@@ -16,10 +16,10 @@ def any_match(spark: SparkSession, pattern: str) -> bool:
     return bool(matches(spark, pattern))
 
 
-def empty_matches(spark: SparkSession, pattern: str) -> list[str]:
-    """Files without a byte."""
+def sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Bytes of each file."""
     fs, jpath = hadoop_path(spark, pattern)
-    return [s.getPath().toString() for s in fs.globStatus(jpath) or [] if s.isFile() and s.getLen() == 0]
+    return {s.getPath().toString(): s.getLen() for s in fs.globStatus(jpath) or [] if s.isFile()}
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -10,15 +10,16 @@ from tenderlake.session import path_exists
 from tenderlake.sources.files import remove
 
 
-def write_silver(df: DataFrame, root: str, table: str) -> None:
+def write_silver(df: DataFrame, root: str, table: str, dealt: bool = False) -> None:
     """Replaces the periods present in ``df`` and leaves the others alone.
 
     The rebalance hint sizes the files by bytes: a period with very many rows becomes several
-    files written in parallel, small periods do not become many tiny ones.
+    files written in parallel, small periods do not become many tiny ones. Rows ``dealt`` by
+    period already stay where they are.
     """
+    rows = df.select(*SILVER[table].names)
     (
-        df.select(*SILVER[table].names)
-        .hint("rebalance", "period")
+        (rows if dealt else rows.hint("rebalance", "period"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

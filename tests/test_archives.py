@@ -13,7 +13,7 @@ from tenderlake.plans.ingest import ingest
 from tenderlake.schemas import SILVER, TABLE_HEADERS
 from tenderlake.sources import archives as A
 from tenderlake.sources.archives import member_type, parse_lines, read_archives, records, unpack, unpack_blocks
-from tenderlake.sources.silver import read_silver
+from tenderlake.sources.silver import read_silver, write_silver
 
 PERIOD = "202401"
 NOTICE_LINE = (
@@ -185,6 +185,61 @@ def test_archives_in_many_blocks_and_tasks(spark, bronze, tmp_path, monkeypatch)
         assert [line for _, line in sorted(found)] == lines[table] and sorted(n for n, _ in found) == list(range(3000))
 
 
+def test_a_file_of_one_block_is_not_written_again(spark, bronze, monkeypatch):
+    def write(df):
+        raise AssertionError("written to scratch")
+
+    contents = {"202401.zip": archive(), "202401-b.zip": archive(cut=True), "202402.zip": b"junk\n\n", "202403.zip": b""}
+    for name, content in contents.items():
+        (bronze / name).write_bytes(content)
+    months = ["202401", "202402", "202403"]
+    with monkeypatch.context() as patch:
+        patch.setattr(A, "materialize", write)
+        blocks = read_archives(spark, str(bronze), months)
+        held = {r.path.rsplit("/", 1)[1]: (r.period, r["size"], r["at"], bytes(r.body)) for r in blocks.collect()}
+    assert held == {n: (n[:6], len(c), 0, c) for n, c in contents.items()}
+    # Beside a larger file it stays so.
+    monkeypatch.setattr(A, "BLOCK", len(contents["202401-b.zip"]))
+    both = read_archives(spark, str(bronze), months).collect()
+    held = {n: b"".join(r.body for r in sorted(both, key=lambda r: r["at"]) if r.path.endswith("/" + n)) for n in contents}
+    assert held == contents
+
+
+def test_rows_of_an_ingest_are_shuffled_as_packed_archives_only(spark, bronze, tmp_path, monkeypatch):
+    from tenderlake.plans import ingest as plan
+
+    shuffled, files = [], []
+
+    def write(df, root, table, **dealt):
+        write_silver(df, root, table, **dealt)
+        shuffled.append(not dealt.get("dealt"))
+        files.extend(read_silver(spark, root, table).select(F.lit(table), "period", F.input_file_name()).distinct().collect())
+
+    monkeypatch.setattr(plan, "write_silver", write)
+    months = [f"2024{m:02d}" for m in range(1, 13)]
+    for month in months:
+        for part in "abcd":
+            (bronze / f"{month}-{part}.zip").write_bytes(archive(period=month))
+    report = ingest(spark, str(bronze), str(tmp_path / "silver"), months).collect()
+    assert all(r.error is None and (r.notice_rows, r.item_rows, r.bid_rows) == (8, 8, 8) for r in report)
+    assert shuffled == [False] * 3 and len(files) == 3 * len(months)
+
+
+def test_items_and_bids_of_one_join_are_those_of_two(spark, tmp_path):
+    from tenderlake.catalog import samples
+    from tenderlake.catalog.bundles import csv_lines
+
+    at = datetime.datetime(2024, 1, 31)
+    orders = [(1, 7, "F", 5.0, at, "5-LOW"), (2, 8, "O", 6.0, at, "1-URGENT"), (2, 8, "O", 6.0, at, "1-URGENT"), (3, 9, "O", None, None, None)]
+    lines = [(1, 10, 20, 1, 2.5, 9.0, "R"), (2, 11, 21, 1, 1.0, None, None), (2, 11, 22, 2, 1.0, 3.0, "N"), (3, None, None, 1, None, 1.0, "R"), (None, 1, 1, 1, 1.0, 1.0, "R"), (4, 1, 1, 1, 1.0, 1.0, "R")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    sf = str(tmp_path)
+    apart = csv_lines(samples.items(spark, sf), "item").union(csv_lines(samples.bids(spark, sf), "bid"))
+    joined = csv_lines(samples.items_and_bids(spark, sf), "item", "bid")
+    assert sorted(joined.collect(), key=repr) == sorted(apart.collect(), key=repr) and joined.count() == 12
+
+
 def test_an_archive_of_one_block_is_unpacked_where_it_is(spark, monkeypatch):
     def meet(batches):
         assert not any(batch.num_rows for batch in batches), "members were dealt out"
