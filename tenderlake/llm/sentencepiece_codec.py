@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 
 import ahocorasick
 import public_tokenizers
@@ -21,6 +22,8 @@ CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: New words after which a worker forgets those it has not met since as many before; this bounds its
 #: memory, results do not depend on it.
 REMEMBERED = 200_000
+#: The score of two neighbours that do not form a piece.
+NEVER = float("-inf")
 
 
 class Codec:
@@ -49,24 +52,31 @@ class Codec:
         self.matches.make_automaton()
         self.names = [str(i) for i in range(model.vocab_size())]
         self.surfaces = {i: piece.replace(SPACE, " ") for i, piece in self.pieces.items()} | {self.end: ""}
-        self.fits: dict[int, bool] = {}
-        self.known: dict[str, tuple[list[int], str, str]] = {}
-        self.earlier: dict[str, tuple[list[int], str, str]] = {}
+        #: By last token of what precedes, -1 if it has none: which tokens may follow.
+        self.fits: dict[int, dict[int, bool]] = defaultdict(dict)
+        self.known: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        self.earlier: dict[str, tuple[tuple[int, ...], str, str]] = {}
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text by doing its merges; compatibility tests rest on it."""
-        parts = list(text)
-        while True:
-            pairs = [(-self.scores[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.scores]
-            if not pairs:
-                return parts
-            at = min(pairs)[1]
+        parts, score = list(text), self.scores.get
+        # Of each two neighbours; a merge changes only those beside it.
+        pairs = [score(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := max(pairs)) != NEVER:
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+            if at < len(pairs):
+                pairs[at] = score(parts[at] + parts[at + 1], NEVER)
+        return parts
 
     def compatible(self, before: int, token: int) -> bool:
         """Whether the two tokens stay as they are side by side; ``before`` is -1 at a start or after a foreign character."""
         pair = ([self.pieces[before]] if before >= 0 else []) + [self.pieces[token]]
-        return self.merged("".join(pair)) == pair
+        text = "".join(pair)
+        return (before < 0 or text not in self.scores) and self.merged(text) == pair
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a text in which spaces are marks already, without a start mark of its own."""
@@ -78,10 +88,10 @@ class Codec:
             end = at + 1
             if last[end] < 0:
                 before = last[end - length]
-                pair = before << 32 | token
-                fit = fits.get(pair)
+                after = fits[before]
+                fit = after.get(token)
                 if fit is None:
-                    fit = fits[pair] = self.compatible(before, token)
+                    fit = after[token] = self.compatible(before, token)
                 if fit:
                     last[end], size[end] = token, length
         ids: list[int] = []
@@ -95,22 +105,24 @@ class Codec:
         ids.reverse()
         return ids
 
-    def _of(self, chunk: str) -> tuple[list[int], str, str]:
-        found = self.earlier.get(chunk)
+    def _of(self, chunk: str) -> tuple[tuple[int, ...], str, str]:
+        found = self.known.get(chunk) or self.earlier.get(chunk)
         if found is None:
             ids = self.encode_chunk(chunk)
-            found = ids, " ".join([self.names[i] for i in ids]), self._surface(ids)
+            # Tuples of plain values: the garbage collector does not walk them again and again.
+            found = tuple(ids), " ".join([self.names[i] for i in ids]), self._surface(ids)
         if len(chunk) < 64:
             if len(self.known) >= REMEMBERED:
                 self.known, self.earlier = {}, self.known
             self.known[chunk] = found
         return found
 
-    def chunks(self, text: str) -> list[tuple[list[int], str, str]]:
+    def chunks(self, text: str) -> list[tuple[tuple[int, ...], str, str]]:
         """Ids, ids as text and decoded text of each word; none for an empty text."""
         if not text:
             return []
-        return [self.known.get(c) or self._of(c) for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
+        found = CHUNK.findall(SPACE + text.replace(" ", SPACE))
+        return [known or self._of(c) for c, known in zip(found, map(self.known.get, found))]
 
     def encode(self, text: str) -> list[int]:
         return [i for ids, _, _ in self.chunks(text) for i in ids] + [self.end]
@@ -155,12 +167,13 @@ def digested(docs: DataFrame, path: str | None = None) -> DataFrame:
     def step(batch: pa.RecordBatch, codec: Codec) -> dict:
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for text in batch.column("text").to_pylist():
-            words = codec.chunks(text)
-            out["n_tokens"].append(sum(len(ids) for ids, _, _ in words) + 1)
-            written = " ".join([*(w for _, w, _ in words), str(codec.end)])
+            _, ids, surfaces = zip(*codec.chunks(text), ((), str(codec.end), ""))
+            written = " ".join(ids)
+            # Every word has ids, and a space stands between any two of them.
+            out["n_tokens"].append(written.count(" ") + 1)
             out["ids_sha256"].append(hashlib.sha256(written.encode()).hexdigest())
             # No run of bytes crosses a word, so the words decode one by one.
-            decoded = "".join([d for _, _, d in words]).removeprefix(" ")
+            decoded = "".join(surfaces).removeprefix(" ")
             out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
         return out | {"id": batch.column("id")}
 

@@ -49,6 +49,34 @@ def test_forgetting_words_changes_nothing(monkeypatch):
     assert fresh.encode(text) == LIBRARY.encode(text, add_eos=True) and len(fresh.known) <= 3 and len(fresh.earlier) <= 3
 
 
+def test_a_merge_looks_at_its_neighbours_only(monkeypatch):
+    """The scores asked for grow with the text, not with its square, and the merges are those of the plain rule."""
+    asked = []
+
+    class Counted(dict):
+        def get(self, *args):
+            asked.append(1)
+            return dict.get(self, *args)
+
+        def __contains__(self, piece):
+            asked.append(1)
+            return dict.__contains__(self, piece)
+
+    def plain(text):
+        parts = list(text)
+        while pairs := [(-OWN.scores[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in OWN.scores]:
+            at = min(pairs)[1]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    rng = random.Random(7)
+    texts = ["", "a", "aaaaaaa", "▁▁▁▁▁", "xé\U0001f600e"] + ["".join(rng.choice("etaoinsh▁") for _ in range(rng.randint(2, 120))) for _ in range(60)]
+    wanted = [plain(t) for t in texts]
+    monkeypatch.setattr(OWN, "scores", Counted(OWN.scores))
+    assert [OWN.merged(t) for t in texts] == wanted
+    assert len(asked) <= 3 * sum(map(len, texts))
+
+
 def test_documents(corpus, no_docs, odd_docs):
     docs, rows = corpus
     full = {r.id: r for r in codec.coded(docs).collect()}
