@@ -96,11 +96,12 @@ def word_hashes(words: list[str], symbols: int) -> np.ndarray:
     return out
 
 
-def neighbour_hashes(words: list[str], symbols: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def neighbour_hashes(words: list[str], symbols: int, one_way: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(index of a word, hash of a neighbour) of the full one-edit neighbourhoods, each word's own hash among them.
 
     Neighbours are words with one letter deleted, replaced by or with one of the ``symbols``
-    inserted; each is given once. Blocks bound the memory however long a word is.
+    inserted; each is given once. ``one_way`` leaves out those that have the word among theirs: insertions,
+    and replacements by an earlier symbol. Blocks bound the memory however long a word is.
     """
     own = word_hashes(words, symbols)
     yield np.arange(len(words)), own
@@ -127,10 +128,12 @@ def neighbour_hashes(words: list[str], symbols: int) -> Iterator[tuple[np.ndarra
                 cut = inside & (here != after[:, np.minimum(p + 1, length)])
                 row, col = np.nonzero(cut)
                 yield at[row], (head + (total - before[:, np.minimum(p + 1, length)]) * _INVERSE)[row, col]
-                other = here[:, :, None] != every
+                other = here[:, :, None] < every if one_way else here[:, :, None] != every
                 row, col, _ = np.nonzero(other & inside[None, :, None])
                 changed = total[:, :, None] + (every - here[:, :, None]) * power[p][None, :, None]
                 yield at[row], changed[other & inside[None, :, None]]
+                if one_way:
+                    continue
                 row, col, _ = np.nonzero(other)
                 longer = (head + (total - head) * power[1])[:, :, None] + every * power[p][None, :, None]
                 yield at[row], longer[other]
@@ -143,21 +146,33 @@ def _hashed(words: DataFrame, column: str, symbols: int) -> DataFrame:
 
 
 def _neighbours(words: DataFrame, column: str, symbols: int) -> DataFrame:
-    """(h, ref): the hashes of all neighbours of every word in ``column``."""
+    """(h, ref): the hashes of the neighbours of every word in ``column``, one way."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ref = batch.column("ref").to_numpy()
-            for at, h in neighbour_hashes(batch.column("word").to_pylist(), symbols):
+            for at, h in neighbour_hashes(batch.column("word").to_pylist(), symbols, one_way=True):
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ref[at])], names=["h", "ref"])
 
     return words.select(F.col(column).alias("word"), F.xxhash64(column).alias("ref")).mapInArrow(run, "h long, ref long")
 
 
-def _met(words: DataFrame, others: DataFrame, column: str, symbols: int) -> DataFrame:
-    """(a, b): ``ref`` of words in ``column`` of ``words`` and of ``others`` whose neighbourhood holds the other."""
-    index = materialize(_hashed(others, column, symbols))
-    return _neighbours(words, column, symbols).join(index.withColumnRenamed("ref", "b"), "h").select(F.col("ref").alias("a"), "b").distinct()
+def _met(words: DataFrame, column: str, symbols: int) -> DataFrame:
+    """(a, b): ``ref`` of all words in ``column`` at most one edit apart, in both directions; a word meets itself.
+
+    Of two words one has the other among its neighbours one way. The index is hashed, so that
+    the neighbours, which are many more, are neither sorted nor spilled.
+    """
+    index = materialize(_hashed(words, column, symbols)).withColumnRenamed("ref", "b").hint("shuffle_hash")
+    found = _neighbours(words, column, symbols).join(index, "h")
+    met = materialize(found.select(F.least("ref", "b").alias("a"), F.greatest("ref", "b").alias("b")).distinct())
+    return met.union(met.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _letters(words: DataFrame) -> str:
+    """The letters of all ``word``, in order: the driver gets one row for each."""
+    step = lambda batch: {"letter": sorted(set().union(*batch.column("word").to_pylist()))}
+    return "".join(sorted(r[0] for r in map_batches(words.select("word"), "letter string", step).distinct().collect()))
 
 
 def near_words(words: DataFrame, symbols: int = SYMBOLS, crowd: int = CROWD) -> DataFrame:
@@ -167,25 +182,28 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS, crowd: int = CROWD) ->
     reduced words within one edit, so the neighbourhoods of distinct reduced words find all
     pairs; hashes only ever add candidates, and each is verified on the words. A reduced word
     with more than ``crowd`` words is left out of that join: words next to it emit their own
-    neighbourhood over all letters instead, and meet its words one by one. So no pair is lost
+    neighbourhood over all their letters instead, and meet its words one by one. So no pair is lost
     and work grows with the words, even where the reduction makes thousands of words alike.
+    Joins hold the rows of the right side that share a key: never the words of a crowd.
     """
     step = lambda batch: {"word": batch.column("word"), "n": batch.column("n"), "reduced": [reduce_word(w, symbols) for w in batch.column("word").to_pylist()]}
     coded = map_batches(words.select("word", "n"), "word string, n long, reduced string", step)
     coded = materialize(coded.withColumn("ref", F.xxhash64("reduced")))
     forms = materialize(coded.groupBy("reduced").agg(F.count(F.lit(1)).alias("size")))
-    met = materialize(_met(forms, forms, "reduced", symbols))
+    met = _met(forms, "reduced", symbols)
     full = forms.groupBy(F.xxhash64("reduced").alias("b")).agg(F.sum("size").alias("size")).filter(F.col("size") > crowd).select("b")
     full = materialize(full)
     mine = coded.select(F.col("ref").alias("a"), "word")
     theirs = coded.select(F.col("ref").alias("b"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    pairs = met.join(full, "b", "left_anti").join(mine, "a").join(theirs, "b").select("word", "near", "near_n")
+    pairs = mine.join(met.join(full, "b", "left_anti"), "a").join(theirs, "b").select("word", "near", "near_n")
     if not full.isEmpty():
-        asking = mine.join(met.join(full, "b", "left_semi").select("a").distinct(), "a", "left_semi").select("word")
-        asked = materialize(theirs.join(full, "b", "left_semi").select(F.col("near").alias("word"), F.col("near_n").alias("n")))
-        found = _met(asking, asked, "word", len(LETTERS))
-        by_ref = asked.select(F.xxhash64("word").alias("b"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-        pairs = pairs.union(found.join(asking.select(F.xxhash64("word").alias("a"), "word"), "a").join(by_ref, "b").select("word", "near", "near_n"))
+        asking = materialize(coded.join(met.join(full, "b", "left_semi").select(F.col("a").alias("ref")).distinct(), "ref", "left_semi"))
+        letters = _letters(asking)
+        asking = asking.withColumn("spelled", F.translate("word", letters, LETTERS[: len(letters)]))
+        asked = asking.join(full.select(F.col("b").alias("ref")), "ref", "left_semi")
+        found = _met(asking, "spelled", len(letters)).join(asking.select(F.xxhash64("spelled").alias("a"), "word"), "a")
+        by_ref = asked.select(F.xxhash64("spelled").alias("b"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+        pairs = pairs.union(found.join(by_ref, "b").select("word", "near", "near_n"))
     return pairs.filter(F.levenshtein("word", "near", 1) == 1)
 
 

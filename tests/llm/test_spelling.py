@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 import zlib
@@ -104,6 +105,35 @@ def test_neighbourhoods_are_complete_and_given_once():
     assert np.array(one).shape[0] == len(set(one))
 
 
+def test_one_way_neighbourhoods_meet_every_pair_once():
+    letters = sp.LETTERS[:4]
+    words = sorted({"".join(p) for n in (2, 3, 4) for p in itertools.product(letters, repeat=n)})
+    h = sp.word_hashes(words, 4).tolist()
+    name = dict(zip(h, words, strict=True))
+    one = [(words[i], name[x]) for at, hs in sp.neighbour_hashes(words, 4, one_way=True) for i, x in zip(at, hs.tolist(), strict=True) if x in name]
+    assert len(one) == len(set(one)) == len({frozenset(p) for p in one})
+    assert {frozenset(p) for p in one} == {frozenset((a, b)) for a in words for b in words if abs(len(a) - len(b)) <= 1 and apart(a, b) <= 1}
+
+
+def test_near_words_shuffle_one_way_neighbourhoods_only(spark, monkeypatch):
+    """Crowded words over three letters: a row for the word, each deletion and each later one of its letters or symbols."""
+    rng = random.Random(4)
+    words = {"".join(rng.choice("aqy") for _ in range(9)) for _ in range(200)}
+    made, plain_one = [], sp._neighbours
+
+    def counted(df, column, symbols):
+        out = plain_one(df, column, symbols)
+        made.append((symbols, out.count() / df.count()))
+        return out
+
+    monkeypatch.setattr(sp, "_neighbours", counted)
+    df = spark.createDataFrame([(w, 5) for w in words], "word string, n long")
+    got = {(r.word, r.near) for r in sp.near_words(df, crowd=3).collect()}
+    assert got == {(a, b) for a in words for b in words if apart(a, b) == 1}
+    assert [s for s, _ in made] == [sp.SYMBOLS, 3]
+    assert all(rows <= 1 + 9 * s for s, rows in made)
+
+
 def test_chains_and_empty_tables(spark, no_docs):
     counts = {"aaaaaa": 5, "aaaaab": 25, "aaaabb": 125, "aaabbb": 625, "aabbbb": 3125, "abbbbb": 3125 * 5 - 1, "cccccc": 9}
     df = spark.createDataFrame(list(counts.items()), "word string, n long")
